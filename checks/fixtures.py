@@ -345,8 +345,8 @@ SOURCES: dict[str, Source] = {
             free_usage_balance = CAST(storage_bytes % 1000 AS DOUBLE)
             capacity_balance = CAST(stage_bytes % 100000 AS DOUBLE)
             on_demand_consumption_balance = CAST(failsafe_bytes % 7000 AS DOUBLE)
-            rollover_balance = CASE WHEN storage_bytes % 30000 = 0 THEN NULL ELSE 25.5 END
-        """).replace("25.5", "CAST(25.5 AS DOUBLE)"),
+            rollover_balance = CASE WHEN storage_bytes % 30000 = 0 THEN NULL ELSE CAST(25.5 AS DOUBLE) END
+        """),
     ),
     "org_storage": Source(
         ("storage_daily",),
@@ -358,6 +358,23 @@ SOURCES: dict[str, Source] = {
             failsafe_bytes = failsafe_bytes
         """),
     ),
+    # A load log with many runs: every hundredth row sums up a run.
+    "run_log": Source(
+        ("orders",),
+        _columns("""
+            log_id = o_orderkey
+            run_id = CAST(FLOOR(o_orderkey / 100) AS BIGINT)
+            source_table = 'usage.V' || CAST(o_custkey % 50 AS VARCHAR(20))
+            target_table = 'usage.V' || CAST(o_custkey % 50 AS VARCHAR(20)) || '_archive'
+            rows_updated = o_orderkey % 13
+            rows_inserted = o_orderkey % 101
+            status = CASE WHEN o_orderkey % 100 = 0 THEN 'PARTIAL_FAILURE' WHEN o_orderstatus = 'F' THEN 'SUCCESS' WHEN o_orderstatus = 'O' THEN 'success' ELSE 'ERROR' END
+            error_message = CASE WHEN o_orderstatus = 'P' THEN 'E' || CAST(o_orderkey % 5 AS VARCHAR(20)) END
+            duration_seconds = CAST(o_orderkey % 977 AS DOUBLE) / 4
+            load_strategy = CASE WHEN o_orderkey % 100 = 0 THEN 'SUMMARY' WHEN o_custkey % 3 = 0 THEN 'APPEND_ONLY' ELSE 'FULL_COMPARE' END
+            load_timestamp = o_orderdate + INTERVAL '1' SECOND * CAST(o_orderkey % 7200 AS INT)
+        """),
+    ),
     "replication_groups": Source(
         ("roles",),
         _columns("""

@@ -9,8 +9,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import SOURCES, derive, spark_sql
-from yearring.operators.scd import HISTORY_COLUMNS, load_view
+from checks.fixtures import LOADED, SOURCES, derive, spark_sql, table
+from yearring.operators.control import RegistryEntry
+from yearring.operators.pipeline import RunSummary, run_load
+from yearring.operators.scd import HISTORY_COLUMNS, LoadResult, load_view
 from yearring.session import shared_dir
 from yearring.sources.store import Archive, ArchiveStore
 
@@ -25,6 +27,8 @@ class Lab:
     store: ArchiveStore
     lock: threading.RLock = field(default_factory=threading.RLock)
     loaded: dict[str, Archive] = field(default_factory=dict)
+    history: tuple[Archive, list[LoadResult]] | None = None
+    runs: tuple[ArchiveStore, list[RunSummary]] | None = None
 
     def archive(self, name: str) -> Archive:
         """The archive of a source after two loads: a first part, then everything."""
@@ -34,19 +38,24 @@ class Lab:
             return self.loaded[name]
 
     def _load(self, name: str) -> Archive:
-        source, df = SOURCES[name], derive(self.spark, self.sf_dir, name)
+        source = SOURCES[name]
         archive = self.store.archive(SCHEMA, name)
-        first = df
-        if source.cut:
-            first = df.filter(F.col(source.watermark) < F.lit(source.cut).cast("timestamp_ntz"))
-        elif name in ("users", "table_storage", "grants_to_users"):
-            first = self.before_change(name, df)
-        for now, rows in ((FIRST, first), (SECOND, df)):
+        for now in (FIRST, SECOND):
+            rows = self.source_at(name, now)
             result = load_view(archive, rows, now, source.strategy, source.watermark)
             if result.status != "success":
                 raise RuntimeError(result.error)
         return archive
 
+    def source_at(self, name: str, now: str) -> DataFrame:
+        """The source as the first load saw it, or as it stands now."""
+        source, df = SOURCES[name], derive(self.spark, self.sf_dir, name)
+        if now != FIRST:
+            return df
+        if source.cut:
+            return df.filter(F.col(source.watermark) < F.lit(source.cut).cast("timestamp_ntz"))
+        return self.before_change(name, df) if name in CHANGING else df
+
     @staticmethod
     def before_change(name: str, df: DataFrame) -> DataFrame:
         """An older state: a tenth of the rows differ and some rows are not there yet."""
@@ -68,6 +77,58 @@ class Lab:
         return self.spark.sql(text, **{b: self.read(b, state) for b in source.base})
 
 
+    def snapshots(self) -> tuple[Archive, list[LoadResult]]:
+        """Users loaded three times: S1, S2 with changes and deletions, S1 again."""
+        with self.lock:
+            if self.history is None:
+                archive = self.store.archive(SCHEMA, "user_snapshots")
+                results = [
+                    load_view(archive, df, now, "SOFT_DELETE_MUTABLE")
+                    for now, df in zip((FIRST, SECOND, THIRD), snapshots(self.spark, self.sf_dir))
+                ]
+                self.history = (archive, results)
+            return self.history
+
+    def pipeline(self) -> tuple[ArchiveStore, list[RunSummary]]:
+        """Two runs over the whole registry, in a store of their own."""
+        with self.lock:
+            if self.runs is None:
+                store = ArchiveStore(self.spark, f"{self.store.root}-pipeline")
+                runs = []
+                for now in (FIRST, SECOND):
+
+                    def read(schema: str, view: str, now: str = now) -> DataFrame | None:
+                        if view == "absent_source":
+                            return None
+                        if view == "broken_source":
+                            return table(self.spark, self.sf_dir, "events").selectExpr("assert_true(event_id < 0) AS v")
+                        return self.source_at(view, now)
+
+                    runs.append(run_load(store, REGISTRY, read, now))
+                self.runs = (store, runs)
+            return self.runs
+
+
+CHANGING = ("users", "table_storage", "grants_to_users")
+_KEYS = {"query_history": "query_id", "login_history": "event_id", "users": "user_id", "roles": "role_id"}
+REGISTRY = (
+    *[
+        RegistryEntry(SCHEMA, n, n != "accounts", SOURCES[n].strategy, SOURCES[n].watermark, _KEYS.get(n))
+        for n in LOADED
+    ],
+    RegistryEntry(SCHEMA, "absent_source"),
+    RegistryEntry(SCHEMA, "broken_source", True, "APPEND_ONLY", "v"),
+)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three states of the customers: S1, S2, S1."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    raised = F.when(F.col("c_custkey") % 7 == 0, F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal"))
+    s1, s2 = c.filter("c_custkey % 10 <> 9"), c.filter("c_custkey % 11 <> 0").withColumn("c_acctbal", raised)
+    return [s1, s2, s1]
+
+
 _LABS: dict[tuple[str, str], Lab] = {}
 _GUARD = threading.Lock()
 

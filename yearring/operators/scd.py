@@ -116,7 +116,7 @@ def scan_delta(source: DataFrame, column: str, last: str, inclusive: bool = Fals
     return source.filter(F.col(column) >= mark if inclusive else F.col(column) > mark)
 
 
-def _stage(df: DataFrame, path: str) -> DataFrame:
+def stage_source(df: DataFrame, path: str) -> DataFrame:
     """Write and read back: one scan of the source, and lineage that survives lost executors."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -159,7 +159,7 @@ def load_initial(
     """First load: every row becomes a current version with ids 1..n."""
     hashed = with_hash(source)
     if needs_staging(hashed):
-        hashed = _stage(hashed, archive.staging_dir(1))
+        hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
     struct = _archive_struct(versions)
     written, parts = _insert(versions, archive, struct, 1, 0, _mark_column(source, watermark_column))
@@ -199,7 +199,7 @@ def load_append_only(
         stored = archive.read(OPEN, old).filter(F.col(watermark_column) >= mark).select("_row_hash").distinct()
         delta = delta.join(stored, "_row_hash", "left_anti")
     if needs_staging(delta):
-        delta = _stage(delta, archive.staging_dir(version))
+        delta = stage_source(delta, archive.staging_dir(version))
     versions = as_versions(delta, archive, system, now)
     struct = evolve_schema(old.struct, versions.schema)
     written, parts = _insert(versions, archive, struct, version, old.max_id, _mark_column(source, watermark_column))
@@ -252,10 +252,10 @@ def load_full(
     old = archive.manifest()
     version = old.version + 1
     staging = archive.staging_dir(version)
-    staged = _stage(with_hash(source), f"{staging}/source")
+    staged = stage_source(with_hash(source), f"{staging}/source")
     current = archive.read(OPEN, old)
 
-    difference = _stage(hash_difference(staged, current), f"{staging}/difference")
+    difference = stage_source(hash_difference(staged, current), f"{staging}/difference")
     sizes = {r["fresh"]: r["n"] for r in difference.groupBy("fresh").agg(F.count("*").alias("n")).collect()}
 
     parts, closed_rows = old.parts, 0
@@ -268,7 +268,7 @@ def load_full(
         keys = _keys(difference, True, sizes[True])
         fresh = staged.join(keys, hash_key() == keys["h"], "left_semi")
         if sizes[True] > BROADCAST_HASHES:
-            fresh = _stage(fresh, f"{staging}/fresh")
+            fresh = stage_source(fresh, f"{staging}/fresh")
         versions = as_versions(fresh, archive, system, now)
         written, added = _insert(versions, archive, struct, version, old.max_id, {})
         parts, inserted = (*parts, *added), written.rows
