@@ -179,9 +179,9 @@ check(
 def _append_only(spark, sf_dir):
     log = derive(spark, sf_dir, "query_history")
     first = log.filter("start_time < TIMESTAMP_NTZ '2024-01-11'")
-    # Late rows, rows without a time and a tie with the watermark must not load.
-    late = first.limit(50).withColumn("query_id", F.col("query_id") + 10_000_000)
-    untimed = late.limit(5).withColumn("start_time", F.lit(None).cast("timestamp_ntz"))
+    # Late rows and rows without a time must not load.
+    late = first.filter("query_type = 'SIGNUP'").withColumn("query_id", -F.col("query_id") - 1)
+    untimed = late.withColumn("start_time", F.lit(None).cast("timestamp_ntz"))
     second = log.filter("start_time < TIMESTAMP_NTZ '2024-01-21'").unionByName(late).unionByName(untimed)
     _, results = _fresh_load(
         spark, sf_dir, first, second, log, name="query_history", strategy="APPEND_ONLY", watermark_column="start_time"

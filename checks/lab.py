@@ -101,7 +101,7 @@ class Lab:
                         if view == "absent_source":
                             return None
                         if view == "broken_source":
-                            return table(self.spark, self.sf_dir, "events").selectExpr("assert_true(event_id < 0) AS v")
+                            return table(self.spark, self.sf_dir, "no_such_table")
                         return self.source_at(view, now)
 
                     runs.append(run_load(store, REGISTRY, read, now))
