@@ -67,7 +67,7 @@ SOURCES: dict[str, Source] = {
             bytes_spilled_to_remote_storage = CASE WHEN event_id % 29 = 0 THEN (event_id % 700) * 1000003 ELSE 0 END
             queued_overload_time = CASE WHEN event_id % 13 = 0 THEN (event_id % 97) * 2000 ELSE 0 END
             queued_provisioning_time = (event_id % 53) * 10
-            percentage_scanned_from_cache = CAST(event_id % 101 AS DOUBLE) / 100
+            percentage_scanned_from_cache = CAST(event_id % 101 AS DOUBLE) / 103
             credits_used_cloud_services = CAST(ROUND(value * 100) AS DOUBLE) / 1024
             query_hash = 'q' || CAST(event_id % 500 AS VARCHAR(20))
             query_parameterized_hash = 'h' || CAST(event_id % 50 AS VARCHAR(20))
@@ -136,8 +136,8 @@ SOURCES: dict[str, Source] = {
             credits_used_compute = l_quantity * (1 - l_discount)
             credits_used_cloud_services = l_quantity * l_discount
             credits_billed = l_quantity * (1 + l_tax)
-            avg_running = l_discount * 50
-            avg_queued_load = l_tax * 20
+            avg_running = CAST(ROUND(l_discount * 100) AS DOUBLE) / 2
+            avg_queued_load = CAST(ROUND(l_tax * 100) AS DOUBLE) / 4
             object_id = l_partkey
             moved_bytes = l_partkey * 1000003
         """),

@@ -68,3 +68,18 @@ def days_before(asof: str, days: int) -> Column:
 
 def months_before(asof: str, months: int) -> Column:
     return F.add_months(day(asof), -months).cast("timestamp_ntz")
+
+
+def to_utc(col: Column | str) -> Column:
+    """TIMESTAMP_NTZ read as UTC, as a TIMESTAMP; event-time watermarks need that type."""
+    col = F.col(col) if isinstance(col, str) else col
+    micros = F.extract(F.lit("SECOND"), col) * 1_000_000
+    return F.timestamp_micros(minute_number(col) * 60_000_000 + micros.cast("bigint"))
+
+
+def from_utc(col: Column | str) -> Column:
+    """The inverse of :func:`to_utc`."""
+    col = F.col(col) if isinstance(col, str) else col
+    zero = F.lit(0)
+    seconds = (F.unix_micros(col).cast("decimal(38,0)") / 1_000_000).cast("decimal(18,6)")
+    return ts(f"{EPOCH} 00:00:00") + F.make_dt_interval(zero, zero, zero, seconds)

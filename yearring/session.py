@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", name: str = "yearring", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.scheduler.mode", "FAIR")
     )

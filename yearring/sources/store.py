@@ -93,6 +93,7 @@ class Manifest:
     created: str | None = None
     modified: str | None = None
     rows_loaded: int = 0
+    stream_batch: int | None = None
 
     @property
     def struct(self) -> T.StructType:
