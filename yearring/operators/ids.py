@@ -8,10 +8,9 @@ the input has to be a plan without exchanges; :func:`needs_staging` tells.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import accumulate
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ _BROADCAST_PARTITIONS = 1_000_000
 @dataclass(frozen=True)
 class Written:
     rows: int
-    extras: Mapping[str, Any]
+    mark: str | None = None
 
 
 def needs_staging(df: DataFrame) -> bool:
@@ -38,25 +37,28 @@ def write_numbered(
     path: str,
     id_column: str,
     base: int,
-    extras: Mapping[str, Column] | None = None,
+    mark: Column | None = None,
+    mark_text: Callable[[Column], Column] | None = None,
 ) -> Written:
     """Write ``df`` with ids base+1 .. base+n in front; nothing is written for no rows.
 
-    ``extras`` are MAX-able columns whose overall maximum is taken in the
-    counting job, to save a pass.
+    The overall maximum of ``mark`` is taken in the counting job, to save a
+    pass, and comes back in the text form that ``mark_text`` gives it.
     """
-    spark, extras = df.sparkSession, dict(extras or {})
+    spark = df.sparkSession
+    marks = [] if mark is None else [F.max("_mark").alias("_mark"), mark_text(F.max("_mark")).alias("_text")]
     counted = (
-        df.select(F.spark_partition_id().alias("_part"), *[c.alias(n) for n, c in extras.items()])
+        df.select(F.spark_partition_id().alias("_part"), *([] if mark is None else [mark.alias("_mark")]))
         .groupBy("_part")
-        .agg(F.count("*").alias("_n"), *[F.max(n).alias(n) for n in extras])
+        .agg(F.count("*").alias("_n"), *marks)
         .collect()
     )
     counted.sort(key=lambda r: r["_part"])
     total = sum(r["_n"] for r in counted)
-    maxima = {n: max((r[n] for r in counted if r[n] is not None), default=None) for n in extras}
+    marked = [r for r in counted if marks and r["_mark"] is not None]
+    highest = max(marked, key=lambda r: r["_mark"])["_text"] if marked else None
     if total == 0:
-        return Written(0, maxima)
+        return Written(0)
 
     ends = list(accumulate(r["_n"] for r in counted))
     offsets = spark.createDataFrame(
@@ -80,4 +82,4 @@ def write_numbered(
     numbered.write.mode("overwrite").parquet(path)
     if seen.get["rows"] != total or seen.get["overrun"] >= 0:
         raise RuntimeError("the input changed between counting and writing; stage it first")
-    return Written(total, maxima)
+    return Written(total, highest)

@@ -124,27 +124,20 @@ def stage_source(df: DataFrame, path: str) -> DataFrame:
 
 
 
-def _mark_column(source: DataFrame, column: str | None) -> dict[str, Column]:
+def _mark(source: DataFrame, column: str | None) -> tuple:
+    """The watermark column and its text form, if the source has one."""
     if column is None or column not in source.columns:
-        return {}
-    return {"_mark": F.col(column)}
-
-
-def _mark_value(extras, source: DataFrame, column: str | None) -> str | None:
-    value = extras.get("_mark")
-    if value is None:
-        return None
+        return ()
     kind = source.schema[column].dataType
-    one = source.sparkSession.range(1).select(watermark_text(F.lit(value).cast(kind), kind).alias("w"))
-    return one.first()["w"]
+    return F.col(column), lambda highest: watermark_text(highest, kind)
 
 
 def _insert(
-    fresh: DataFrame, archive: Archive, struct: T.StructType, version: int, base: int, mark: dict[str, Column]
+    fresh: DataFrame, archive: Archive, struct: T.StructType, version: int, base: int, mark: tuple = ()
 ):
     """Write new open versions as one part; returns the write and the parts to add."""
     directory = f"{archive.run_dir(version)}/{OPEN}"
-    written = write_numbered(conform(fresh, struct), f"{archive.path}/{directory}", "_archive_id", base, mark)
+    written = write_numbered(conform(fresh, struct), f"{archive.path}/{directory}", "_archive_id", base, *mark)
     parts = (archive.part(directory, OPEN, written.rows),) if written.rows else ()
     return written, parts
 
@@ -162,14 +155,14 @@ def load_initial(
         hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
     struct = _archive_struct(versions)
-    written, parts = _insert(versions, archive, struct, 1, 0, _mark_column(source, watermark_column))
+    written, parts = _insert(versions, archive, struct, 1, 0, _mark(source, watermark_column))
     manifest = archive.commit(
         Manifest(
             version=1,
             schema=struct.jsonValue(),
             parts=parts,
             max_id=written.rows,
-            watermark=_mark_value(written.extras, source, watermark_column),
+            watermark=written.mark,
             created=now,
             modified=now,
             rows_loaded=written.rows,
@@ -202,8 +195,7 @@ def load_append_only(
         delta = stage_source(delta, archive.staging_dir(version))
     versions = as_versions(delta, archive, system, now)
     struct = evolve_schema(old.struct, versions.schema)
-    written, parts = _insert(versions, archive, struct, version, old.max_id, _mark_column(source, watermark_column))
-    mark = _mark_value(written.extras, source, watermark_column)
+    written, parts = _insert(versions, archive, struct, version, old.max_id, _mark(source, watermark_column))
     manifest = archive.commit(
         replace(
             old,
@@ -211,9 +203,9 @@ def load_append_only(
             schema=struct.jsonValue(),
             parts=(*old.parts, *parts),
             max_id=old.max_id + written.rows,
-            watermark=mark or old.watermark,
+            watermark=written.mark or old.watermark,
             modified=now,
-            rows_loaded=written.rows if mark else old.rows_loaded,
+            rows_loaded=written.rows if written.mark else old.rows_loaded,
         )
     )
     return manifest, written.rows
@@ -270,7 +262,7 @@ def load_full(
         if sizes[True] > BROADCAST_HASHES:
             fresh = stage_source(fresh, f"{staging}/fresh")
         versions = as_versions(fresh, archive, system, now)
-        written, added = _insert(versions, archive, struct, version, old.max_id, {})
+        written, added = _insert(versions, archive, struct, version, old.max_id)
         parts, inserted = (*parts, *added), written.rows
 
     mark = None
