@@ -8,7 +8,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks import ORACLES, QUERIES
 
@@ -37,9 +37,9 @@ def _rows(columns: list[str], rows) -> list[str]:
     return sorted(repr([_plain(row[i]) for i in order]) for row in rows)
 
 
-def compare(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
+def compare(spark: SparkSession, con, name: str, sf_dir: str, df: DataFrame | None = None) -> str | None:
     """None when equal, else what differs."""
-    df = QUERIES[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir) if df is None else df
     got_columns, got = df.columns, [tuple(row) for row in df.collect()]
     if name not in ORACLES:
         return None if got else "no rows"
@@ -49,7 +49,7 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
         return f"columns {sorted(got_columns)} / {sorted(want_columns)}"
     left, right = _rows(got_columns, got), _rows(want_columns, want)
     if left != right:
-        a, b = [x for x in left if x not in set(right)], [x for x in right if x not in set(left)]
+        a, b = sorted(set(left) - set(right)), sorted(set(right) - set(left))
         return f"{len(left)} / {len(right)} rows; spark {a[:2]}; sql {b[:2]}"
     if not got:
         return "both empty"

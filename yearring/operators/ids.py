@@ -29,7 +29,7 @@ class Written:
 def needs_staging(df: DataFrame) -> bool:
     """True unless the plan is a chain of narrow steps over a file scan."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return "FileScan" not in plan or "Exchange" in plan or "InMemory" in plan
+    return "FileScan" not in plan or "Exchange" in plan or "InMemoryTableScan" in plan
 
 
 def write_numbered(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +122,13 @@ def stage_source(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _stage_measured(df: DataFrame, path: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`stage_source` with aggregates taken while the rows pass by, without another job."""
+    seen = Observation()
+    staged = stage_source(df.observe(seen, *measures), path)
+    return staged, seen.get
+
+
 
 
 def _mark(source: DataFrame, column: str | None) -> tuple:
@@ -244,31 +251,34 @@ def load_full(
     old = archive.manifest()
     version = old.version + 1
     staging = archive.staging_dir(version)
-    staged = stage_source(with_hash(source), f"{staging}/source")
+    mark = F.lit(None).cast("string")
+    if watermark_column in source.columns:
+        mark = watermark_text(F.max(watermark_column), source.schema[watermark_column].dataType)
+    staged, seen = _stage_measured(with_hash(source), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
     current = archive.read(OPEN, old)
 
-    difference = stage_source(hash_difference(staged, current), f"{staging}/difference")
-    sizes = {r["fresh"]: r["n"] for r in difference.groupBy("fresh").agg(F.count("*").alias("n")).collect()}
+    difference, sizes = _stage_measured(
+        hash_difference(staged, current),
+        f"{staging}/difference",
+        F.count(F.when(F.col("fresh"), 1)).alias("fresh"),
+        F.count(F.when(~F.col("fresh"), 1)).alias("gone"),
+    )
 
     parts, closed_rows = old.parts, 0
-    if sizes.get(False):
-        parts, closed_rows = _close(archive, old, difference, sizes[False], version, now)
+    if sizes["gone"]:
+        parts, closed_rows = _close(archive, old, difference, sizes["gone"], version, now)
 
     struct = evolve_schema(old.struct, as_versions(staged, archive, system, now).schema)
     inserted = 0
-    if sizes.get(True):
-        keys = _keys(difference, True, sizes[True])
+    if sizes["fresh"]:
+        keys = _keys(difference, True, sizes["fresh"])
         fresh = staged.join(keys, hash_key() == keys["h"], "left_semi")
-        if sizes[True] > BROADCAST_HASHES:
+        if sizes["fresh"] > BROADCAST_HASHES:
             fresh = stage_source(fresh, f"{staging}/fresh")
         versions = as_versions(fresh, archive, system, now)
         written, added = _insert(versions, archive, struct, version, old.max_id)
         parts, inserted = (*parts, *added), written.rows
 
-    mark = None
-    if watermark_column in source.columns:
-        kind = source.schema[watermark_column].dataType
-        mark = staged.agg(watermark_text(F.max(watermark_column), kind).alias("w")).first()["w"]
     manifest = archive.commit(
         replace(
             old,
@@ -276,7 +286,7 @@ def load_full(
             schema=struct.jsonValue(),
             parts=parts,
             max_id=old.max_id + inserted,
-            watermark=mark or old.watermark,
+            watermark=seen["mark"] or old.watermark,
             modified=now,
             rows_loaded=inserted,
         )
