@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearring.functions.hashing import hash_key, row_hash
-from yearring.operators.ids import needs_staging, write_numbered
+from yearring.operators.ids import needs_staging, spread, write_numbered
 from yearring.sources.store import CLOSED, OPEN, Archive, Manifest
 
 APPEND_ONLY = "APPEND_ONLY"
@@ -157,7 +157,7 @@ def load_initial(
     archive: Archive, source: DataFrame, now: str, system: str = "SOURCE", watermark_column: str | None = None
 ) -> tuple[Manifest, int]:
     """First load: every row becomes a current version with ids 1..n."""
-    hashed = with_hash(source)
+    hashed = with_hash(spread(source))
     if needs_staging(hashed):
         hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
@@ -193,7 +193,7 @@ def load_append_only(
     """
     old = archive.manifest()
     version = old.version + 1
-    delta = with_hash(scan_delta(source, watermark_column, old.watermark, inclusive))
+    delta = with_hash(spread(scan_delta(source, watermark_column, old.watermark, inclusive)))
     if inclusive:
         mark = watermark_literal(old.watermark, source.schema[watermark_column].dataType)
         stored = archive.read(OPEN, old).filter(F.col(watermark_column) >= mark).select("_row_hash").distinct()
@@ -254,7 +254,7 @@ def load_full(
     mark = F.lit(None).cast("string")
     if watermark_column in source.columns:
         mark = watermark_text(F.max(watermark_column), source.schema[watermark_column].dataType)
-    staged, seen = _stage_measured(with_hash(source), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
+    staged, seen = _stage_measured(with_hash(spread(source)), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
     current = archive.read(OPEN, old)
 
     difference, sizes = _stage_measured(
