@@ -587,3 +587,16 @@ check(
         .selectExpr("p_brand AS schema_name", "'v' || p_partkey || '_archive' AS table_name"),
     )
 )
+
+
+@check(
+    "sql_on_archives",
+    """SELECT default_role, COUNT(*) AS users, COUNT(*) FILTER (has_mfa) AS mfa_users FROM users GROUP BY 1""",
+)
+def _sql_on_archives(spark, sf_dir):
+    """The archives of a store under their names in Spark SQL."""
+    lab(spark, sf_dir).pipeline()[0].register_views()
+    return spark.sql(
+        """SELECT default_role, COUNT(*) AS users, COUNT(CASE WHEN has_mfa THEN 1 END) AS mfa_users
+           FROM usage_users_archive WHERE _is_current GROUP BY default_role"""
+    )

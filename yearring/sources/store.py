@@ -252,3 +252,21 @@ class ArchiveStore:
             "source_schema string, table_name string, row_count bigint, bytes bigint, created_at string, last_modified string",
         )
         return raw.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "last_modified")})
+
+    def register_views(self) -> list[str]:
+        """Make every archive, the inventory and the load history readable by name in Spark SQL.
+
+        Archive ``usage.users`` becomes ``usage_users_archive``.
+        """
+        from yearring.operators import control, monitor
+
+        inventory = monitor.archive_inventory(self)
+        views = {
+            "vw_archive_inventory": inventory,
+            "vw_archive_summary": monitor.archive_summary(inventory),
+            "vw_load_history": monitor.load_history(control.load_log(self)),
+        }
+        views |= {f"{a.schema}_{a.view}_archive": a.read() for a in self.archives() if a.schema != "control"}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return list(views)

@@ -7,6 +7,8 @@ crash is not stored twice.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,22 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return reader.parquet(path)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[None]:
+    """Start streams with one state partition per core, or ``count``.
+
+    Streams are not coalesced at run time and keep the number they start with,
+    so the batch default of the session is seldom right for them.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append_batch(archive: Archive, batch: DataFrame, batch_id: int, now: str, system: str = "SOURCE") -> int:
     """Store one micro-batch as open versions, once."""
     old = archive.manifest() or Manifest(created=now)
@@ -59,12 +77,13 @@ def append_batch(archive: Archive, batch: DataFrame, batch_id: int, now: str, sy
 
 def stream_append_only(source: DataFrame, archive: Archive, checkpoint: str, now: str) -> StreamingQuery:
     """Load everything that has arrived, then stop."""
-    return (
+    writer = (
         source.writeStream.foreachBatch(lambda batch, batch_id: append_batch(archive, batch, batch_id, now))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with state_partitions(source.sparkSession):
+        return writer.start()
 
 
 def without_repeats(source: DataFrame, time_column: str, lateness: str) -> DataFrame:

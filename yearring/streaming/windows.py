@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yearring.functions.timefn import from_utc, to_utc
 from yearring.plans.performance import queue_measures, queue_report
+from yearring.streaming.append import state_partitions
 
 
 def queue_hourly(queries: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -35,11 +36,12 @@ def failed_logins(logins: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
 def append_to(report: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append finished windows to a Parquet folder, then stop when caught up."""
-    return (
+    writer = (
         report.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with state_partitions(report.sparkSession):
+        return writer.start()
