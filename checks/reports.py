@@ -6,7 +6,6 @@ from checks.fixtures import ASOF_EVENTS, ASOF_LINES, ASOF_ORDERS
 from checks.lab import FIRST, SECOND, lab
 from checks.registry import check, r
 from yearring.plans import audit, cost, performance, security, storage, tasks
-from yearring.session import shared_dir
 
 GB, TB = "1073741824.0::DOUBLE", "1099511627776.0::DOUBLE"
 E, O, L = (f"TIMESTAMP '{t}'" for t in (ASOF_EVENTS, ASOF_ORDERS, ASOF_LINES))

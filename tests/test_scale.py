@@ -47,11 +47,14 @@ def test_as_of_filters_reach_the_files(spark, sf):
     assert "LessThanOrEqual(_valid_from" in text
 
 
-def test_no_report_sorts_all_failures_of_a_user_together(spark, sf):
+def test_failed_logins_are_sorted_per_minute_not_per_user(spark, sf):
     text = plan(security.failed_logins_24h(lab(spark, sf).read("login_history")))
-    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", text)
-    for keys, _ in windows:
-        assert "_minute" in keys or "_mid" in text
+    keys = re.findall(r"Window \[.*\], \[([^\]]*)\], \[", text)
+    rows, counts = [k for k in keys if "_minute" in k], [k for k in keys if "_minute" not in k]
+    assert len(rows) == 1 and len(counts) == 1
+    # the one window per user runs over counts per minute
+    below = text[text.index("AS _mid") :]
+    assert "HashAggregate(keys=[_user" in below and "functions=[partial_count(1)" in below
 
 
 def test_access_reports_count_before_they_join(spark, sf):
