@@ -20,7 +20,7 @@ from yearring.operators import scd, temporal
 from yearring.session import local_session
 
 # Queries that time a whole pipeline or a stream; the loads are timed on their own here.
-APART = ("stream_", "run_load", "load_log_write", "watermark_status", "row_count_union", "vw_archive", "strategy_dispatch")
+APART = ("stream_", "run_load", "load_log_write", "watermark_status", "row_count_union", "vw_archive", "strategy_dispatch", "sql_on_archives")
 
 
 def loads(spark, sf_dir: str, timed: Callable) -> None:

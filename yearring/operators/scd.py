@@ -157,7 +157,7 @@ def load_initial(
     archive: Archive, source: DataFrame, now: str, system: str = "SOURCE", watermark_column: str | None = None
 ) -> tuple[Manifest, int]:
     """First load: every row becomes a current version with ids 1..n."""
-    hashed = with_hash(spread(source))
+    hashed = with_hash(source)
     if needs_staging(hashed):
         hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
@@ -193,7 +193,7 @@ def load_append_only(
     """
     old = archive.manifest()
     version = old.version + 1
-    delta = with_hash(spread(scan_delta(source, watermark_column, old.watermark, inclusive)))
+    delta = with_hash(scan_delta(source, watermark_column, old.watermark, inclusive))
     if inclusive:
         mark = watermark_literal(old.watermark, source.schema[watermark_column].dataType)
         stored = archive.read(OPEN, old).filter(F.col(watermark_column) >= mark).select("_row_hash").distinct()
@@ -315,7 +315,7 @@ def _close(archive: Archive, old: Manifest, difference: DataFrame, count: int, v
     survivors = sum(r["rows"] for r in files) - gone
 
     leaving = F.col("gone").isNotNull()
-    split = archive.read_paths(old.struct, touched).join(
+    split = spread(archive.read_paths(old.struct, touched)).join(
         keys.withColumn("gone", F.lit(1)), hash_key() == keys["h"], "left"
     )
     columns = {
