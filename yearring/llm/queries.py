@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import exact_dedup
+from yearring.llm import exact_dedup, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +15,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("repeats")
+
+
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
 }
 
 ORACLES = {
@@ -32,4 +37,17 @@ ORACLES = {
                text_sha256
         FROM d
     """,
+    # Windows as lists of 20 words; first() is the earliest place of each.
+    "op6_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        w AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS pos, words FROM d WHERE len(words) >= 20),
+        h AS (SELECT doc_id, pos, md5(array_to_string(list_slice(words, pos, pos + 19), ' ')) AS sequence_md5 FROM w),
+        r AS (SELECT doc_id, pos FROM h QUALIFY row_number() OVER (PARTITION BY sequence_md5 ORDER BY doc_id, pos) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS i FROM r),
+        k AS (SELECT doc_id, i, words[i] AS word FROM (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, words FROM d)),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM k ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+        removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+    """,
 }
