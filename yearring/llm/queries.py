@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import exact_dedup, substring_dedup
+from yearring.llm import exact_dedup, simhash, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +19,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("repeats")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLES = {
