@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import exact_dedup, simhash, substring_dedup
+from yearring.llm import exact_dedup, packing, simhash, substring_dedup
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file: beside the module that names them, or in ``TOKENIZERS``."""
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError:
+        return os.path.join(TOKENIZERS, name)
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +32,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("repeats")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(documents(spark, sf_dir))
 
@@ -26,6 +43,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
