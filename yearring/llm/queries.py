@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, exact_dedup, packing, simhash, substring_dedup
+from yearring.llm import bpe, exact_dedup, lm_scoring, packing, simhash, substring_dedup
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -24,6 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(documents(spark, sf_dir))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
@@ -45,6 +49,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_bpe": op3_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
