@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, exact_dedup, lm_scoring, packing, simhash, substring_dedup
+from yearring.llm import bpe, exact_dedup, lm_scoring, packing, quality, simhash, substring_dedup
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -28,6 +28,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(documents(spark, sf_dir))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
@@ -50,6 +54,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe": op3_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
