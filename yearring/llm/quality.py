@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yearring.llm.lm_scoring import remainder
 from yearring.llm.parts import texts_of
@@ -161,7 +162,7 @@ def scored(df: DataFrame, model: ByteCNN, text_col: str = "text") -> DataFrame:
             scores = [model.score(t) for t in texts_of(batch.column(0).field(text_col))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["data", "score"])
 
-    schema = packed.schema.add("score", "double")
+    schema = T.StructType([*packed.schema.fields, T.StructField("score", T.DoubleType())])
     return packed.mapInArrow(each, schema)
 
 
