@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, exact_dedup, lm_scoring, packing, quality, simhash, substring_dedup
+from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -52,6 +52,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(documents(spark, sf_dir))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_spans(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
@@ -60,6 +64,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLES = {
