@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup
+from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup, winnowing
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -36,6 +36,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_bpe": op3_bpe,
+    "op4_winnowing": op4_winnowing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
