@@ -15,14 +15,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearring.session import shared_dir
 
-#: Text bytes after which a part ends; a longer text is a part of its own.
+#: Rows and text bytes after which a part ends; a longer text is a part of its own.
 PART_BYTES = 8 << 20
+PART_ROWS = 1 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -68,7 +69,7 @@ def parted(
         schema = T.StructType([*schema.fields, *T.StructType.fromDDL(more_schema).fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId() << 32
+        part = TaskContext.get().partitionId() << 20
         for batch in batches:
             texts = batch.column(0).field(text_col)
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -76,6 +77,7 @@ def parted(
             at = 0
             while at < batch.num_rows:
                 stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART_BYTES, "right")))
+                stop = min(stop, at + PART_ROWS)
                 piece = batch.slice(at, stop - at)
                 n = piece.num_rows
                 columns = [pa.array(np.full(n, part, np.int64)), pa.array(np.arange(n, dtype=np.int32)), piece.column(0)]
@@ -88,6 +90,11 @@ def parted(
     return bucketed(packed.mapInArrow(cut, schema), name, "part")
 
 
+def row_number(part: Column, row: Column) -> Column:
+    """One number for a row of a part."""
+    return F.shiftleft(part, 20).bitwiseOR(row.cast("long"))
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

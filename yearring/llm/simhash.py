@@ -12,7 +12,8 @@ Two fingerprints link when they differ in at most ``RADIUS`` bits; documents of
    them form leaves, and runs of nodes form upper nodes, each with the mask of bits on which all below agree and
    those bits.  A search walks the levels from the top, adds up the differing bits of each level, and prunes a node with all
    below it once the sum exceeds the radius.
-4. A group returns at most one link per fingerprint (to the smallest of its local component), never all pairs.
+4. A group returns fewer links than it has fingerprints, the nearest that connect what is connected, never all pairs.
+   Only groups that one leaf holds (``FAN`` fingerprints) are compared place by place.
 5. Components over all groups: alternating large-star and small-star steps on the links, written to the shared folder
    after each round.  A hub's links are combined before the shuffle.
 
@@ -23,6 +24,7 @@ name it; a component of null ids alone has a null ``component_id``.  Equal rows
 from __future__ import annotations
 
 import itertools
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearring.llm.parts import runs, texts_of, written
+from yearring.llm.parts import parted, row_number, runs, texts_of, written
 
 SHINGLE = 3
 SEED = 42
@@ -38,6 +40,10 @@ RADIUS = 2
 BLOCKS = 5
 #: Fingerprints in one group before it is cut again.
 GROUP = 20_000
+#: Near copies: bits that may differ, and the samples of bits to group by.
+NEAR_RADIUS = 10
+SAMPLE_BITS = 22
+TABLES = 32
 #: Fingerprints, over all groups, that one Python call takes on average.
 BUCKET = 50_000
 #: Fingerprints in a leaf, and children of an upper node.
@@ -131,35 +137,35 @@ class GrayIndex:
                 near = spent <= radius
                 query, node, spent = query[near], node[near], spent[near]
             later = node > query + at
-            yield query[later] + at, node[later]
+            yield query[later] + at, node[later], spent[later]
 
 
-def local_components(values: np.ndarray, radius: int) -> np.ndarray:
-    """For each of the distinct values the smallest (as a signed number) that links reach."""
-    index = GrayIndex(values)
-    parent = np.arange(len(index.values))
-    for left, right in index.links(radius):
-        while len(left):
-            a, b = parent[left], parent[right]
-            while True:  # to the roots
-                up_a, up_b = parent[a], parent[b]
-                if (up_a == a).all() and (up_b == b).all():
-                    break
-                a, b = up_a, up_b
-            apart = a != b
-            left, right, a, b = left[apart], right[apart], a[apart], b[apart]
-            if len(a):
-                np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of the links, earlier ones first, that connect all that the links connect without a cycle."""
+    parent, waiting, kept = np.arange(n), np.arange(len(left)), []
     while True:
-        up = parent[parent]
-        if (up == parent).all():
-            break
-        parent = up
-    least = np.full(len(parent), np.iinfo(np.int64).max)
-    np.minimum.at(least, parent, index.values.view(np.int64))
-    out = np.empty(len(values), np.int64)
-    out[np.argsort(gray_rank(values), kind="stable")] = least[parent]
-    return out
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        a, b = parent[left[waiting]], parent[right[waiting]]
+        apart = a != b
+        waiting, a, b = waiting[apart], a[apart], b[apart]
+        if not len(waiting):
+            return np.concatenate([np.empty(0, np.int64), *kept])
+        roots, first = np.unique(np.maximum(a, b), return_index=True)
+        parent[roots] = np.minimum(a, b)[first]
+        kept.append(waiting[first])
+
+
+def spanning_links(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among distinct values, nearest first, that connect all that any links connect: fewer than there are values."""
+    index = GrayIndex(values)
+    left, right, distance = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    for more in index.links(radius):
+        left, right, distance = (np.concatenate([x, y]) for x, y in zip((left, right, distance), more))
+        order = np.argsort(distance, kind="stable")
+        order = order[_forest(len(values), left[order], right[order])]
+        left, right, distance = left[order], right[order], distance[order]
+    return index.values[left], index.values[right]
 
 
 # Groups
@@ -182,26 +188,33 @@ def _groups(prints: DataFrame, masks: list[int]) -> DataFrame:
     return prints.select("fp", F.explode(choices).alias("mask")).withColumn("fixed", F.col("fp").bitwiseAND(F.col("mask")))
 
 
-def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, group: int = GROUP) -> DataFrame:
-    """Links ``a, b`` (a > b) among distinct fingerprints ``fp`` that connect all within ``radius`` bits."""
+def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, group: int = GROUP, masks: list[int] | None = None) -> DataFrame:
+    """Links ``a, b`` among distinct fingerprints ``fp`` that connect all within ``radius`` bits.
+
+    ``masks`` names other choices of bits to group by than those that miss nothing.
+    """
 
     def within(table: pa.Table) -> pa.Table:
-        """The groups of one bucket, one after the other; those of one fingerprint have no links."""
+        """The groups of one bucket: those that a leaf holds are compared place by place, the others by their index."""
         values, masks, fixed = (table[c].to_numpy() for c in ("fp", "mask", "fixed"))
         order = np.lexsort((values, fixed, masks))
-        values, group = values[order], runs(masks[order], fixed[order])
-        cuts = np.append(np.unique(group, return_index=True)[1], len(group))
-        starts = cuts[:-1][np.diff(cuts) > 1]
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for start, stop in zip(starts, cuts[1:][np.diff(cuts) > 1]):
-            mine = values[start:stop]
-            roots = local_components(mine.view(np.uint64), radius)
-            apart = mine != roots
-            a.append(mine[apart])
-            b.append(roots[apart])
-        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
-
-    waiting = _groups(prints, _choices((1 << 64) - 1, blocks, blocks - radius))
+        values, number = values[order].view(np.uint64), runs(masks[order], fixed[order])
+        sizes = np.bincount(number)
+        a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        small = sizes[number] <= FAN
+        for step in range(1, min(FAN, int(sizes.max()))):
+            x, y = values[:-step], values[step:]
+            near = (number[:-step] == number[step:]) & small[step:] & (np.bitwise_count(x ^ y) <= radius)
+            a.append(x[near])
+            b.append(y[near])
+        ends = np.cumsum(sizes)
+        for k in np.flatnonzero(sizes > FAN):
+            x, y = spanning_links(values[ends[k] - sizes[k] : ends[k]], radius)
+            a.append(x)
+            b.append(y)
+        return pa.table({"a": pa.array(np.concatenate(a).view(np.int64)), "b": pa.array(np.concatenate(b).view(np.int64))})
+
+    waiting = _groups(prints, masks or _choices((1 << 64) - 1, blocks, blocks - radius))
     found = None
     while True:
         sizes = waiting.groupBy("mask", "fixed").count()
@@ -265,3 +278,75 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     prints = written(fingerprints(df, id_col, text_col), "simhash")
     out = prints.join(components(prints, radius), "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Near copies by exact similarity
+
+
+def letters_fingerprint(text: bytes, least: int = 5) -> int:
+    """SimHash of the words of ``least`` bytes or more (of all words if there are few such)."""
+    words = text.lower().split()
+    long = [w for w in words if len(w) >= least]
+    if len(long) < 8:
+        long = words
+    if not long:
+        return 0
+    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in long], "<u8")
+    votes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def _letters(texts: pa.Array) -> dict[str, pa.Array]:
+    return {"fp": pa.array(np.array([letters_fingerprint(t) for t in texts_of(texts)], np.uint64).view(np.int64))}
+
+
+def sampled_masks(bits: int = SAMPLE_BITS, tables: int = TABLES, seed: int = SEED) -> list[int]:
+    rng = np.random.default_rng(seed)
+    return [sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(tables)]
+
+
+def _shingles(text: Column, shingle: int) -> Column:
+    """Hashes of the distinct shingles of a text; of a shorter text its words as one."""
+    trimmed = F.btrim(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(" \t\n\x0b\x0c\r"))
+    words = F.split(trimmed, r"[\x20\x09-\x0D]+")
+    each = lambda w: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, shingle), " "))
+    )
+    return F.array_distinct(F.transform(F.array(words), each)[0])
+
+
+def drop_near_copies(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = NEAR_RADIUS
+) -> DataFrame:
+    """The rows of ``df`` but for near copies: of each group the row with the smallest id stays (ids of null come last).
+
+    Rows link when the Jaccard index of their sets of ``shingle``-word shingles is ``similarity`` or more; a group is what links connect.
+    Candidates are fingerprints of the longer words within ``radius`` bits, found by the index over ``TABLES`` samples of the bits; each
+    candidate link is decided on the whole texts.  Rows of equal fingerprints are compared with the first of them.
+    """
+    table = parted(df, text_col, "near", _letters, "fp long")
+    text = F.coalesce(F.col("data").getField(text_col), F.lit(""))
+    node = row_number(F.col("part"), F.col("row"))
+    nodes = table.select(node.alias("node"), "fp", F.col("data").getField(id_col).cast("long").alias("id"))
+    first = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first")
+    near = links(first.select("fp"), radius, radius + 3, GROUP, sampled_masks())
+    ends = near.join(first.withColumnRenamed("fp", "a").withColumnRenamed("first", "x"), "a").join(first.withColumnRenamed("fp", "b").withColumnRenamed("first", "y"), "b")
+    same = nodes.join(first, "fp").filter("node <> first").select(F.col("node").alias("x"), F.col("first").alias("y"))
+    pairs = written(ends.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).union(same).distinct(), "pairs")
+    involved = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    by_part = involved.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")).alias("rows"))
+    # At most as many rows as the part has.  Joined by part, texts stay where they are.
+    sets = written(
+        table.join(by_part, "part").filter(F.array_contains("rows", F.col("row"))).select(node.alias("node"), _shingles(text, shingle).alias("s")), "shingles"
+    )
+    sides = pairs.join(sets.withColumnRenamed("node", "x").withColumnRenamed("s", "sx"), "x").join(sets.withColumnRenamed("node", "y").withColumnRenamed("s", "sy"), "y")
+    common = F.size(F.array_intersect("sx", "sy"))
+    alike = sides.filter(common >= similarity * (F.size("sx") + F.size("sy") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    groups = connected(alike)
+    groups = groups.union(groups.select("root", "root").distinct()).toDF("node", "root")
+    members = written(groups.join(nodes, "node").select("node", "root", F.coalesce("id", F.lit(np.iinfo(np.int64).max)).alias("id")), "members")
+    keep = members.groupBy("root").agg(F.min(F.struct("id", "node")).alias("keep"))
+    gone = members.join(keep, "root").filter(F.col("node") != F.col("keep.node"))
+    lists = gone.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")).alias("rows"))
+    stays = table.join(lists, "part", "left").filter(F.col("rows").isNull() | ~F.array_contains("rows", F.col("row")))
+    return stays.select(*[F.col("data").getField(c).alias(c) for c in df.columns])
