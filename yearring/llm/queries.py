@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup, winnowing
 
 TOKENIZERS = "/opt/tokenizers"
+_SHIPPED: set[str] = set()
 
 
 def tokenizer(name: str) -> str:
@@ -20,7 +24,21 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, wherever their Python starts."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        path = Path(tempfile.mkdtemp()) / "yearring.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted((root / "yearring").rglob("*.py")):
+                archive.write(file, file.relative_to(root))
+        spark.sparkContext.addPyFile(str(path))
+        _SHIPPED.add(app)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

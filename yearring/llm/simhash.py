@@ -42,8 +42,8 @@ BLOCKS = 5
 GROUP = 20_000
 #: Near copies: bits that may differ, and the samples of bits to group by.
 NEAR_RADIUS = 10
-SAMPLE_BITS = 22
-TABLES = 32
+SAMPLE_BITS = 18
+TABLES = 64
 #: Fingerprints, over all groups, that one Python call takes on average.
 BUCKET = 50_000
 #: Fingerprints in a leaf, and children of an upper node.
@@ -322,17 +322,19 @@ def drop_near_copies(
 
     Rows link when the Jaccard index of their sets of ``shingle``-word shingles is ``similarity`` or more; a group is what links connect.
     Candidates are fingerprints of the longer words within ``radius`` bits, found by the index over ``TABLES`` samples of the bits; each
-    candidate link is decided on the whole texts.  Rows of equal fingerprints are compared with the first of them.
+    candidate link is decided on the whole texts.  Where rows have equal fingerprints, the first and the last of them are compared with the others.
     """
     table = parted(df, text_col, "near", _letters, "fp long")
     text = F.coalesce(F.col("data").getField(text_col), F.lit(""))
     node = row_number(F.col("part"), F.col("row"))
     nodes = table.select(node.alias("node"), "fp", F.col("data").getField(id_col).cast("long").alias("id"))
-    first = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first")
-    near = links(first.select("fp"), radius, radius + 3, GROUP, sampled_masks())
-    ends = near.join(first.withColumnRenamed("fp", "a").withColumnRenamed("first", "x"), "a").join(first.withColumnRenamed("fp", "b").withColumnRenamed("first", "y"), "b")
-    same = nodes.join(first, "fp").filter("node <> first").select(F.col("node").alias("x"), F.col("first").alias("y"))
-    pairs = written(ends.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).union(same).distinct(), "pairs")
+    ends = written(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.max("node").alias("last")), "ends")
+    near = links(ends.select("fp"), radius, radius + 3, GROUP, sampled_masks())
+    two = F.explode(F.array_distinct(F.array("first", "last")))
+    both = near.join(ends.select(F.col("fp").alias("a"), two.alias("x")), "a").join(ends.select(F.col("fp").alias("b"), two.alias("y")), "b")
+    same = nodes.join(ends, "fp").select(F.col("node").alias("x"), two.alias("y")).filter("x <> y")
+    pairs = both.select("x", "y").union(same).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    pairs = written(pairs.distinct(), "pairs")
     involved = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
     by_part = involved.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")).alias("rows"))
     # At most as many rows as the part has.  Joined by part, texts stay where they are.

@@ -2,7 +2,7 @@
 
 Every ``GRAM`` consecutive words have a hash; of every ``WINDOW`` consecutive hashes the smallest is chosen, the rightmost of equal
 ones, and kept with its position (word number).  Two texts that share ``GRAM + WINDOW - 1`` words in a row share a chosen hash.
-Texts with fewer words have one window, or one gram.
+Texts with fewer words keep all of their hashes, or have one gram.
 
 A chosen entry is one long: 32 bits of hash above 31 bits of (2^31 - 1 - position).  So the minimum of longs is the smallest
 hash with the rightmost position, and the minimum over a window is built from shifted copies in as many steps as the width has doublings.
@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from yearring.llm.parts import written
 
 GRAM = 3
-WINDOW = 6
+WINDOW = 4
 _TOP = 2**31 - 1
 #: Ids of a block of neighbours are equal but for this many low bits.
 BLOCK_BITS = 12
@@ -62,7 +62,7 @@ def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             reach += step
         return entries
 
-    return _let(packed, lambda e: F.array_distinct(F.when(F.size(e) >= window, least(e, window)).otherwise(F.when(F.size(e) == 0, e).otherwise(F.array(F.array_min(e))))))
+    return _let(packed, lambda e: F.array_distinct(F.when(F.size(e) >= window, least(e, window)).otherwise(e)))
 
 
 def hashes_of(entries: Column) -> Column:
