@@ -131,12 +131,13 @@ def test_append_only_takes_rows_past_the_watermark(spark, store, tmp_path):
     assert r.rows_inserted == 0 and a.manifest().watermark == "2024-01-01 00:00:00.500001"
 
 
-def test_append_only_without_a_watermark_compares_in_full(spark, store):
+@pytest.mark.parametrize("told,closed", [(False, 0), (True, 1)])
+def test_append_only_without_a_watermark_closes_only_when_told(spark, store, told, closed):
     a = store.archive("s", "v")
     options = {"strategy": scd.APPEND_ONLY, "watermark_column": "t"}
-    load(a, stream(spark, [(1, None)]), 0, **options)
-    r = load(a, stream(spark, [(2, "2024-01-02")]), 1, **options)
-    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    load(a, stream(spark, [(1, None), (3, None)]), 0, **options)
+    r = load(a, stream(spark, [(2, "2024-01-02"), (3, None)]), 1, close_unmarked=told, **options)
+    assert (r.rows_inserted, r.rows_updated) == (1, closed)
     assert a.manifest().watermark == "2024-01-02 00:00:00"
 
 
@@ -193,6 +194,76 @@ def test_two_writers_cannot_both_commit(spark, store):
         a.commit(a.manifest())
 
 
+def test_the_winners_rows_survive_the_loser(spark, store, monkeypatch):
+    """Two real writers of the same version: the second fails, and has touched nothing of the first."""
+    a, b = store.archive("s", "v"), store.archive("s", "v")
+    load(a, frame(spark, [(1, "a")]), 0)
+    old = b.manifest()
+    load(a, frame(spark, [(1, "a")] + [(i, "won") for i in range(2, 12)]), 1)
+    monkeypatch.setattr(b, "manifest", lambda: old)
+    r = scd.load_view(b, frame(spark, [(1, "a")] + [(i, "lost") for i in range(2, 7)]), TIMES[2])
+    assert r.status == "error" and "another writer" in r.error
+    assert rows(a.read()) == Counter([(1, "a")] + [(i, "won") for i in range(2, 12)])
+    assert a.fs.names(f"{a.path}/staging") == []
+    check_invariants(a)
+
+
+def test_error_texts_are_whole(spark, store, monkeypatch):
+    def fail(*args):
+        raise RuntimeError("x" * 10_000)
+
+    monkeypatch.setattr(scd, "load_initial", fail)
+    assert len(scd.load_view(store.archive("s", "v"), frame(spark, [(1, "a")]), TIMES[0]).error) == 10_000
+
+
+def test_a_store_below_a_folder_that_looks_like_a_part(spark, tmp_path):
+    a = ArchiveStore(spark, str(tmp_path / "data" / "run=7" / "x y")).archive("s", "v")
+    load(a, frame(spark, [(1, "a"), (2, "b")]), 0)
+    assert load(a, frame(spark, [(1, "a")]), 1).rows_updated == 1
+    check_invariants(a)
+
+
+def test_decimals_grow_without_losing_digits(spark, store):
+    a = store.archive("s", "v")
+    load(a, spark.sql("SELECT 1 AS k, CAST(1.50 AS DECIMAL(10, 2)) AS d UNION ALL SELECT 2, 2.25"), 0)
+    r = load(a, spark.sql("SELECT 1 AS k, CAST(1.5 AS DECIMAL(12, 4)) AS d UNION ALL SELECT 2, 1.2567"), 1)
+    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    assert dict(a.read().dtypes)["d"] == "decimal(12,4)"
+    assert {str(x["d"]) for x in a.read("open").collect()} == {"1.5000", "1.2567"}
+    r = load(a, spark.sql("SELECT 1 AS k, CAST(1.5 AS DECIMAL(3, 1)) AS d"), 2)
+    assert (r.rows_inserted, r.rows_updated) == (0, 1)
+    check_invariants(a)
+
+
+def test_floats_and_dates_verify_after_growth(spark, store):
+    a = store.archive("s", "v")
+    load(a, spark.sql("SELECT id AS k, CAST(0.1 AS FLOAT) AS f, DATE '2024-01-01' AS d FROM range(3)"), 0)
+    r = load(a, spark.sql("SELECT id AS k, CAST(CAST(0.1 AS FLOAT) AS DOUBLE) AS f, TIMESTAMP_NTZ '2024-01-01' AS d FROM range(3)"), 1)
+    assert (r.rows_inserted, r.rows_updated) == (0, 0)
+    check_invariants(a)
+
+
+def test_nested_growth_and_letter_case(spark, store):
+    a = store.archive("s", "v")
+    load(a, spark.sql("SELECT id AS k, named_struct('a', id) AS n, array(named_struct('x', 1)) AS l FROM range(3)"), 0)
+    grown = "SELECT id AS K, named_struct('b', IF(id = 1, 'new', NULL), 'A', id) AS N, array(named_struct('x', 1, 'y', CAST(NULL AS INT))) AS l FROM range(3)"
+    r = load(a, spark.sql(grown), 1)
+    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    assert dict(a.read().dtypes)["n"] == "struct<a:bigint,b:string>" and dict(a.read().dtypes)["l"] == "array<struct<x:int,y:int>>"
+    assert [tuple(x) for x in a.read("open").filter("k = 1").select("n.a", "n.b").collect()] == [(1, "new")]
+    check_invariants(a)
+
+
+@pytest.mark.parametrize("first,second", [("bigint", "double"), ("int", "string"), ("decimal(38,0)", "decimal(38,10)"), ("struct<a:bigint>", "struct<a:string>")])
+def test_types_that_do_not_fit_are_refused(spark, store, first, second):
+    a = store.archive("s", first)
+    make = lambda kind: spark.createDataFrame([], f"k int, c {kind}")
+    load(a, make(first), 0)
+    r = scd.load_view(a, make(second), TIMES[1])
+    assert r.status == "error" and "does not fit" in r.error
+    assert a.manifest().version == 1
+
+
 def test_missing_source_is_skipped(store):
     r = scd.load_view(store.archive("s", "v"), None, TIMES[0])
     assert r.status == "skipped" and store.archive("s", "v").manifest() is None

@@ -19,20 +19,30 @@ _JSON = {
 }
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
-        return True
+def _varies(kind: T.DataType) -> bool:
+    """Whether equal values of the type may have different texts, now or after the type has grown."""
     if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
+        return _varies(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
-    return False
+        return True
+    return isinstance(kind, (T.MapType, T.DecimalType, T.FloatType, T.DateType))
 
 
 def _canonical(col: Column, kind: T.DataType) -> Column:
-    """Put map entries in key order at any depth; other values stay as they are."""
-    if not _has_map(kind):
+    """One form for equal values at any depth.
+
+    Map entries and struct fields in name order, and values as they would be in a wider type: a decimal without trailing zeros,
+    a float as the double it equals, a date as its first moment.
+    """
+    if not _varies(kind):
         return col
+    if isinstance(kind, T.DecimalType):
+        text = col.cast("string")
+        return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    if isinstance(kind, T.FloatType):
+        return col.cast("double")
+    if isinstance(kind, T.DateType):
+        return col.cast("timestamp_ntz")
     if isinstance(kind, T.MapType):
         entries = F.array_sort(F.map_entries(col), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
         return F.transform(
@@ -41,7 +51,7 @@ def _canonical(col: Column, kind: T.DataType) -> Column:
         )
     if isinstance(kind, T.ArrayType):
         return F.transform(col, lambda e: _canonical(e, kind.elementType))
-    fields = [_canonical(col[f.name], f.dataType).alias(f.name) for f in kind.fields]
+    fields = [_canonical(col[f.name], f.dataType).alias(f.name.lower()) for f in sorted(kind.fields, key=lambda f: f.name.lower())]
     return F.when(col.isNotNull(), F.struct(*fields))
 
 
@@ -50,8 +60,8 @@ def row_hash(schema: T.StructType, exclude: Sequence[str] = ()) -> Column:
 
     Leaving NULLs out keeps old hashes valid when a new column arrives empty.
     """
-    fields = sorted((f for f in schema.fields if f.name not in exclude), key=lambda f: f.name)
-    parts = [_canonical(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields]
+    fields = sorted((f for f in schema.fields if f.name not in exclude), key=lambda f: f.name.lower())
+    parts = [_canonical(F.col(f"`{f.name}`"), f.dataType).alias(f.name.lower()) for f in fields]
     return F.sha2(F.to_json(F.struct(*parts), _JSON), 256)
 
 

@@ -32,19 +32,6 @@ def needs_staging(df: DataFrame) -> bool:
     return "FileScan" not in plan or "Exchange" in plan or "InMemoryTableScan" in plan
 
 
-def spread(df: DataFrame, piece_bytes: int = 2 << 20) -> DataFrame:
-    """Give a source that comes in very few splits to more cores before costly work.
-
-    A single small Parquet file is one task, however many cores there are.  Large
-    inputs have more splits than cores and stay as they are.
-    """
-    if needs_staging(df):
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, size // piece_bytes)
-    return df.repartition(wanted) if wanted >= 2 * df.rdd.getNumPartitions() else df
-
-
 def write_numbered(
     df: DataFrame,
     path: str,

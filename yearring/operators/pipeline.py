@@ -70,7 +70,7 @@ def run_load(
             result = load_view(archive, source, now, entry.load_strategy, entry.watermark_column, system)
         except Exception as error:
             name = f"{entry.source_schema}.{entry.source_view}"
-            result = LoadResult(name, f"{name}_archive", "error", strategy=entry.load_strategy, error=str(error)[:4096], timestamp=now)
+            result = LoadResult(name, f"{name}_archive", "error", strategy=entry.load_strategy, error=str(error), timestamp=now)
         return result, time.monotonic() - began
 
     began = time.monotonic()

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearring.functions.hashing import hash_key, row_hash
-from yearring.operators.ids import needs_staging, spread, write_numbered
+from yearring.functions.types import conform, evolve_schema
+from yearring.operators.ids import needs_staging, write_numbered
 from yearring.sources.store import CLOSED, OPEN, Archive, Manifest
 
 APPEND_ONLY = "APPEND_ONLY"
@@ -70,34 +71,6 @@ def as_versions(hashed: DataFrame, archive: Archive, system: str, now: str) -> D
     )
 
 
-def evolve_schema(known: T.StructType, incoming: T.StructType) -> T.StructType:
-    """Archive schema after a load: new columns go to the end, none is dropped.
-
-    A source column the archive already has keeps its place; its type may only
-    grow (int to bigint, float to double).
-    """
-    wider = {("integer", "long"), ("short", "long"), ("short", "integer"), ("float", "double"), ("date", "timestamp_ntz")}
-    arriving = {f.name: f.dataType for f in incoming.fields}
-    fields = []
-    for f in known.fields:
-        kind = arriving.pop(f.name, f.dataType)
-        grows = (f.dataType.typeName(), kind.typeName()) in wider
-        fields.append(T.StructField(f.name, kind if grows else f.dataType))
-    return T.StructType(fields + [T.StructField(n, k) for n, k in arriving.items()])
-
-
-def conform(df: DataFrame, struct: T.StructType) -> DataFrame:
-    """By name: cast to the archive's types, NULL for columns the source lost."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in struct.fields
-            if f.name != "_archive_id"
-        ]
-    )
-
-
 def watermark_text(col: Column, kind: T.DataType) -> Column:
     """A watermark as text that does not depend on the session zone."""
     return (F.unix_micros(col) if isinstance(kind, T.TimestampType) else col).cast("string")
@@ -110,6 +83,18 @@ def watermark_literal(text: str, kind: T.DataType) -> Column:
     return F.lit(text).cast(kind)
 
 
+def later_mark(spark: SparkSession, one: str | None, two: str | None, kind: T.DataType) -> str | None:
+    """The later of two stored watermarks."""
+    if one is None or two is None:
+        return one or two
+    later = F.greatest(watermark_literal(one, kind), watermark_literal(two, kind))
+    return spark.range(1).select(watermark_text(later, kind).alias("w")).first()["w"]
+
+
+def mark_type(source: DataFrame, column: str | None) -> str | None:
+    return source.schema[column].dataType.simpleString() if column and column in source.columns else None
+
+
 def scan_delta(source: DataFrame, column: str, last: str, inclusive: bool = False) -> DataFrame:
     """Source rows past the watermark; rows with a NULL watermark never qualify."""
     mark = watermark_literal(last, source.schema[column].dataType)
@@ -129,8 +114,6 @@ def _stage_measured(df: DataFrame, path: str, *measures: Column) -> tuple[DataFr
     return staged, seen.get
 
 
-
-
 def _mark(source: DataFrame, column: str | None) -> tuple:
     """The watermark column and its text form, if the source has one."""
     if column is None or column not in source.columns:
@@ -170,6 +153,7 @@ def load_initial(
             parts=parts,
             max_id=written.rows,
             watermark=written.mark,
+            watermark_type=mark_type(source, watermark_column),
             created=now,
             modified=now,
             rows_loaded=written.rows,
@@ -211,6 +195,7 @@ def load_append_only(
             parts=(*old.parts, *parts),
             max_id=old.max_id + written.rows,
             watermark=written.mark or old.watermark,
+            watermark_type=mark_type(source, watermark_column),
             modified=now,
             rows_loaded=written.rows if written.mark else old.rows_loaded,
         )
@@ -246,15 +231,19 @@ def load_full(
     now: str,
     system: str = "SOURCE",
     watermark_column: str | None = None,
+    close: bool = True,
 ) -> tuple[Manifest, int, int]:
-    """Close what left the source and insert what is new, in one commit."""
+    """Close what left the source and insert what is new, in one commit.
+
+    With ``close=False`` nothing is closed: rows not stored yet are added.
+    """
     old = archive.manifest()
     version = old.version + 1
     staging = archive.staging_dir(version)
     mark = F.lit(None).cast("string")
     if watermark_column in source.columns:
         mark = watermark_text(F.max(watermark_column), source.schema[watermark_column].dataType)
-    staged, seen = _stage_measured(with_hash(spread(source)), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
+    staged, seen = _stage_measured(with_hash(source), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
     current = archive.read(OPEN, old)
 
     difference, sizes = _stage_measured(
@@ -265,7 +254,7 @@ def load_full(
     )
 
     parts, closed_rows = old.parts, 0
-    if sizes["gone"]:
+    if sizes["gone"] and close:
         parts, closed_rows = _close(archive, old, difference, sizes["gone"], version, now)
 
     struct = evolve_schema(old.struct, as_versions(staged, archive, system, now).schema)
@@ -287,6 +276,7 @@ def load_full(
             parts=parts,
             max_id=old.max_id + inserted,
             watermark=seen["mark"] or old.watermark,
+            watermark_type=mark_type(source, watermark_column) or old.watermark_type,
             modified=now,
             rows_loaded=inserted,
         )
@@ -315,7 +305,7 @@ def _close(archive: Archive, old: Manifest, difference: DataFrame, count: int, v
     survivors = sum(r["rows"] for r in files) - gone
 
     leaving = F.col("gone").isNotNull()
-    split = spread(archive.read_paths(old.struct, touched)).join(
+    split = archive.read_paths(old.struct, touched).join(
         keys.withColumn("gone", F.lit(1)), hash_key() == keys["h"], "left"
     )
     columns = {
@@ -340,8 +330,13 @@ def load_view(
     strategy: str | None = None,
     watermark_column: str | None = None,
     system: str = "SOURCE",
+    close_unmarked: bool = False,
 ) -> LoadResult:
-    """Load one source with its strategy; errors come back in the result."""
+    """Load one source with its strategy; errors come back in the result.
+
+    An APPEND_ONLY archive without a watermark takes the rows that it does not hold; it closes others only if
+    ``close_unmarked`` says so.
+    """
     names = {"source": f"{archive.schema}.{archive.view}", "target": f"{archive.schema}.{archive.view}_archive"}
     strategy = strategy or FULL_COMPARE
     if source is None:
@@ -356,9 +351,11 @@ def load_view(
         elif strategy == APPEND_ONLY and watermark_column and old.watermark is not None:
             _, inserted = load_append_only(archive, source, now, watermark_column, system)
         else:
-            _, inserted, updated = load_full(archive, source, now, system, watermark_column)
+            close = strategy != APPEND_ONLY or close_unmarked
+            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close)
     except Exception as error:  # a failed source must not stop the run
-        return LoadResult(**names, status="error", strategy=strategy, error=str(error)[:4096], timestamp=now)
+        archive.drop_staging()
+        return LoadResult(**names, status="error", strategy=strategy, error=str(error), timestamp=now)
     return LoadResult(
         **names,
         status="success",

@@ -4,7 +4,9 @@ Parquet has no UPDATE, so a load writes new parts and then commits one small
 manifest naming the live ones.  Readers see either the old or the new state.
 
     <root>/<schema>/<view>/_log/00000003.json      manifest, one per commit
-    <root>/<schema>/<view>/data/run=3/...          parts written by commit 3
+    <root>/<schema>/<view>/data/run=3-<token>/...  parts written by commit 3
+
+The token differs for every writer, so one that loses the race for a commit has not touched the winner's files.
 
 A part is a directory.  When a load closes rows, only the files that hold them
 are rewritten; the manifest lists those files as skipped in their old part.
@@ -13,6 +15,7 @@ are rewritten; the manifest lists those files as skipped in their old part.
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 from collections import defaultdict
@@ -61,13 +64,28 @@ class SharedFs:
             stream.close()
 
     def write_new(self, path: str, text: str) -> None:
-        """Write a file that must not exist yet, so that two writers cannot both win."""
+        """Write a file that must not exist yet, so that two writers cannot both win.
+
+        The text is complete before the name appears.  On a local disk the name is a hard link, which fails if it exists; elsewhere
+        a rename, which has to be atomic and to refuse an existing target, as on HDFS.
+        """
         draft = f"{path}.{uuid.uuid4().hex}.draft"
         stream = self._fs.create(self._path(draft), False)
         stream.write(bytearray(text.encode("utf-8")))
         stream.close()
-        if self.exists(path) or not self._fs.rename(self._path(draft), self._path(path)):
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                try:
+                    os.link(*[self._path(p).toUri().getPath() for p in (draft, path)])
+                except FileExistsError:
+                    won = False
+                else:
+                    won = True
+            else:
+                won = not self.exists(path) and self._fs.rename(self._path(draft), self._path(path))
+        finally:
             self._fs.delete(self._path(draft), False)
+        if not won:
             raise RuntimeError(f"another writer committed {path}")
 
     def drop_dir(self, path: str) -> None:
@@ -93,7 +111,10 @@ class Manifest:
     created: str | None = None
     modified: str | None = None
     rows_loaded: int = 0
-    stream_batch: int | None = None
+    #: Last batch of each stream that feeds the archive, by the identity of its checkpoint.
+    stream_batches: dict[str, int] = field(default_factory=dict)
+    #: Type of the watermark column, in DDL form.
+    watermark_type: str | None = None
 
     @property
     def struct(self) -> T.StructType:
@@ -122,6 +143,7 @@ class Archive:
         self.spark, self.schema, self.view = spark, schema, view
         self.path = f"{root.rstrip('/')}/{schema}/{view}"
         self.fs = SharedFs(spark, self.path)
+        self.staged: list[str] = []
 
     def manifest(self) -> Manifest | None:
         """The newest committed manifest, or None before the first load."""
@@ -129,17 +151,24 @@ class Archive:
         return Manifest.from_text(self.fs.read_text(f"{self.path}/_log/{names[-1]}")) if names else None
 
     def run_dir(self, version: int) -> str:
-        return f"data/run={version}"
+        """A folder for parts that no other writer uses."""
+        return f"data/run={version}-{uuid.uuid4().hex[:12]}"
 
     def staging_dir(self, version: int) -> str:
-        return f"{self.path}/staging/run={version}"
+        """A folder for a load's intermediate rows, dropped when it commits or fails."""
+        path = f"{self.path}/staging/run={version}-{uuid.uuid4().hex[:12]}"
+        self.staged.append(path)
+        return path
 
     def commit(self, manifest: Manifest) -> Manifest:
         self.fs.write_new(f"{self.path}/_log/{manifest.version:08d}.json", manifest.to_text())
-        if self.fs.exists(self.staging_dir(manifest.version)):
-            self.fs.drop_dir(self.staging_dir(manifest.version))
+        self.drop_staging()
         return manifest
 
+    def drop_staging(self) -> None:
+        while self.staged:
+            self.fs.drop_dir(self.staged.pop())
+
     def part(self, directory: str, state: str, rows: int) -> Part:
         """Describe a directory that a load has just written."""
         return Part(directory, state, rows, sum(self.fs.sizes(f"{self.path}/{directory}").values()))
@@ -168,6 +197,14 @@ class Archive:
             return self.spark.createDataFrame([], struct)
         return self.spark.read.schema(struct).option("recursiveFileLookup", "true").parquet(*paths)
 
+    def _relative(self, uri: str) -> str:
+        """A file's place below the archive's folder."""
+        plain = lambda path: re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path)  # noqa: E731  without scheme and host
+        root = plain(self.path)
+        if not plain(uri).startswith(f"{root}/"):
+            raise ValueError(f"{uri} is not in {self.path}")
+        return plain(uri)[len(root) + 1 :]
+
     def skip_files(self, manifest: Manifest, touched: Iterable[tuple[str, int]]) -> tuple[tuple[Part, ...], list[str]]:
         """Take rewritten files out of the open parts.
 
@@ -176,8 +213,8 @@ class Archive:
         """
         per_dir: dict[str, dict[str, int]] = defaultdict(dict)
         for uri, rows in touched:
-            found = re.search(r"/(data/run=\d+.*)/([^/]+)$", unquote(uri))
-            per_dir[found.group(1)][found.group(2)] = rows
+            place = self._relative(unquote(uri))
+            per_dir[place.rpartition("/")[0]][place.rpartition("/")[2]] = rows
         kept, paths = [], []
         for part in manifest.parts:
             files = per_dir.get(part.dir) if part.state == OPEN else None

@@ -1,12 +1,14 @@
 """Feeding an archive from a stream of files.
 
 The checkpoint remembers which files are done, so no watermark is compared; the
-archive remembers the last batch it took, so a batch that is replayed after a
-crash is not stored twice.
+archive remembers the last batch it took of each stream, so a batch that is replayed
+after a crash is not stored twice.  A stream is known by a name kept in its checkpoint: batch numbers start anew with
+every checkpoint.  The highest watermark is committed with the rows, so that a batch load can go on from there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -18,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yearring.functions.timefn import to_utc
 from yearring.operators.ids import needs_staging, write_numbered
-from yearring.operators.scd import HISTORY_COLUMNS, as_versions, conform, evolve_schema, stage_source, with_hash
-from yearring.sources.store import OPEN, Archive, Manifest
+from yearring.functions.types import conform, evolve_schema
+from yearring.operators.scd import HISTORY_COLUMNS, as_versions, later_mark, stage_source, watermark_text, with_hash
+from yearring.sources.store import OPEN, Archive, Manifest, SharedFs
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -45,10 +48,26 @@ def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[
         spark.conf.set(key, before)
 
 
-def append_batch(archive: Archive, batch: DataFrame, batch_id: int, now: str, system: str = "SOURCE") -> int:
-    """Store one micro-batch as open versions, once."""
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that owns a checkpoint, given on first use."""
+    path, fs = f"{checkpoint.rstrip('/')}/archive-stream", SharedFs(spark, checkpoint)
+    if not fs.exists(path):
+        fs.write_new(path, uuid.uuid4().hex)
+    return fs.read_text(path)
+
+
+def append_batch(
+    archive: Archive,
+    batch: DataFrame,
+    batch_id: int,
+    now: str,
+    system: str = "SOURCE",
+    stream: str = "",
+    watermark_column: str | None = None,
+) -> int:
+    """Store one micro-batch of a stream as open versions, once."""
     old = archive.manifest() or Manifest(created=now)
-    if old.stream_batch is not None and batch_id <= old.stream_batch:
+    if batch_id <= old.stream_batches.get(stream, -1):
         return 0
     version = old.version + 1
     hashed = batch if "_row_hash" in batch.columns else with_hash(batch)
@@ -58,7 +77,10 @@ def append_batch(archive: Archive, batch: DataFrame, batch_id: int, now: str, sy
     known = old.struct if old.schema else T.StructType([T.StructField("_archive_id", T.LongType())])
     struct = evolve_schema(known, versions.schema)
     directory = f"{archive.run_dir(version)}/{OPEN}"
-    written = write_numbered(conform(versions, struct), f"{archive.path}/{directory}", "_archive_id", old.max_id)
+    kind = struct[watermark_column].dataType if watermark_column else None
+    mark = (F.col(watermark_column), lambda highest: watermark_text(highest, kind)) if watermark_column else ()
+    written = write_numbered(conform(versions, struct), f"{archive.path}/{directory}", "_archive_id", old.max_id, *mark)
+    latest = later_mark(archive.spark, old.watermark, written.mark, kind) if watermark_column else old.watermark
     parts = (archive.part(directory, OPEN, written.rows),) if written.rows else ()
     archive.commit(
         replace(
@@ -69,16 +91,25 @@ def append_batch(archive: Archive, batch: DataFrame, batch_id: int, now: str, sy
             max_id=old.max_id + written.rows,
             modified=now,
             rows_loaded=written.rows,
-            stream_batch=batch_id,
+            watermark=latest,
+            watermark_type=kind.simpleString() if watermark_column else old.watermark_type,
+            stream_batches={**old.stream_batches, stream: batch_id},
         )
     )
     return written.rows
 
 
-def stream_append_only(source: DataFrame, archive: Archive, checkpoint: str, now: str) -> StreamingQuery:
+def stream_append_only(
+    source: DataFrame, archive: Archive, checkpoint: str, now: str, watermark_column: str | None = None
+) -> StreamingQuery:
     """Load everything that has arrived, then stop."""
+    stream = stream_name(source.sparkSession, checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        append_batch(archive, batch, batch_id, now, stream=stream, watermark_column=watermark_column)
+
     writer = (
-        source.writeStream.foreachBatch(lambda batch, batch_id: append_batch(archive, batch, batch_id, now))
+        source.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
@@ -105,4 +136,4 @@ def without_repeats(source: DataFrame, time_column: str, lateness: str) -> DataF
 def stream_append_late(
     source: DataFrame, archive: Archive, checkpoint: str, now: str, time_column: str, lateness: str
 ) -> StreamingQuery:
-    return stream_append_only(without_repeats(source, time_column, lateness), archive, checkpoint, now)
+    return stream_append_only(without_repeats(source, time_column, lateness), archive, checkpoint, now, time_column)
