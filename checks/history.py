@@ -115,7 +115,7 @@ check("stage_source", "SELECT COUNT(*) AS staged_rows, COUNT(DISTINCT user_id) A
     ).agg(F.count("*").alias("staged_rows"), F.countDistinct("_row_hash").alias("hashes"))
 )
 
-check("sample_archive", "SELECT LEAST(COUNT(*), 100) AS sampled, LEAST(COUNT(*), 100) AS current_rows FROM customer")(
+check("sample_archive", "SELECT LEAST(COUNT(*), 20000) AS sampled, LEAST(COUNT(*), 20000) AS current_rows FROM users")(
     lambda s, d: monitor.sample_archive(lab(s, d).read("users", None), limit=20_000).agg(
         F.count("*").alias("sampled"), F.count(F.when(F.col("_is_current"), 1)).alias("current_rows")
     )
@@ -189,18 +189,14 @@ def _append_only(spark, sf_dir):
     return _counts(spark, results)
 
 
-@check(
-    "scd2_append_ties",
-    """SELECT COUNT(*) AS row_count, COUNT(DISTINCT o_orderkey) AS keys, COUNT(*) AS ids FROM orders
-       WHERE o_orderdate <= TIMESTAMP '2000-06-01'""",
-)
+@check("scd2_append_ties", "SELECT COUNT(*) AS row_count, COUNT(DISTINCT o_orderkey) AS keys, COUNT(*) AS ids FROM orders")
 def _append_ties(spark, sf_dir):
-    """The inclusive form: half the rows of the boundary day arrive with the next load."""
-    runs = derive(spark, sf_dir, "task_history").filter("scheduled_time <= TIMESTAMP_NTZ '2000-06-01'")
+    """The inclusive form over all orders: half the rows of the boundary day arrive with the next load."""
+    runs = derive(spark, sf_dir, "task_history")
     archive, _ = _fresh_load(
         spark,
         sf_dir,
-        runs.filter("scheduled_time < TIMESTAMP_NTZ '2000-06-01' OR run_id % 2 = 0"),
+        runs.filter("scheduled_time < TIMESTAMP_NTZ '2000-06-01' OR scheduled_time = TIMESTAMP_NTZ '2000-06-01' AND run_id % 2 = 0"),
         name="task_history",
         watermark_column="scheduled_time",
     )
@@ -210,6 +206,10 @@ def _append_ties(spark, sf_dir):
     )
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+
+
 check("scd2_full", versions())(lambda s, d: history(s, d).select(*COLUMNS))
 check("scd2_close", versions(rest="WHERE NOT _is_current"))(lambda s, d: history(s, d, "closed").select(*COLUMNS))
 check("scd2_insert_new", versions(rest=f"WHERE _valid_from > {T1}"))(
@@ -241,14 +241,14 @@ check(
     "scd2_duplicates",
     """SELECT CAST(c_custkey % 10 = 0 AS BOOLEAN) AS doubled, COUNT(*) AS users,
            CAST(SUM(CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS versions
-       FROM customer WHERE c_custkey % 10 <> 9 GROUP BY 1""",
+       FROM customer GROUP BY 1""",
 )(
     lambda s, d: (
-        lambda s1: _fresh_load(s, d, s1.unionByName(s1.filter("c_custkey % 10 = 0")), s1)[0]
+        lambda all_of: _fresh_load(s, d, all_of.unionByName(all_of.filter("c_custkey % 10 = 0")), all_of)[0]
         .read("open")
         .groupBy((F.col("c_custkey") % 10 == 0).alias("doubled"))
         .agg(F.countDistinct("c_custkey").alias("users"), F.count("*").alias("versions"))
-    )(snapshots(s, d)[0])
+    )(_customers(s, d))
 )
 
 check(
@@ -272,39 +272,66 @@ check("watermark_get", "SELECT 'login_history' AS source_view, MAX(ts) AS last_w
 
 @check(
     "watermark_set",
-    """SELECT event_type AS source_schema, 'U' || CAST(user_id AS VARCHAR) AS source_view,
-           COALESCE(MAX(ts) FILTER (ts >= TIMESTAMP '2024-01-21'), MAX(ts)) AS last_watermark_value,
+    """SELECT event_type AS source_view, MAX(ts) AS last_watermark_value,
            COALESCE(NULLIF(COUNT(*) FILTER (ts >= TIMESTAMP '2024-01-21'), 0), COUNT(*)) AS rows_loaded
-       FROM events GROUP BY 1, 2""",
+       FROM events GROUP BY 1""",
 )
 def _watermark_set(spark, sf_dir):
-    """One watermark per event type and user: the state after an early batch, merged with a late one."""
-    events = table(spark, sf_dir, "events")
+    """What two append loads of each event type have committed: early rows, then all."""
+    events, store = table(spark, sf_dir, "events"), fresh_store(spark)
+    for kind in sorted(r["event_type"] for r in events.select("event_type").distinct().collect()):
+        mine = events.filter(F.col("event_type") == kind)
+        for now, rows in ((FIRST, mine.filter("ts < TIMESTAMP_NTZ '2024-01-21'")), (SECOND, mine)):
+            result = scd.load_view(store.archive("events", kind), rows, now, "APPEND_ONLY", "ts")
+            if result.status != "success":
+                raise RuntimeError(result.error)
+    return control.watermark_state(store).select("source_view", "last_watermark_value", "rows_loaded")
 
-    def marks(condition: str) -> DataFrame:
-        keys = [F.col("event_type").alias("source_schema"), F.concat(F.lit("U"), "user_id").alias("source_view")]
-        return events.filter(condition).groupBy(*keys).agg(
-            F.max("ts").alias("last_watermark_value"), F.count("*").alias("rows_loaded")
-        )
 
-    early, late = marks("ts < TIMESTAMP_NTZ '2024-01-21'"), marks("ts >= TIMESTAMP_NTZ '2024-01-21'")
-    return control.upsert(early, late, ["source_schema", "source_view"])
+@check(
+    "watermark_types",
+    """SELECT 'by_date' AS source_view, 'date' AS watermark_type, CAST(CAST(MAX(ts) AS DATE) AS VARCHAR) AS last_watermark,
+           CAST(CAST(MAX(ts) AS DATE) AS TIMESTAMP) AS last_watermark_value FROM events
+       UNION ALL SELECT 'by_id', 'bigint', CAST(MAX(event_id) AS VARCHAR), NULL FROM events
+       UNION ALL SELECT 'by_instant', 'timestamp', CAST(epoch_us(MAX(ts)) AS VARCHAR), MAX(ts) FROM events""",
+)
+def _watermark_types(spark, sf_dir):
+    """Watermarks that are dates, numbers and instants, in one report."""
+    events, store = table(spark, sf_dir, "events"), fresh_store(spark)
+    instant = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01', ts)"))
+    marks = {"by_date": F.col("ts").cast("date"), "by_id": F.col("event_id").cast("bigint"), "by_instant": instant}
+    for name, mark in marks.items():
+        result = scd.load_view(store.archive("events", name), events.withColumn("mark", mark), FIRST, "APPEND_ONLY", "mark")
+        if result.status != "success":
+            raise RuntimeError(result.error)
+    return control.watermark_state(store).select("source_view", "watermark_type", "last_watermark", "last_watermark_value")
 
 
 @check(
     "schema_evolve",
-    f"""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'v' END AS note,
-            CASE WHEN c_custkey % 4 = 0 THEN {T3} ELSE {T1} END AS _valid_from, TRUE AS _is_current
-        FROM customer WHERE c_custkey % 10 <> 9
-        UNION ALL SELECT c_custkey, NULL, {T1}, FALSE FROM customer WHERE c_custkey % 10 <> 9 AND c_custkey % 4 = 0""",
+    f"""WITH c AS (SELECT c_custkey, c_custkey % 4 = 0 AS changed, CAST(c_custkey % 100 AS INT) AS cents FROM customer),
+        v AS (SELECT *, TRUE AS _is_current FROM c UNION ALL SELECT *, FALSE FROM c WHERE changed)
+        SELECT c_custkey, CAST(CASE WHEN changed AND _is_current THEN cents + 0.25 ELSE cents END AS DOUBLE) AS price,
+            CASE WHEN changed AND _is_current THEN 'v' END AS note, c_custkey AS place,
+            CASE WHEN changed AND _is_current THEN {T2} ELSE {T1} END AS _valid_from, _is_current, CAST(0 AS BIGINT) AS mismatches FROM v""",
 )
 def _schema_evolve(spark, sf_dir):
-    """A new column that is empty changes nothing; filled later, it opens versions."""
-    s1 = snapshots(spark, sf_dir)[0]
-    empty = s1.withColumn("note", F.lit(None).cast("string"))
-    filled = s1.withColumn("note", F.when(F.col("c_custkey") % 4 == 0, "v"))
-    archive, _ = _fresh_load(spark, sf_dir, s1, empty, filled)
-    return archive.read().select("c_custkey", "note", "_valid_from", "_is_current")
+    """A wider decimal, a new nested field and another letter case, on all customers; only changed rows open versions."""
+    cents = (F.col("c_custkey") % 100).cast("int")
+    base = _customers(spark, sf_dir).select("c_custkey", cents.cast("decimal(10,2)").alias("price"), F.struct(F.col("c_custkey").alias("place")).alias("info"))
+    changed = F.col("c_custkey") % 4 == 0
+    grown = base.select(
+        F.col("c_custkey").alias("C_CUSTKEY"),
+        (F.col("price").cast("decimal(10,4)") + F.when(changed, F.lit(0.25).cast("decimal(2,2)")).otherwise(0)).cast("decimal(12,4)").alias("Price"),
+        F.struct(F.when(changed, "v").alias("note"), F.col("info.place").alias("PLACE")).alias("info"),
+    )
+    archive, _ = _fresh_load(spark, sf_dir, base, grown)
+    wrong = temporal.verify_hash(archive.read()).agg(F.coalesce(F.sum("mismatches"), F.lit(0)).alias("mismatches"))
+    return (
+        archive.read()
+        .select("c_custkey", F.col("price").cast("double").alias("price"), "info.note", "info.place", "_valid_from", "_is_current")
+        .crossJoin(F.broadcast(wrong))  # one row
+    )
 
 
 def _run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,9 +384,9 @@ check(
     "strategy_dispatch",
     f"WITH x AS ({_expected_runs()}) SELECT source, strategy, CAST(SUM(rows_updated) AS BIGINT) AS rows_updated FROM x WHERE status = 'success' GROUP BY 1, 2",
 )(
-    lambda s, d: _run_rows(s, d)
-    .filter("status = 'success'")
-    .groupBy("source", "strategy")
+    lambda s, d: control.load_log(lab(s, d).pipeline()[0])
+    .filter("status = 'SUCCESS'")
+    .groupBy(F.col("source_table").alias("source"), F.col("load_strategy").alias("strategy"))
     .agg(F.sum("rows_updated").alias("rows_updated"))
 )
 check(
@@ -423,13 +450,13 @@ check(
 )
 check(
     "duplicate_current",
-    "SELECT 'users' AS _source_table, CAST(SUM(CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS dupes FROM customer WHERE c_custkey % 10 <> 9",
+    "SELECT 'users' AS _source_table, CAST(SUM(CASE WHEN c_custkey % 10 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS dupes FROM customer",
 )(
     lambda s, d: (
-        lambda s1: temporal.duplicate_current(
-            _fresh_load(s, d, s1.unionByName(s1.filter("c_custkey % 10 = 0")))[0].read()
+        lambda all_of: temporal.duplicate_current(
+            _fresh_load(s, d, all_of.unionByName(all_of.filter("c_custkey % 10 = 0")))[0].read()
         )
-    )(snapshots(s, d)[0])
+    )(_customers(s, d))
 )
 
 
@@ -443,6 +470,17 @@ def _archive_cluster(spark, sf_dir):
     return archive.read().groupBy("_is_current", "_loaded_at").agg(F.count("*").alias("versions"))
 
 
+@check("archive_vacuum", versions(f"_is_current, _valid_from AS _loaded_at, COUNT(*) AS versions, TRUE AS deleted", "GROUP BY 1, 2"))
+def _archive_vacuum(spark, sf_dir):
+    """Clustered twice and vacuumed: the versions are the same, the superseded files are gone."""
+    archive, _ = _fresh_load(spark, sf_dir, *snapshots(spark, sf_dir))
+    compaction.cluster_archive(archive, THIRD)
+    compaction.cluster_archive(archive, THIRD, everything=True)
+    deleted = compaction.vacuum(archive)
+    counts = archive.read().groupBy("_is_current", "_loaded_at").agg(F.count("*").alias("versions"))
+    return counts.withColumn("deleted", F.lit(deleted > 0))
+
+
 # ---- control tables and monitoring ----------------------------------------
 
 
@@ -543,7 +581,9 @@ _MARKS = " UNION ALL ".join(
     if e.is_active and e.watermark_column and e.source_view in SOURCES
 )
 check("watermark_status", _MARKS)(
-    lambda s, d: monitor.watermark_status(control.watermark_state(lab(s, d).pipeline()[0]), _registry(s))
+    lambda s, d: monitor.watermark_status(control.watermark_state(lab(s, d).pipeline()[0]), _registry(s)).drop(
+        "last_watermark", "watermark_type"
+    )
 )
 
 _ACTIVE = [e.source_view for e in REGISTRY if e.is_active and e.source_view in SOURCES]

@@ -609,7 +609,7 @@ check(
     "latest_task_run",
     """
     SELECT name, scheduled_time, run_id, state, completed_time, error_message FROM task_history
-    QUALIFY ROW_NUMBER() OVER (PARTITION BY name ORDER BY scheduled_time DESC, run_id DESC) = 1""",
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY name ORDER BY scheduled_time DESC NULLS LAST, run_id DESC) = 1""",
 )(lambda s, d: tasks.latest_task_run(lab(s, d).read("task_history")))
 
 check(

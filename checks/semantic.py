@@ -334,3 +334,26 @@ check(
     "semantic_multi_fact_total",
     f"""SELECT (SELECT {r('SUM(credits_used)')} FROM warehouse_metering) AS total_credits, (SELECT COUNT(query_id) FROM query_history) AS total_queries""",
 )(lambda s, d: ask(s, d, "warehouse_cost_analytics", ["total_credits", "total_queries"]))
+
+# Questions without a metric: tables that own none, alone and with their parent.
+check(
+    "semantic_dimensions",
+    """SELECT DISTINCT a.user_name AS access_user, q.query_type, q.execution_status FROM access_history a
+       LEFT JOIN query_history q ON a.query_id = q.query_id WHERE q.query_type IS NOT NULL""",
+)(
+    lambda s, d: ask(
+        s, d, "query_performance_analytics", [], ["access_user", "query_type", "execution_status"], filters=["query_type IS NOT NULL"]
+    )
+)
+check("semantic_dimensions_groups", "SELECT DISTINCT name AS group_name, type AS group_type FROM replication_groups")(
+    lambda s, d: ask(s, d, "bcdr_analytics", [], ["group_name", "group_type"])
+)
+check(
+    "semantic_security_parent",
+    """SELECT u.default_role, COUNT(l.event_id) AS total_logins FROM login_history l LEFT JOIN users u ON l.user_name = u.name GROUP BY 1""",
+)(lambda s, d: ask(s, d, "security_analytics", ["total_logins"], ["default_role"]))
+check(
+    "semantic_organization_parent",
+    f"""SELECT a.edition, {r('SUM(w.credits_used)')} AS total_wh_credits FROM warehouse_metering w
+        LEFT JOIN accounts a ON w.account_name = a.account_name GROUP BY 1""",
+)(lambda s, d: ask(s, d, "organization_analytics", ["total_wh_credits"], ["edition"]))

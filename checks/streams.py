@@ -5,14 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from checks.fixtures import derive
-from checks.lab import FIRST, fresh_store
+from checks.lab import FIRST, SECOND, fresh_store
 from checks.registry import check
 from checks.reports import QUEUE_COLUMNS
+from yearring.operators.scd import load_view
 from yearring.session import shared_dir
 from yearring.streaming import append, windows
 
@@ -21,12 +22,22 @@ Start = Callable[[DataFrame, str], StreamingQuery]
 CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 
 
-def _arrivals(spark: SparkSession, df: DataFrame, time_column: str, start: Start) -> str:
-    """Let a source arrive in three periods and catch up after each with the same checkpoint."""
-    base = f"{shared_dir(spark)}/yearring-stream-{uuid.uuid4().hex[:12]}"
+def _periods(df: DataFrame, time_column: str) -> list[DataFrame]:
     at, (one, two) = F.col(time_column), (F.lit(c).cast("timestamp_ntz") for c in CUTS)
-    for period in (at < one, (at >= one) & (at < two), at >= two):
-        df.filter(period).write.mode("append").parquet(f"{base}/in")
+    return [df.filter(p) for p in (at < one, (at >= one) & (at < two), at >= two)]
+
+
+def _arrivals(spark: SparkSession, df: DataFrame, time_column: str, start: Start, held: Column | None = None) -> str:
+    """Let a source arrive in three periods and catch up after each with the same checkpoint.
+
+    Rows that ``held`` picks arrive with the second period.
+    """
+    base = f"{shared_dir(spark)}/yearring-stream-{uuid.uuid4().hex[:12]}"
+    periods = _periods(df if held is None else df.filter(~held), time_column)
+    if held is not None:
+        periods[1] = periods[1].unionByName(df.filter(held))
+    for rows in periods:
+        rows.write.mode("append").parquet(f"{base}/in")
         _finish(start(append.file_stream(spark, f"{base}/in", df.schema), base))
     return base
 
@@ -49,11 +60,21 @@ def _append_only(spark, sf_dir):
     return archive.read().select("query_id", "user_name", "start_time")
 
 
-@check("stream_append_late", "SELECT event_id, user_name, event_timestamp FROM login_history")
+@check(
+    "stream_append_late",
+    """SELECT event_id, user_name, event_timestamp FROM login_history
+       WHERE NOT (event_id % 50 = 7 AND event_timestamp < TIMESTAMP '2024-01-06')""",
+)
 def _append_late(spark, sf_dir):
-    """Every failed login arrives twice; each must be stored once."""
+    """Every failed login arrives twice and is stored once.
+
+    Some logins of the first period arrive in the second: those within the lateness are stored, those beyond it are not.
+    """
     logins = derive(spark, sf_dir, "login_history")
     archive = fresh_store(spark).archive("usage", "login_stream")
+    at = F.col("event_timestamp")
+    beyond, within = (F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in ("06", "10"))
+    held = (F.col("event_id") % 50 == 7) & ((at < beyond) | ((at >= within) & (at < F.lit(CUTS[0]).cast("timestamp_ntz"))))
     _arrivals(
         spark,
         logins.unionByName(logins.filter("is_success = 'NO'")),
@@ -61,10 +82,44 @@ def _append_late(spark, sf_dir):
         lambda source, base: append.stream_append_late(
             source, archive, f"{base}/checkpoint", FIRST, "event_timestamp", "2 days"
         ),
+        held,
     )
     return archive.read().select("event_id", "user_name", "event_timestamp")
 
 
+@check("stream_append_restart", "SELECT event_id, user_name, event_timestamp FROM login_history")
+def _append_restart(spark, sf_dir):
+    """Every period by a new stream with a new checkpoint, started twice: all rows once."""
+    logins = derive(spark, sf_dir, "login_history")
+    archive = fresh_store(spark).archive("usage", "login_stream")
+    for rows in _periods(logins, "event_timestamp"):
+        base = f"{shared_dir(spark)}/yearring-stream-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{base}/in")
+        for _ in range(2):
+            _finish(append.stream_append_only(append.file_stream(spark, f"{base}/in", rows.schema), archive, f"{base}/checkpoint", FIRST))
+    return archive.read().select("event_id", "user_name", "event_timestamp")
+
+
+@check(
+    "stream_then_batch",
+    """SELECT event_id, event_timestamp, CAST(event_timestamp < TIMESTAMP '2024-01-21' AS BOOLEAN) AS by_stream, TRUE AS _is_current FROM login_history""",
+)
+def _then_batch(spark, sf_dir):
+    """Two periods by a stream, the rest by an append load of everything: it goes on from the stream and closes nothing."""
+    logins = derive(spark, sf_dir, "login_history")
+    archive = fresh_store(spark).archive("usage", "login_stream")
+    base = f"{shared_dir(spark)}/yearring-stream-{uuid.uuid4().hex[:12]}"
+    for rows in _periods(logins, "event_timestamp")[:2]:
+        rows.write.mode("append").parquet(f"{base}/in")
+        source = append.file_stream(spark, f"{base}/in", rows.schema)
+        _finish(append.stream_append_only(source, archive, f"{base}/checkpoint", FIRST, "event_timestamp"))
+    result = load_view(archive, logins, SECOND, "APPEND_ONLY", "event_timestamp")
+    if result.status != "success":
+        raise RuntimeError(result.error)
+    by_stream = F.col("_loaded_at") == F.lit(FIRST).cast("timestamp_ntz")
+    return archive.read().select("event_id", "event_timestamp", by_stream.alias("by_stream"), "_is_current")
+
+
 @check(
     "stream_queue_hourly",
     f"""WITH q AS (SELECT warehouse_name, date_trunc('hour', start_time)::TIMESTAMP AS hour, {QUEUE_COLUMNS} FROM query_history

@@ -61,3 +61,7 @@ def test_latest_run_breaks_ties_by_run_id(spark):
            CAST(NULL AS TIMESTAMP_NTZ) AS completed_time, CAST(NULL AS STRING) AS error_message FROM range(3)"""
     )
     assert [r["run_id"] for r in tasks.latest_task_run(df).collect()] == [2]
+    untimed = df.withColumns({"name": F.lit("b"), "scheduled_time": F.lit(None).cast("timestamp_ntz")})
+    some = untimed.unionByName(df.withColumn("name", F.lit("b")).filter("run_id = 0"))
+    assert [(r["name"], r["run_id"]) for r in tasks.latest_task_run(untimed).collect()] == [("b", 2)]
+    assert [(r["name"], r["run_id"]) for r in tasks.latest_task_run(some).collect()] == [("b", 0)]

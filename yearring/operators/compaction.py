@@ -1,33 +1,80 @@
-"""Clustering an archive by (current or not, load time)."""
+"""Clustering an archive by (current or not, load time), and removing what no manifest needs."""
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from yearring.sources.store import CLOSED, OPEN, Archive, Manifest
 
+FILE_BYTES = 256 << 20
 
-def cluster_archive(archive: Archive, now: str, files: int | None = None) -> Manifest:
-    """Rewrite the parts of an archive in ``_loaded_at`` order and commit them as one part each.
+
+def cluster_archive(archive: Archive, now: str, files: int | None = None, file_bytes: int = FILE_BYTES, everything: bool = False) -> Manifest:
+    """Rewrite the parts that are not clustered yet in ``_loaded_at`` order, and commit them as one part of each state.
 
     Open and closed rows stay in separate folders, so current-state queries read
     one of them; inside, file ranges and row-group statistics on ``_loaded_at``
     let time filters skip data.  The id breaks ties, because one load stamps all
     its rows with the same time and they could not be split over tasks.
+
+    The number of files follows the bytes of the parts.  A clustered part is only taken again when rows have been
+    closed in it (some of its files are skipped), or with ``everything``.
     """
     old = archive.manifest()
     version = old.version + 1
     parts = []
     for state in (OPEN, CLOSED):
-        rows = old.rows(state)
-        if not rows:
+        mine = [p for p in old.parts if p.state == state]
+        settled = [] if everything else [p for p in mine if p.clustered and not p.skip]
+        loose = [p for p in mine if p not in settled]
+        parts += settled
+        if not loose:
             continue
         directory = f"{archive.run_dir(version)}/clustered/{state}"
         keys = [F.col("_loaded_at"), F.col("_archive_id")]
-        data = archive.read(state, old)
-        ranged = data.repartitionByRange(files, *keys) if files else data.repartitionByRange(*keys)
-        ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{archive.path}/{directory}")
-        parts.append(archive.part(directory, state, rows))
+        count = files or max(1, -(-sum(p.bytes for p in loose) // file_bytes))
+        data = archive.read(state, replace(old, parts=tuple(loose)))
+        data.repartitionByRange(count, *keys).sortWithinPartitions(*keys).write.parquet(f"{archive.path}/{directory}")
+        parts.append(replace(archive.part(directory, state, sum(p.rows for p in loose)), clustered=True))
     return archive.commit(replace(old, version=version, parts=tuple(parts), modified=now))
+
+
+def vacuum(archive: Archive, keep_versions: int = 1) -> int:
+    """Delete what the newest ``keep_versions`` manifests do not name; returns the number of deleted files and folders.
+
+    Goes: older manifests, parts that only they name, files that all kept manifests skip, and staging of loads that never
+    committed.  Folders of versions above the newest belong to loads under way and stay.  Readers that still use an older
+    version fail, so ``keep_versions`` has to cover the longest query.
+    """
+    if keep_versions < 1:
+        raise ValueError("at least one version must stay")
+    fs, root = archive.fs, archive.path
+    logs = [n for n in fs.names(f"{root}/_log") if n.endswith(".json")]
+    kept = [Manifest.from_text(fs.read_text(f"{root}/_log/{n}")) for n in logs[-keep_versions:]]
+    if not kept:
+        return 0
+    newest, gone = kept[-1].version, 0
+    skipped: dict[str, set[str]] = {}
+    for manifest in kept:
+        for part in manifest.parts:
+            skipped[part.dir] = skipped.get(part.dir, set(part.skip)) & set(part.skip)
+    for name in logs[:-keep_versions]:
+        fs.drop_dir(f"{root}/_log/{name}")
+        gone += 1
+    for top in ("data", "staging"):
+        for run in fs.names(f"{root}/{top}"):
+            found = re.match(r"run=(\d+)", run)
+            if not found or int(found[1]) > newest:
+                continue
+            named = [d for d in skipped if d.startswith(f"data/{run}/")] if top == "data" else []
+            if not named:
+                fs.drop_dir(f"{root}/{top}/{run}")
+                gone += 1
+    for directory, names in skipped.items():
+        for name in names:
+            fs.drop_dir(f"{root}/{directory}/{name}")
+            gone += 1
+    return gone

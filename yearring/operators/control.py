@@ -20,10 +20,6 @@ LOG_SCHEMA = (
     "status string, error_message string, duration_seconds decimal(10,2), load_strategy string, "
     "load_timestamp timestamp_ntz, _row_hash string"
 )
-WATERMARK_SCHEMA = (
-    "source_schema string, source_view string, last_watermark_value timestamp_ntz, "
-    "last_loaded_at timestamp_ntz, rows_loaded bigint"
-)
 
 
 @dataclass(frozen=True)
@@ -50,38 +46,47 @@ def strategy_for(entries: Iterable[RegistryEntry], schema: str, view: str) -> tu
     return FULL_COMPARE, None
 
 
-def upsert(state: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """MERGE by key: rows of ``updates`` replace or join those of ``state``.
-
-    ``updates`` must hold one row per key.
-    """
-    return state.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-
-
 def watermark_get(archive: Archive) -> str | None:
     manifest = archive.manifest()
     return manifest.watermark if manifest else None
 
 
 def watermark_state(store: ArchiveStore) -> DataFrame:
-    """Watermark per source, as committed with the data it covers."""
+    """Watermark per source, as committed with the data it covers.
+
+    ``last_watermark`` is its text and ``watermark_type`` the column's type; ``last_watermark_value`` is the time, if it is one.
+    Instants are stored as microseconds since 1970 and shown in UTC.
+    """
     rows = []
     for archive in store.archives():
         m = archive.manifest()
         if m.watermark is not None:
-            rows.append((archive.schema, archive.view, m.watermark, m.modified, m.rows_loaded))
+            rows.append((archive.schema, archive.view, m.watermark, m.watermark_type, m.modified, m.rows_loaded))
     raw = store.spark.createDataFrame(
         rows,
-        "source_schema string, source_view string, last_watermark_value string, last_loaded_at string, rows_loaded bigint",
+        "source_schema string, source_view string, last_watermark string, watermark_type string, last_loaded_at string, rows_loaded bigint",
     )
-    columns = ("last_watermark_value", "last_loaded_at")
-    return raw.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+    text, kind = F.col("last_watermark"), F.col("watermark_type")
+    instant = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=(text.try_cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
+    value = F.when(kind.isin("date", "timestamp_ntz"), text.try_cast("timestamp_ntz")).when(kind == "timestamp", instant)
+    return raw.withColumns({"last_watermark_value": value, "last_loaded_at": F.col("last_loaded_at").cast("timestamp_ntz")})
 
 
 def log_archive(store: ArchiveStore) -> Archive:
     return store.archive("control", "load_log")
 
 
+def reserve_run(store: ArchiveStore, last: int) -> int:
+    """A run number above ``last`` that no other run has, even one that has not written its log yet."""
+    number = last + 1
+    while True:
+        try:
+            store.fs.write_new(f"{log_archive(store).path}/_runs/{number:08d}", "")
+            return number
+        except RuntimeError:
+            number += 1
+
+
 def load_log(store: ArchiveStore) -> DataFrame:
     archive = log_archive(store)
     if archive.manifest() is None:

@@ -8,7 +8,7 @@ the input has to be a plan without exchanges; :func:`needs_staging` tells.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -28,8 +28,20 @@ class Written:
 
 def needs_staging(df: DataFrame) -> bool:
     """True unless the plan is a chain of narrow steps over a file scan."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "FileScan" not in plan or "Exchange" in plan or "InMemoryTableScan" in plan
+    kinds = set(_operators(df._jdf.queryExecution().executedPlan()))
+    narrow = not any(k.endswith("ExchangeExec") or k in ("InMemoryTableScanExec", "CoalesceExec") for k in kinds)
+    return not narrow or not kinds & {"FileSourceScanExec", "BatchScanExec"}
+
+
+def _operators(plan) -> Iterator[str]:
+    """Kinds of all operators of a physical plan."""
+    kind = plan.getClass().getSimpleName()
+    yield kind
+    if kind == "AdaptiveSparkPlanExec":
+        yield from _operators(plan.inputPlan())
+    below = plan.children()
+    for i in range(below.size()):
+        yield from _operators(below.apply(i))
 
 
 def write_numbered(

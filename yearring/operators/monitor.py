@@ -70,7 +70,7 @@ def run_failures_latest(log: DataFrame) -> DataFrame:
 
 
 def watermark_status(state: DataFrame, registry: DataFrame) -> DataFrame:
-    columns = ["source_schema", "source_view", "last_watermark_value", "last_loaded_at", "load_strategy", "watermark_column", "is_active"]
+    columns = ["source_schema", "source_view", "last_watermark_value", "last_watermark", "watermark_type", "last_loaded_at", "load_strategy", "watermark_column", "is_active"]
     joined = state.join(registry, ["source_schema", "source_view"])
     return joined.select(*columns).orderBy(F.desc("last_loaded_at"), "source_schema", "source_view")
 
@@ -132,8 +132,10 @@ def row_count_union(archives: dict[str, DataFrame]) -> DataFrame:
 
 
 def sample_archive(archive: DataFrame, limit: int = 100) -> DataFrame:
-    """Some current rows; a limit outside 1..10000 becomes 100."""
-    return archive.filter("_is_current").limit(limit if 1 <= limit <= 10_000 else 100)
+    """Some current rows, as many as asked for."""
+    if limit < 1:
+        raise ValueError(f"limit must be 1 or more, not {limit}")
+    return archive.filter("_is_current").limit(limit)
 
 
 def export_csv(report: DataFrame, path: str) -> str:

@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearring.operators.control import LOG_SCHEMA, RegistryEntry, load_log, log_archive
+from yearring.operators.control import LOG_SCHEMA, RegistryEntry, load_log, log_archive, reserve_run, strategy_for
 from yearring.operators.scd import LoadResult, load_view
 from yearring.sources.store import ArchiveStore
 
@@ -60,14 +60,15 @@ def run_load(
     spark = store.spark
     active = sorted((e for e in registry if e.is_active), key=lambda e: (e.source_schema, e.source_view))
     now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    run_id = (load_log(store).agg(F.max("run_id").alias("m")).first()["m"] or 0) + 1
+    run_id = reserve_run(store, load_log(store).agg(F.max("run_id").alias("m")).first()["m"] or 0)
 
     def one(entry: RegistryEntry) -> tuple[LoadResult, float]:
         began = time.monotonic()
         archive = store.archive(entry.source_schema, entry.source_view)
         try:
             source = read(entry.source_schema, entry.source_view)
-            result = load_view(archive, source, now, entry.load_strategy, entry.watermark_column, system)
+            strategy, column = strategy_for(active, entry.source_schema, entry.source_view)
+            result = load_view(archive, source, now, strategy, column, system)
         except Exception as error:
             name = f"{entry.source_schema}.{entry.source_view}"
             result = LoadResult(name, f"{name}_archive", "error", strategy=entry.load_strategy, error=str(error), timestamp=now)

@@ -120,6 +120,14 @@ def _reach(view: SemanticView, table: Table) -> set[str]:
     return names
 
 
+def _nearest(view: SemanticView, names: set[str]) -> str:
+    """The table that reaches all names, having most of them itself."""
+    able = [t for t in view.tables if names <= _reach(view, t)]
+    if not able:
+        raise ValueError(f"no table of {view.name} reaches all of {sorted(names)}")
+    return max(able, key=lambda t: len(names & set(t.terms))).name
+
+
 def semantic_query(
     view: SemanticView,
     archives: Archives,
@@ -129,7 +137,9 @@ def semantic_query(
     order_by: Sequence[Column | str] = (),
     limit: int | None = None,
 ) -> DataFrame:
-    """Metrics by dimensions.
+    """Metrics by dimensions; without metrics the distinct rows of the dimensions.
+
+    A question without metrics is about the table nearest to its names: the one that reaches them all with the fewest parents.
 
     ``dimensions`` are logical names, or output names mapped to an expression
     over logical names, or to one expression per table when several fact tables
@@ -145,6 +155,10 @@ def semantic_query(
     every = set().union(*(t.terms for t in view.tables))
     used = dict.fromkeys(filters, 0)
     answers = []
+    if not metrics:
+        if not named:
+            raise ValueError("a question needs metrics or dimensions")
+        per_table[_nearest(view, set().union(*(_words(t) for t in (*named.values(), *filters))) & every)] = []
     for table_name, group in per_table.items():
         table = view.table(table_name)
         reach = _reach(view, table)
@@ -162,7 +176,8 @@ def semantic_query(
         for f in mine:
             rows = rows.filter(f)
         aggregates = [F.expr(m.expression).alias(m.name) for m in group]
-        answers.append(rows.groupBy(*[F.expr(t).alias(a) for a, t in by.items()]).agg(*aggregates))
+        columns = [F.expr(t).alias(a) for a, t in by.items()]
+        answers.append(rows.groupBy(*columns).agg(*aggregates) if group else rows.select(*columns).distinct())
     if unknown := [f for f, n in used.items() if n == 0]:
         raise ValueError(f"no fact table knows all names of {unknown}")
 

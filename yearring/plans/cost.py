@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -106,10 +108,14 @@ def daily_credit_summary(metering: DataFrame) -> DataFrame:
 
 
 def refresh_daily_credit_summary(metering: DataFrame, path: str) -> DataFrame:
-    """Write the summary and return the stored table."""
+    """Write the summary to a new folder below ``path`` and return the stored table.
+
+    Earlier summaries stay, so what was returned for them can still be read.
+    """
     summary = daily_credit_summary(metering)
-    summary.write.mode("overwrite").parquet(path)
-    return metering.sparkSession.read.schema(summary.schema).parquet(path)
+    here = f"{path.rstrip('/')}/summary={uuid.uuid4().hex[:12]}"
+    summary.write.parquet(here)
+    return metering.sparkSession.read.schema(summary.schema).parquet(here)
 
 
 def top_consumers(queries: DataFrame, asof: str, days: int = 30, limit: int = 25) -> DataFrame:

@@ -228,15 +228,17 @@ def queue_report(grouped: DataFrame) -> DataFrame:
     )
 
 
-def _accessed(access: DataFrame, array: str, *fields: str) -> DataFrame:
-    """One row per (query, object) with its number of mentions.
+def _accessed(queries: DataFrame, access: DataFrame, array: str, *fields: str) -> DataFrame:
+    """One row per (query, object) with its number of mentions, for the access rows of ``queries``.
 
-    Counting before the join keeps the shuffle small and collapses a query that
-    holds a large share of the access rows.
+    Access rows of other queries go before anything is exploded.  Counting before the join keeps the shuffle small and collapses
+    a query that holds a large share of the access rows.
     """
     columns = [F.col(f"item.{f}").alias(f) for f in fields]
     return (
         current_state(access)
+        .select("query_id", array)
+        .join(queries.select("query_id"), "query_id", "left_semi")
         .select("query_id", F.explode(array).alias("item"))
         .select("query_id", *columns)
         .groupBy("query_id", *fields)
@@ -245,13 +247,13 @@ def _accessed(access: DataFrame, array: str, *fields: str) -> DataFrame:
 
 
 def user_table_access(queries: DataFrame, access: DataFrame, asof: str, days: int = 30, limit: int = 100) -> DataFrame:
-    objects = _accessed(access, "direct_objects_accessed", "objectName", "objectDomain").filter(
+    recent = _recent(queries, asof, days)
+    objects = _accessed(recent, access, "direct_objects_accessed", "objectName", "objectDomain").filter(
         F.col("objectDomain") == "Table"
     )
     keys = ["user_name", "role_name", "table_accessed", "object_type"]
     return (
-        _recent(queries, asof, days)
-        .join(objects, "query_id")
+        recent.join(objects, "query_id")
         .groupBy("user_name", "role_name", F.col("objectName").alias("table_accessed"), F.col("objectDomain").alias("object_type"))
         .agg(
             F.sum("mentions").alias("access_count"),
@@ -289,11 +291,11 @@ def user_table_access_repeated(
 
 def lineage_modified(queries: DataFrame, access: DataFrame, asof: str, days: int = 30) -> DataFrame:
     """Who changed which objects; the column list is part of the key."""
-    objects = _accessed(access, "objects_modified", "objectName", "columns")
+    recent = _recent(queries, asof, days)
+    objects = _accessed(recent, access, "objects_modified", "objectName", "columns")
     weight = F.col("mentions")
     return (
-        _recent(queries, asof, days)
-        .join(objects, "query_id")
+        recent.join(objects, "query_id")
         .groupBy(
             "user_name",
             "role_name",
@@ -314,11 +316,11 @@ def lineage_modified(queries: DataFrame, access: DataFrame, asof: str, days: int
 
 
 def policy_access(queries: DataFrame, access: DataFrame, asof: str, days: int = 90) -> DataFrame:
-    policies = _accessed(access, "policies_referenced", "policyName", "policyKind")
+    recent = _recent(queries, asof, days)
+    policies = _accessed(recent, access, "policies_referenced", "policyName", "policyKind")
     keys = ["user_name", "role_name", "query_type", "policy_name", "policy_type"]
     return (
-        _recent(queries, asof, days)
-        .join(policies, "query_id")
+        recent.join(policies, "query_id")
         .groupBy(*keys[:3], F.col("policyName").alias("policy_name"), F.col("policyKind").alias("policy_type"))
         .agg(
             F.sum("mentions").alias("access_count"),

@@ -60,12 +60,12 @@ def latest_task_run(tasks: DataFrame) -> DataFrame:
     """Newest run per task name.
 
     The maximum of a struct keeps one row per name and map task; a ranking
-    window would sort all runs of a busy task in one place.
+    window would sort all runs of a busy task in one place.  Runs without a time come before all others,
+    so a name that has no other keeps one of them.
     """
     columns = ["scheduled_time", "run_id", "state", "completed_time", "error_message"]
     return (
-        tasks.filter(F.col("scheduled_time").isNotNull())
-        .groupBy("name")
+        tasks.groupBy("name")
         .agg(F.max(F.struct(*columns)).alias("run"))
         .select("name", *[F.col(f"run.{c}").alias(c) for c in columns])
     )

@@ -99,6 +99,7 @@ class Part:
     rows: int
     bytes: int = 0
     skip: tuple[str, ...] = ()
+    clustered: bool = False
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,6 @@ every checkpoint.  The highest watermark is committed with the rows, so that a b
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,29 +23,23 @@ from yearring.operators.scd import HISTORY_COLUMNS, as_versions, later_mark, sta
 from yearring.sources.store import OPEN, Archive, Manifest, SharedFs
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+def file_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, partitions: int | None = None
+) -> DataFrame:
+    """A stream over the files of a folder, in a session of its own.
+
+    Streams are not coalesced at run time and keep the number of state partitions they start with, so the batch default of
+    the session is seldom right for them: it is one per core, or ``partitions``.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
+    reader = own.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[None]:
-    """Start streams with one state partition per core, or ``count``.
-
-    Streams are not coalesced at run time and keep the number they start with,
-    so the batch default of the session is seldom right for them.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(count or spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
     """The name of the stream that owns a checkpoint, given on first use."""
     path, fs = f"{checkpoint.rstrip('/')}/archive-stream", SharedFs(spark, checkpoint)
@@ -113,8 +105,7 @@ def stream_append_only(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    with state_partitions(source.sparkSession):
-        return writer.start()
+    return writer.start()
 
 
 def without_repeats(source: DataFrame, time_column: str, lateness: str) -> DataFrame:
