@@ -57,9 +57,11 @@ def test_failed_logins_are_sorted_per_minute_not_per_user(spark, sf):
     assert "HashAggregate(keys=[_user" in below and "functions=[partial_count(1)" in below
 
 
-def test_access_reports_count_before_they_join(spark, sf):
+def test_access_reports_drop_other_queries_before_they_explode(spark, sf):
     here = lab(spark, sf)
-    text = plan(performance.policy_access(here.read("access_log"), here.read("access_history"), "2001-08-02 00:00:00"))
-    assert text.index("Join") < text.index("Generate explode")
-    below = text[text.index("Join") :]
-    assert "HashAggregate(keys=[query_id" in below
+    args = (here.read("access_log"), here.read("access_history"), "2001-08-02 00:00:00")
+    for report in (performance.policy_access, performance.lineage_modified, performance.user_table_access):
+        text = plan(report(*args))
+        assert text.index("Join") < text.index("Generate explode") < text.index("LeftSemi")
+        # mentions are counted before the join with the queries
+        assert "HashAggregate(keys=[query_id" in text[text.index("Join") : text.index("Generate explode")]

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from yearring.operators import scd, temporal
-from yearring.operators.compaction import cluster_archive
+from yearring.operators.compaction import cluster_archive, vacuum
 from yearring.operators.ids import needs_staging, write_numbered
 from yearring.sources.store import ArchiveStore
 
@@ -295,3 +295,59 @@ def test_as_of_accepts_a_null_end(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01' AS _valid_from, CAST(NULL AS TIMESTAMP_NTZ) AS _valid_to")
     assert temporal.as_of(df, "2024-01-01 00:00:00").count() == 1
     assert temporal.as_of(df, "2023-12-31 23:59:59").count() == 0
+
+
+def test_an_unchanged_plain_source_is_not_copied(spark, store, tmp_path, monkeypatch):
+    """Only hashes are staged when nothing changed; with changes, only the changed rows."""
+    path = str(tmp_path / "in")
+    spark.range(500).selectExpr("id AS k", "CAST(id AS STRING) AS v").write.parquet(path)
+    a, staged = store.archive("s", "v"), []
+    stage = scd.stage_source
+    monkeypatch.setattr(scd, "stage_source", lambda df, where: staged.append((where.rsplit("/", 1)[1], df.columns)) or stage(df, where))
+    load(a, spark.read.parquet(path), 0)
+    load(a, spark.read.parquet(path), 1)
+    assert staged == [("difference", ["h", "fresh"])]
+    spark.range(500).selectExpr("id AS k", "IF(id < 5, 'new', CAST(id AS STRING)) AS v").write.parquet(path + "2")
+    r = load(a, spark.read.parquet(path + "2"), 2)
+    assert (r.rows_inserted, r.rows_updated) == (5, 5)
+    assert [name for name, _ in staged] == ["difference", "difference", "fresh"]
+    check_invariants(a)
+
+
+def test_clustering_takes_only_new_parts_and_sizes_files(spark, store):
+    a = store.archive("s", "v")
+    load(a, frame(spark, [(i, "a") for i in range(300)]), 0)
+    first = cluster_archive(a, TIMES[1], file_bytes=1500)
+    (old,) = first.parts
+    assert old.clustered and len(a.fs.sizes(f"{a.path}/{old.dir}")) > 1
+    load(a, frame(spark, [(i, "a") for i in range(400)]), 2)
+    second = cluster_archive(a, TIMES[3])
+    assert old in second.parts and len(second.parts) == 2
+    assert cluster_archive(a, TIMES[4]).parts == second.parts
+    load(a, frame(spark, [(i, "a") for i in range(1, 400)]), 5)
+    cluster_archive(a, TIMES[6])
+    check_invariants(a)
+
+
+def test_vacuum_keeps_what_manifests_name(spark, store):
+    a = store.archive("s", "v")
+    for i, s in enumerate(([(1, "a"), (2, "b")], [(1, "c"), (2, "b"), (3, "d")], [(3, "d")])):
+        load(a, frame(spark, s), i)
+    a.fs.write_new(f"{a.path}/staging/run=2-lost/part", "x")
+    a.fs.write_new(f"{a.path}/data/run=99-underway/part", "x")
+    before, two_back = sorted(map(str, a.read().collect())), a.manifest().version - 1
+    assert vacuum(a, keep_versions=2) > 0
+    assert sorted(map(str, a.read().collect())) == before
+    names = a.fs.names(f"{a.path}/_log")
+    assert len(names) == 2 and a.fs.names(f"{a.path}/staging") == []
+    cluster_archive(a, TIMES[4])
+    vacuum(a)
+    assert sorted(map(str, a.read().collect())) == before
+    assert len(a.fs.names(f"{a.path}/_log")) == 1 and two_back
+    kept = {p.dir.split("/")[1] for p in a.manifest().parts}
+    assert set(a.fs.names(f"{a.path}/data")) == kept | {"run=99-underway"}
+    assert vacuum(a) == 0
+    load(a, frame(spark, [(9, "z")]), 5)
+    check_invariants(a)
+    with pytest.raises(ValueError):
+        vacuum(a, keep_versions=0)

@@ -60,3 +60,12 @@ def test_model_is_complete():
             assert view.table(metric.table)
         for link in view.relationships:
             assert view.table(link.child) and view.table(link.parent)
+
+
+def test_questions_without_a_metric(archives):
+    got = semantic_query(VIEWS["security_analytics"], archives, [], ["login_user", "default_role"], order_by=["login_user"])
+    assert [tuple(r) for r in got.collect()] == [("ann", "B"), ("bob", "A"), ("eve", None)]
+    own = semantic_query(VIEWS["security_analytics"], archives, [], {"role": "default_role"}, filters=["user_disabled = 'true'"])
+    assert [tuple(r) for r in own.collect()] == [("A",)]
+    with pytest.raises(ValueError, match="needs"):
+        semantic_query(VIEWS["security_analytics"], archives, [])

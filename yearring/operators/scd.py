@@ -236,6 +236,9 @@ def load_full(
     """Close what left the source and insert what is new, in one commit.
 
     With ``close=False`` nothing is closed: rows not stored yet are added.
+
+    A source that is a plain file scan is read once for its hashes, and again only where there are new rows; a source whose
+    scans could differ is staged first.
     """
     old = archive.manifest()
     version = old.version + 1
@@ -243,7 +246,11 @@ def load_full(
     mark = F.lit(None).cast("string")
     if watermark_column in source.columns:
         mark = watermark_text(F.max(watermark_column), source.schema[watermark_column].dataType)
-    staged, seen = _stage_measured(with_hash(source), f"{staging}/source", F.count("*").alias("rows"), mark.alias("mark"))
+    staged, plain = with_hash(source), not needs_staging(source)
+    if plain:
+        seen = source.agg(mark.alias("mark")).first().asDict()
+    else:
+        staged, seen = _stage_measured(staged, f"{staging}/source", mark.alias("mark"))
     current = archive.read(OPEN, old)
 
     difference, sizes = _stage_measured(
@@ -262,10 +269,12 @@ def load_full(
     if sizes["fresh"]:
         keys = _keys(difference, True, sizes["fresh"])
         fresh = staged.join(keys, hash_key() == keys["h"], "left_semi")
-        if sizes["fresh"] > BROADCAST_HASHES:
+        if plain or sizes["fresh"] > BROADCAST_HASHES:
             fresh = stage_source(fresh, f"{staging}/fresh")
         versions = as_versions(fresh, archive, system, now)
         written, added = _insert(versions, archive, struct, version, old.max_id)
+        if written.rows < sizes["fresh"]:
+            raise RuntimeError("the source changed while it was loaded")
         parts, inserted = (*parts, *added), written.rows
 
     manifest = archive.commit(
