@@ -19,15 +19,18 @@ def days(asof: str, n: int) -> str:
 
 # ---- cost -----------------------------------------------------------------
 
+# Each month has one of three grades; the sets are written apart and cover all months.
 check(
     "wh_rightsizing",
     f"""
-    SELECT warehouse_name, date_trunc('month', start_time)::TIMESTAMP AS month,
-        {r('AVG(avg_running)')} AS avg_concurrent_queries, {r('AVG(avg_queued_load)')} AS avg_queue_depth,
-        {r('SUM(credits_used)')} AS monthly_credits,
-        CASE WHEN AVG(avg_running) < 2 AND AVG(avg_queued_load) < 0.1 THEN 'DOWNSIZE CANDIDATE'
-             WHEN AVG(avg_queued_load) > 1 THEN 'UPSIZE OR MULTI-CLUSTER' ELSE 'APPROPRIATELY SIZED' END AS recommendation
-    FROM warehouse_metering GROUP BY 1, 2""",
+    WITH m AS (SELECT warehouse_name, date_trunc('month', start_time)::TIMESTAMP AS month, SUM(avg_running) / COUNT(avg_running) AS running,
+            SUM(avg_queued_load) / COUNT(avg_queued_load) AS queued, SUM(credits_used) AS credits FROM warehouse_metering GROUP BY ALL),
+    idle AS (SELECT *, '{cost.IDLE}' AS grade FROM m WHERE running < 2 AND queued < 0.1),
+    crowded AS (SELECT *, '{cost.CROWDED}' AS grade FROM m WHERE queued > 1),
+    graded AS (FROM idle UNION ALL FROM crowded)
+    SELECT warehouse_name, month, {r('m.running')} AS avg_concurrent_queries, {r('m.queued')} AS avg_queue_depth,
+        {r('m.credits')} AS monthly_credits, COALESCE(g.grade, '{cost.FITTING}') AS recommendation
+    FROM m LEFT JOIN graded g USING (warehouse_name, month)""",
 )(lambda s, d: cost.warehouse_rightsizing(lab(s, d).read("warehouse_metering")))
 
 check(
@@ -321,18 +324,19 @@ check(
 
 _SCAN = "partitions_scanned / NULLIF(partitions_total, 0)"
 
+# The months before a month are found by their rank, at most twelve of them.
 check(
     "query_anomalies",
     f"""
-    WITH b AS (SELECT user_name, date_trunc('month', start_time)::TIMESTAMP AS month, COUNT(*) AS query_count,
-            CAST(SUM(bytes_scanned) AS BIGINT) AS total_bytes,
-            AVG(COUNT(*)) OVER w AS a, STDDEV(COUNT(*)) OVER w AS d
-        FROM access_log GROUP BY user_name, date_trunc('month', start_time)::TIMESTAMP
-        WINDOW w AS (PARTITION BY user_name ORDER BY date_trunc('month', start_time)::TIMESTAMP ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
-    SELECT user_name, month, query_count, total_bytes, {r('a')} AS avg_query_count_12mo, {r('d')} AS stddev_query_count_12mo,
-        CASE WHEN query_count > a + 3 * d THEN 'ANOMALY: Significantly higher than historical average'
-             WHEN query_count < a - 3 * d THEN 'ANOMALY: Significantly lower than historical average' ELSE 'NORMAL' END AS anomaly_flag
-    FROM b WHERE month >= TIMESTAMP '2001-02-02'""",
+    WITH months AS (SELECT user_name, date_trunc('month', start_time)::TIMESTAMP AS month, COUNT(*) AS n, CAST(SUM(bytes_scanned) AS BIGINT) AS bytes
+            FROM access_log GROUP BY ALL),
+    ranked AS (SELECT *, RANK() OVER (PARTITION BY user_name ORDER BY month) AS place FROM months),
+    known AS (SELECT now.user_name, now.month, now.n, now.bytes, AVG(past.n) AS mean, STDDEV_SAMP(past.n) AS sigma
+        FROM ranked now LEFT JOIN ranked past ON past.user_name = now.user_name AND now.place - past.place BETWEEN 1 AND 12 GROUP BY ALL)
+    SELECT user_name, month, n AS query_count, bytes AS total_bytes, {r('mean')} AS avg_query_count_12mo, {r('sigma')} AS stddev_query_count_12mo,
+        COALESCE(CASE SIGN(n - mean) * CAST(ABS(n - mean) > 3 * sigma AS INT) WHEN 1 THEN '{performance.UNUSUAL_HIGH}'
+            WHEN -1 THEN '{performance.UNUSUAL_LOW}' END, '{performance.USUAL}') AS anomaly_flag
+    FROM known WHERE month >= TIMESTAMP '2001-02-02'""",
 )(lambda s, d: performance.query_anomalies(lab(s, d).read("access_log"), ASOF_ORDERS))
 
 check(
@@ -375,16 +379,16 @@ check(
     ORDER BY SUM(bytes_scanned) DESC, user_name, warehouse_name, query_parameterized_hash LIMIT 20""",
 )(lambda s, d: performance.high_partition_scan_by_user(lab(s, d).read("query_history"), ASOF_EVENTS, days=30, least=2))
 
+_SPILL_GRADE_ROWS = ", ".join(f"({2 - k}, '{label}')" for k, label in enumerate(performance.SPILL_GRADES))
 check(
     "spill_queries",
     f"""
+    WITH grades(level, recommendation) AS (VALUES {_SPILL_GRADE_ROWS}),
+    spilled AS (SELECT *, bytes_spilled_to_local_storage AS near, bytes_spilled_to_remote_storage AS far FROM query_history),
+    top AS (FROM spilled WHERE near > 0 OR far > 0 ORDER BY far DESC, near DESC, query_id LIMIT 50)
     SELECT user_name, warehouse_name, warehouse_size, query_type, query_id, {r('total_elapsed_time / 1000')} AS duration_sec,
-        {r(f'bytes_spilled_to_local_storage / {GB}')} AS local_spill_gb, {r(f'bytes_spilled_to_remote_storage / {GB}')} AS remote_spill_gb,
-        {r(f'bytes_scanned / {GB}')} AS gb_scanned,
-        CASE WHEN bytes_spilled_to_remote_storage > 0 THEN 'CRITICAL: Upsize warehouse'
-             WHEN bytes_spilled_to_local_storage > 1073741824 THEN 'WARNING: Consider upsizing' ELSE 'OK' END AS recommendation, start_time
-    FROM query_history WHERE bytes_spilled_to_local_storage > 0 OR bytes_spilled_to_remote_storage > 0
-    ORDER BY bytes_spilled_to_remote_storage DESC, bytes_spilled_to_local_storage DESC, query_id LIMIT 50""",
+        {r(f'near / {GB}')} AS local_spill_gb, {r(f'far / {GB}')} AS remote_spill_gb, {r(f'bytes_scanned / {GB}')} AS gb_scanned, recommendation, start_time
+    FROM top JOIN grades ON level = GREATEST(CAST(far > 0 AS INT) * 2, CAST(near > 1073741824 AS INT))""",
 )(lambda s, d: performance.spill_queries(lab(s, d).read("query_history")))
 
 check(
@@ -406,16 +410,24 @@ check(
     ORDER BY bytes_spilled_to_remote_storage DESC, query_id LIMIT 20""",
 )(lambda s, d: performance.remote_spill_recent(lab(s, d).read("query_history"), ASOF_EVENTS))
 
-QUEUE_COLUMNS = f"""COUNT(*) AS query_count, CAST(SUM(CASE WHEN queued_overload_time > 30000 THEN 1 ELSE 0 END) AS BIGINT) AS high_queue_count,
-        {r('AVG(queued_overload_time) / 1000')} AS avg_queue_sec, {r('MAX(queued_overload_time) / 1000')} AS max_queue_sec,
-        {r('SUM(CASE WHEN queued_overload_time > 30000 THEN 1 ELSE 0 END) * 100.0::DOUBLE / COUNT(*)', 2)} AS pct_queued,
-        CASE WHEN AVG(queued_overload_time) > 60000 THEN 'CRITICAL: Multi-cluster or upsize'
-             WHEN AVG(queued_overload_time) > 30000 THEN 'WARNING: Consider scaling' ELSE 'OK' END AS recommendation"""
+_QUEUE_GRADES = ", ".join(f"'{label}'" for label in performance.QUEUE_GRADES)
+
+
+def queue_hours(rows: str) -> str:
+    """Hours of ``rows`` whose mean wait is above five seconds; each passed limit moves the grade one place to the front."""
+    return f"""
+    WITH h AS (SELECT warehouse_name, date_trunc('hour', start_time)::TIMESTAMP AS hour, COUNT(*) AS n, MAX(queued_overload_time) AS worst,
+            COUNT(*) FILTER (queued_overload_time > 30000) AS waiting, SUM(queued_overload_time) / COUNT(queued_overload_time) AS mean
+        FROM {rows} GROUP BY ALL)
+    SELECT warehouse_name, hour, n AS query_count, waiting AS high_queue_count, {r('mean / 1000')} AS avg_queue_sec,
+        {r('worst / 1000')} AS max_queue_sec, {r('waiting * 100.0::DOUBLE / n', 2)} AS pct_queued,
+        ([{_QUEUE_GRADES}])[3 - CAST(mean > 30000 AS INT) - CAST(mean > 60000 AS INT)] AS recommendation
+    FROM h WHERE mean > 5000"""
+
+
 check(
     "queue_time_hourly",
-    f"""
-    SELECT warehouse_name, date_trunc('hour', start_time)::TIMESTAMP AS hour, {QUEUE_COLUMNS}
-    FROM query_history WHERE start_time >= {days(E, 7)} GROUP BY 1, 2 HAVING AVG(queued_overload_time) > 5000""",
+    queue_hours(f"(FROM query_history WHERE start_time >= {days(E, 7)})"),
 )(lambda s, d: performance.queue_time_hourly(lab(s, d).read("query_history"), ASOF_EVENTS))
 
 _JOINED = """qh AS (SELECT * FROM access_log WHERE start_time >= {since}),
@@ -494,17 +506,29 @@ check(
     ORDER BY SUM(bytes_scanned) DESC, query_parameterized_hash LIMIT 20""",
 )(lambda s, d: performance.repeated_patterns(lab(s, d).read("query_history"), ASOF_EVENTS))
 
+# One row for each alert of a query, then one column for each kind of alert.
+_ALERTS = " UNION ALL ".join(
+    f"SELECT query_id, '{kind}' AS kind, '{label}' AS label, {weight} AS weight FROM recent WHERE {when}"
+    for kind, label, weight, when in (
+        ("long", performance.LONG_ALERT, 1, "total_elapsed_time > 300000"),
+        ("scan", performance.SCAN_ALERT, 1, f"{_SCAN} > 0.9"),
+        ("spill", performance.REMOTE_ALERT, 1, "bytes_spilled_to_remote_storage > 0"),
+        ("spill", performance.LOCAL_ALERT, 0, "bytes_spilled_to_local_storage > 1073741824"),
+        ("queue", performance.QUEUE_ALERT, 1, "queued_overload_time > 30000"),
+        ("cache", performance.CACHE_ALERT, 0, "percentage_scanned_from_cache < 0.1 AND bytes_scanned > 1073741824"),
+    )
+)
 check(
     "alert_dashboard",
     f"""
-    SELECT query_id, user_name, warehouse_name, start_time, {r('total_elapsed_time / 1000 / 60')} AS duration_min,
-        CASE WHEN total_elapsed_time > 300000 THEN 'LONG_RUNNING' END AS long_running_alert,
-        CASE WHEN {_SCAN} > 0.9 THEN 'HIGH_SCAN_PCT' END AS partition_alert,
-        CASE WHEN bytes_spilled_to_remote_storage > 0 THEN 'REMOTE_SPILL' WHEN bytes_spilled_to_local_storage > 1073741824 THEN 'LOCAL_SPILL' END AS spill_alert,
-        CASE WHEN queued_overload_time > 30000 THEN 'HIGH_QUEUE' END AS queue_alert,
-        CASE WHEN percentage_scanned_from_cache < 0.1 AND bytes_scanned > 1073741824 THEN 'CACHE_MISS' END AS cache_alert
-    FROM query_history WHERE start_time >= {days(E, 1)} AND (total_elapsed_time > 300000 OR {_SCAN} > 0.9
-        OR bytes_spilled_to_remote_storage > 0 OR queued_overload_time > 30000)""",
+    WITH recent AS (SELECT * FROM query_history WHERE start_time >= {days(E, 1)}),
+    alerts AS ({_ALERTS}),
+    wide AS (SELECT query_id, MAX(label) FILTER (kind = 'long') AS long_running_alert, MAX(label) FILTER (kind = 'scan') AS partition_alert,
+            ARG_MAX(label, weight) FILTER (kind = 'spill') AS spill_alert, MAX(label) FILTER (kind = 'queue') AS queue_alert,
+            MAX(label) FILTER (kind = 'cache') AS cache_alert, SUM(weight) AS reasons FROM alerts GROUP BY query_id)
+    SELECT query_id, user_name, warehouse_name, start_time, {r('total_elapsed_time / 1000 / 60')} AS duration_min, long_running_alert, partition_alert,
+        spill_alert, queue_alert, cache_alert
+    FROM recent JOIN wide USING (query_id) WHERE reasons > 0""",
 )(lambda s, d: performance.alert_dashboard(lab(s, d).read("query_history"), ASOF_EVENTS))
 
 check(

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from checks.fixtures import derive
 from checks.lab import FIRST, SECOND, fresh_store
 from checks.registry import check
-from checks.reports import QUEUE_COLUMNS
+from checks.reports import queue_hours
 from yearring.operators.scd import load_view
 from yearring.session import shared_dir
 from yearring.streaming import append, windows
@@ -122,9 +122,8 @@ def _then_batch(spark, sf_dir):
 
 @check(
     "stream_queue_hourly",
-    f"""WITH q AS (SELECT warehouse_name, date_trunc('hour', start_time)::TIMESTAMP AS hour, {QUEUE_COLUMNS} FROM query_history
-            GROUP BY 1, 2 HAVING AVG(queued_overload_time) > 5000)
-        SELECT * FROM q WHERE hour + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', MAX(start_time)) FROM query_history) - INTERVAL 1 DAY""",
+    f"""SELECT * FROM ({queue_hours('query_history')})
+        WHERE hour + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', MAX(start_time)) FROM query_history) - INTERVAL 1 DAY""",
 )
 def _queue_hourly(spark, sf_dir):
     base = _arrivals(

@@ -21,6 +21,10 @@ def _credits() -> list:
     ]
 
 
+# What the report says of a warehouse that is idle, crowded or neither.
+IDLE, CROWDED, FITTING = "DOWNSIZE CANDIDATE", "UPSIZE OR MULTI-CLUSTER", "APPROPRIATELY SIZED"
+
+
 def warehouse_rightsizing(load: DataFrame) -> DataFrame:
     running, queued = F.col("avg_concurrent_queries"), F.col("avg_queue_depth")
     return (
@@ -33,9 +37,7 @@ def warehouse_rightsizing(load: DataFrame) -> DataFrame:
         )
         .withColumn(
             "recommendation",
-            F.when((running < 2) & (queued < 0.1), "DOWNSIZE CANDIDATE")
-            .when(queued > 1, "UPSIZE OR MULTI-CLUSTER")
-            .otherwise("APPROPRIATELY SIZED"),
+            F.when((running < 2) & (queued < 0.1), IDLE).when(queued > 1, CROWDED).otherwise(FITTING),
         )
         .orderBy(F.desc("monthly_credits"), "warehouse_name", "month")
     )

@@ -10,7 +10,15 @@ from yearring.functions.measures import GB, count_if, gb, minutes, percent, rati
 from yearring.functions.timefn import days_before, months_before, trunc_ts
 from yearring.operators.temporal import current_state
 
+# Limits and labels of the reports.
 _LONG_MS, _QUEUE_MS = 300_000, 30_000
+UNUSUAL_HIGH = "ANOMALY: Significantly higher than historical average"
+UNUSUAL_LOW = "ANOMALY: Significantly lower than historical average"
+USUAL = "NORMAL"
+SPILL_GRADES = ("CRITICAL: Upsize warehouse", "WARNING: Consider upsizing", "OK")
+QUEUE_GRADES = ("CRITICAL: Multi-cluster or upsize", "WARNING: Consider scaling", "OK")
+LONG_ALERT, SCAN_ALERT, QUEUE_ALERT, CACHE_ALERT = "LONG_RUNNING", "HIGH_SCAN_PCT", "HIGH_QUEUE", "CACHE_MISS"
+REMOTE_ALERT, LOCAL_ALERT = "REMOTE_SPILL", "LOCAL_SPILL"
 
 
 def _recent(queries: DataFrame, asof: str, days: int) -> DataFrame:
@@ -37,9 +45,9 @@ def query_anomalies(queries: DataFrame, asof: str, unit: str = "month", back: in
         )
         .withColumn(
             "anomaly_flag",
-            F.when(n > mean + 3 * sigma, "ANOMALY: Significantly higher than historical average")
-            .when(n < mean - 3 * sigma, "ANOMALY: Significantly lower than historical average")
-            .otherwise("NORMAL"),
+            F.when(n > mean + 3 * sigma, UNUSUAL_HIGH)
+            .when(n < mean - 3 * sigma, UNUSUAL_LOW)
+            .otherwise(USUAL),
         )
         .filter(F.col(unit) >= months_before(asof, months))
         .orderBy(F.desc(unit), "user_name")
@@ -147,9 +155,9 @@ def spill_queries(queries: DataFrame, limit: int = 50) -> DataFrame:
             gb(local).alias("local_spill_gb"),
             gb(remote).alias("remote_spill_gb"),
             gb("bytes_scanned").alias("gb_scanned"),
-            F.when(remote > 0, "CRITICAL: Upsize warehouse")
-            .when(local > GB, "WARNING: Consider upsizing")
-            .otherwise("OK")
+            F.when(remote > 0, SPILL_GRADES[0])
+            .when(local > GB, SPILL_GRADES[1])
+            .otherwise(SPILL_GRADES[2])
             .alias("recommendation"),
             "start_time",
         )
@@ -219,9 +227,7 @@ def queue_report(grouped: DataFrame) -> DataFrame:
                 "avg_queue_sec": seconds(mean),
                 "max_queue_sec": seconds("_max_ms"),
                 "pct_queued": F.round(F.col("high_queue_count") * 100.0 / F.col("query_count"), 2),
-                "recommendation": F.when(mean > 60_000, "CRITICAL: Multi-cluster or upsize")
-                .when(mean > _QUEUE_MS, "WARNING: Consider scaling")
-                .otherwise("OK"),
+                "recommendation": F.when(mean > 60_000, QUEUE_GRADES[0]).when(mean > _QUEUE_MS, QUEUE_GRADES[1]).otherwise(QUEUE_GRADES[2]),
             }
         )
         .drop("_avg_ms", "_max_ms")
@@ -384,11 +390,11 @@ def alert_dashboard(queries: DataFrame, asof: str, days: int = 1) -> DataFrame:
             "warehouse_name",
             "start_time",
             minutes("total_elapsed_time").alias("duration_min"),
-            F.when(slow, "LONG_RUNNING").alias("long_running_alert"),
-            F.when(_scans_most(), "HIGH_SCAN_PCT").alias("partition_alert"),
-            F.when(remote > 0, "REMOTE_SPILL").when(local > GB, "LOCAL_SPILL").alias("spill_alert"),
-            F.when(waiting, "HIGH_QUEUE").alias("queue_alert"),
-            F.when(cold, "CACHE_MISS").alias("cache_alert"),
+            F.when(slow, LONG_ALERT).alias("long_running_alert"),
+            F.when(_scans_most(), SCAN_ALERT).alias("partition_alert"),
+            F.when(remote > 0, REMOTE_ALERT).when(local > GB, LOCAL_ALERT).alias("spill_alert"),
+            F.when(waiting, QUEUE_ALERT).alias("queue_alert"),
+            F.when(cold, CACHE_ALERT).alias("cache_alert"),
         )
         .orderBy(F.desc("start_time"), "query_id")
     )
