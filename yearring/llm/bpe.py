@@ -130,24 +130,30 @@ class Encoder(dict):
         found = self[piece] = (b",".join([b"%d" % i for i in ids]), np.array(ids, "<u4").tobytes())
         return found
 
-    def encode(self, text: str) -> tuple[bytes, np.ndarray]:
-        """Ids of a text, in decimal joined by commas and as an array."""
+    def _found(self, text: str) -> list[tuple[bytes, bytes]]:
         if len(self) > REMEMBERED:
             self.clear()
             self.fits.clear()
         get = self.__getitem__
-        if "<" in text and self.specials.search(text):
-            found, at = [], 0
-            for match in self.specials.finditer(text):
-                found += map(get, self.pieces(text[at : match.start()]))
-                i = self.vocabulary.special[match.group().encode()]
-                found.append((b"%d" % i, np.array([i], "<u4").tobytes()))
-                at = match.end()
-            found += map(get, self.pieces(text[at:]))
-        else:
-            found = list(map(get, self.pieces(text)))
+        if "<" not in text or not self.specials.search(text):
+            return list(map(get, self.pieces(text)))
+        found, at = [], 0
+        for match in self.specials.finditer(text):
+            found += map(get, self.pieces(text[at : match.start()]))
+            i = self.vocabulary.special[match.group().encode()]
+            found.append((b"%d" % i, np.array([i], "<u4").tobytes()))
+            at = match.end()
+        found += map(get, self.pieces(text[at:]))
+        return found
+
+    def encode(self, text: str) -> tuple[bytes, np.ndarray]:
+        """Ids of a text, in decimal joined by commas and as an array."""
+        found = self._found(text)
         return b",".join([f[0] for f in found]), np.frombuffer(b"".join([f[1] for f in found]), "<u4")
 
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([f[1] for f in self._found(text)]), "<u4")
+
     def decode(self, ids: np.ndarray) -> bytes:
         v, out = self.vocabulary, []
         for at in range(0, len(ids), CHUNK):

@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup, winnowing
+from yearring.llm import bpe, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup, token_counts, winnowing
 
 TOKENIZERS = "/opt/tokenizers"
 _SHIPPED: set[str] = set()
@@ -66,6 +66,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir)).drop("repeats")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op4_winnowing": op4_winnowing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii": op10_pii,
