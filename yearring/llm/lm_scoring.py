@@ -129,11 +129,11 @@ def _answers(distinct: np.ndarray, answers: pa.Table, order: int, names: tuple[s
     return out
 
 
-def _estimates(words, pairs, offsets, word_counts, pair_counts, tokens: int):
+def _estimates(offsets, word_counts, pair_counts, tokens: int):
     """Bucket of each token's context, and the two maximum-likelihood estimates of the token."""
     context = np.empty_like(word_counts)
     context[1:] = word_counts[:-1]
-    if len(words):
+    if len(context):
         context[offsets[:-1]] = word_counts[offsets[1:] - 1]
     bucket = np.frexp(context.astype(np.float64))[1]  # 0 for no occurrence, else 1 + floor(log2)
     return bucket, pair_counts / np.maximum(context, 1), word_counts / max(tokens, 1)
@@ -156,12 +156,14 @@ def _histogram(n_owners: int, tokens: int):
         cells, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         if tune.any():
             found = []
+            # Only tuning tokens are looked up, and the contexts of their pairs with them: whole documents tune or do not.
+            own = np.concatenate([[0], np.cumsum(np.diff(offsets)[table["fold"].to_numpy() > 1])])
             for order, values in ((1, words), (2, pairs)):
-                distinct, place = _ranked(values)
+                distinct = np.unique(values)
                 train, tuned = _answers(distinct, answers, order, ("train", "tune"), n_owners)
-                found.append((train - tuned)[place])
-            bucket, pair, word = _estimates(words, pairs, offsets, *found, tokens)
-            cells = (bucket[tune] * LEVELS + _levels(pair[tune])) * LEVELS + _levels(word[tune])
+                found.append((train - tuned)[np.searchsorted(distinct, values[tune])])
+            bucket, pair, word = _estimates(own, *found, tokens)
+            cells = (bucket * LEVELS + _levels(pair)) * LEVELS + _levels(word)
             cells, counts = np.unique(cells, return_counts=True)
         return pa.table({"cell": pa.array(cells, pa.int64()), "n": pa.array(counts, pa.int64())})
 
@@ -201,7 +203,7 @@ def _score(n_owners: int, tokens: int, known: int, weights: np.ndarray):
         for order, values in ((1, words), (2, pairs)):
             distinct, place = _ranked(values)
             found.append(_answers(distinct, answers, order, ("train",), n_owners)[0][place])
-        bucket, pair, word = _estimates(words, pairs, offsets, *found, tokens)
+        bucket, pair, word = _estimates(offsets, *found, tokens)
         w = weights[bucket]
         model = np.log10(w[:, 0] * pair + w[:, 1] * word + w[:, 2] / (known + 1)) if tokens else np.zeros(len(words))
         base = np.log10((found[0] + 1) / (tokens + known + 1))
