@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from yearring.operators import control, monitor
@@ -48,10 +49,10 @@ def test_a_failed_source_does_not_stop_the_run(spark, store):
     assert [(r["source_view"], str(r["last_watermark_value"])) for r in state] == [("log", "2024-01-05 00:00:00")]
 
 
-def test_upsert_replaces_by_key(spark):
-    state = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")
-    assert sorted(map(tuple, control.upsert(state, new, ["k"]).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+def test_runs_never_share_a_number(spark, store):
+    """A run that has not written its log yet still keeps its number."""
+    assert [control.reserve_run(store, 0) for _ in range(3)] == [1, 2, 3]
+    assert control.reserve_run(store, 1) == 4
 
 
 def test_strategy_comes_from_the_active_entry():
@@ -59,6 +60,10 @@ def test_strategy_comes_from_the_active_entry():
     assert control.strategy_for(REGISTRY, "s", "off") == ("FULL_COMPARE", None)
 
 
-def test_sample_limit_is_kept_in_range(spark):
-    df = spark.range(300).withColumn("_is_current", F.col("id") < 250)
-    assert [monitor.sample_archive(df, n).count() for n in (5, 0, 10_001, 10_000)] == [5, 100, 100, 250]
+def test_samples_have_the_rows_asked_for(spark):
+    df = spark.range(12_000).withColumn("_is_current", F.col("id") % 8 != 0)
+    assert [monitor.sample_archive(df, n).count() for n in (1, 5, 10_400, 20_000)] == [1, 5, 10_400, 10_500]
+    for n in (0, -1):
+        with pytest.raises(ValueError):
+            monitor.sample_archive(df, n)
+

@@ -29,7 +29,7 @@ class Written:
 def needs_staging(df: DataFrame) -> bool:
     """True unless the plan is a chain of narrow steps over a file scan."""
     kinds = set(_operators(df._jdf.queryExecution().executedPlan()))
-    narrow = not any(k.endswith("ExchangeExec") or k in ("InMemoryTableScanExec", "CoalesceExec") for k in kinds)
+    narrow = not any(k.endswith(("ExchangeExec", "QueryStageExec")) or k in ("InMemoryTableScanExec", "CoalesceExec") for k in kinds)
     return not narrow or not kinds & {"FileSourceScanExec", "BatchScanExec"}
 
 
@@ -38,7 +38,7 @@ def _operators(plan) -> Iterator[str]:
     kind = plan.getClass().getSimpleName()
     yield kind
     if kind == "AdaptiveSparkPlanExec":
-        yield from _operators(plan.inputPlan())
+        yield from _operators(plan.executedPlan())
     below = plan.children()
     for i in range(below.size()):
         yield from _operators(below.apply(i))
