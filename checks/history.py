@@ -11,7 +11,7 @@ from checks.fixtures import ASOF_ORDERS, LOADED, SOURCES, derive, table
 from checks.lab import CHANGING, FIRST, REGISTRY, SECOND, THIRD, fresh_store, lab, snapshots
 from checks.registry import check
 from yearring.functions.hashing import row_hash, row_hash_concat
-from yearring.operators import compaction, control, monitor, pipeline, scd, temporal
+from yearring.operators import compaction, control, monitor, scd, temporal
 from yearring.session import shared_dir
 
 END = "TIMESTAMP '9999-12-31 23:59:59'"
