@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -175,6 +176,61 @@ def test_near_copies(nasty):
     assert Counter(r.doc_id for r in out.collect()) == want
 
 
+def kept_by_brute_force(rows):
+    """Ids that stay when all pairs are compared; and the similarity of each pair that is alike."""
+
+    def shingles(t):
+        words = lowered(t).split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    order = sorted(range(len(rows)), key=lambda n: LAST if rows[n][0] is None else rows[n][0])
+    sets = [shingles(rows[n][1]) for n in order]
+    near = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(rows)) for b in range(a)}
+    linked = [pair for pair, share in near.items() if share >= 0.8]
+    roots = components(len(rows), linked)
+    return Counter(rows[n][0] for k, n in enumerate(order) if roots[k] == k), [near[pair] for pair in linked]
+
+
+def stay(spark, rows):
+    return Counter(r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect())
+
+
+def test_near_copies_at_the_threshold(spark):
+    """Copies with text appended, cut off or edited, at a similarity of 0.80 to 0.85, are all found."""
+    rng, rows = random.Random(5), []
+    word = lambda: f"word{rng.randrange(10**9)}"
+    for i in range(60):
+        words = [word() for _ in range(200)]
+        if i % 3 == 0:
+            copy = words + [word() for _ in range(rng.randrange(36, 49))]
+        elif i % 3 == 1:
+            copy = words[: rng.randrange(161, 170)]
+        else:
+            copy = [word() if k in (30, 75, 120, 165) else w for k, w in enumerate(words)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    want, shares = kept_by_brute_force(rows)
+    assert len(shares) == 60 and all(0.8 <= s <= 0.85 for s in shares)
+    assert stay(spark, rows) == want
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 3])
+def test_near_copies_with_shared_passages(spark, monkeypatch, block):
+    """Texts of one template, alike and not, and chains of copies; also with blocks so small that there are many."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng, rows = random.Random(6), []
+    word = lambda: f"w{rng.randrange(10**6)}"
+    template = [word() for _ in range(100)]
+    for i in range(60):
+        rows.append((i, " ".join(template + [word() for _ in range(rng.randrange(0, 30))])))
+        if i % 4 == 0:
+            rows.append((1000 + i, rows[-1][1] + " " + word()))
+    chain = [word() for _ in range(120)]
+    for i in range(20):
+        rows.append((100 + i, " ".join(chain[2 * i : 2 * i + 60])))
+    rng.shuffle(rows)
+    assert stay(spark, rows) == kept_by_brute_force(rows)[0]
+
+
 def test_empty_tables(empty):
     assert exact_dedup.exact_dedup(empty).collect() == []
     assert exact_dedup.drop_copies(empty).collect() == []

@@ -32,7 +32,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearring.llm.parts import parted, row_number, runs, texts_of, written
+from yearring.llm.parts import (
+    owner_cuts,
+    owners,
+    pack_counts,
+    pack_sorted,
+    parted,
+    row_number,
+    runs,
+    texts_of,
+    unpack_counts,
+    unpack_sorted,
+    written,
+)
+from yearring.llm.words import grams, hashed
 
 SHINGLE = 3
 SEED = 42
@@ -44,6 +57,11 @@ GROUP = 20_000
 NEAR_RADIUS = 10
 SAMPLE_BITS = 18
 TABLES = 64
+#: Low bits of a shingle's hash that counting leaves out.
+SKETCH = 24
+#: Rows of one shingle in a block, and rows, over all blocks, that one Python call takes on average.
+BLOCK = 2_000
+PAIR_BUCKET = 20_000
 #: Fingerprints, over all groups, that one Python call takes on average.
 BUCKET = 50_000
 #: Fingerprints in a leaf, and children of an upper node.
@@ -315,40 +333,215 @@ def _shingles(text: Column, shingle: int) -> Column:
     return F.array_distinct(F.transform(F.array(words), each)[0])
 
 
+def _sets(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct shingles of each text (of a shorter text its words as one), sorted, and the number of each one's text."""
+    flat, offsets = hashed([t.lower().split() for t in texts])
+    sizes = np.diff(offsets)
+    counts = np.maximum(sizes - shingle + 1, 0)
+    documents, hashes = [np.repeat(np.arange(len(texts)), counts)], []
+    starts = np.repeat(offsets[:-1] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    hashes.append(grams(flat, shingle)[starts])
+    for n in range(shingle):
+        short = np.flatnonzero(sizes == n)
+        documents.append(short)
+        hashes.append(grams(flat, n)[offsets[short]] if n else np.zeros(len(short), np.uint64))
+    documents, hashes = np.concatenate(documents), np.concatenate(hashes)
+    order = np.lexsort((hashes, documents))
+    documents, hashes = documents[order], hashes[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (documents[1:] != documents[:-1]) | (hashes[1:] != hashes[:-1])
+    return documents[fresh], hashes[fresh]
+
+
+def _signatures(shingle: int):
+    def signatures(texts: pa.Array) -> dict[str, pa.Array]:
+        """128 bits of each text's set of shingles."""
+        documents, hashes = _sets(texts_of(texts), shingle)
+        cuts = np.searchsorted(documents, np.arange(len(texts) + 1))
+        return {"sig": pa.array([xxhash.xxh3_128_digest(hashes[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])], pa.binary())}
+
+    return signatures
+
+
+def _sketched(hashes: np.ndarray) -> np.ndarray:
+    """The bits by which shingles are counted.  Where two meet, both count as more frequent, which changes the order alike for all."""
+    return hashes & ~np.uint64((1 << SKETCH) - 1)
+
+
+def _send_shingles(n_owners: int, shingle: int):
+    """Shingles of a part to the owners of their hashes, with the number of texts that have each."""
+
+    def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        sketches, counts = np.unique(_sketched(_sets(texts_of(table["text"]), shingle)[1]), return_counts=True)
+        cuts = owner_cuts(sketches, n_owners)
+        there = np.flatnonzero(np.diff(cuts))
+        spans = [slice(cuts[o], cuts[o + 1]) for o in there]
+        return pa.table(
+            {
+                "owner": pa.array(there, pa.int32()),
+                "part": pa.array([key[0].as_py()] * len(there), pa.int64()),
+                "hashes": pa.array([pack_sorted(sketches[s] >> np.uint64(SKETCH)) for s in spans], pa.binary()),
+                "counts": pa.array([pack_counts(counts[s]) for s in spans], pa.binary()),
+            }
+        )
+
+    return send
+
+
+def _levels(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """For each shingle of a message how many texts have it, as eight times the logarithm: 0 for a single one."""
+    hashes = [unpack_sorted(b) for b in table["hashes"].to_pylist()]
+    counts = np.concatenate([unpack_counts(b) for b in table["counts"].to_pylist()])
+    _, place = np.unique(np.concatenate(hashes), return_inverse=True)
+    totals = np.bincount(place, weights=counts)
+    levels = np.minimum(8 * np.log2(totals), 255).astype(np.uint8)[place]
+    return pa.table(
+        {
+            "part": table["part"].combine_chunks(),
+            "owner": pa.array([key[0].as_py()] * table.num_rows, pa.int32()),
+            "levels": pa.array([x.tobytes() for x in np.split(levels, np.cumsum([len(h) for h in hashes])[:-1])], pa.binary()),
+        }
+    )
+
+
+def _prefixes(n_owners: int, shingle: int, similarity: float):
+    """The rarest shingles of each text, as many as a like text can't lack altogether, but for those that no other text has.
+
+    ``at`` is the place of a shingle among the ``n`` of its text, rare ones first, equally frequent ones by hash.
+    """
+
+    def prefixes(table: pa.Table, answers: pa.Table) -> pa.Table:
+        documents, hashes = _sets(texts_of(table["text"]), shingle)
+        sketches, place = np.unique(_sketched(hashes), return_inverse=True)
+        cuts = owner_cuts(sketches, n_owners)
+        levels = np.zeros(len(sketches), np.uint8)
+        for owner, blob in zip(answers["owner"].to_pylist(), answers["levels"].to_pylist()):
+            levels[cuts[owner] : cuts[owner + 1]] = np.frombuffer(blob, np.uint8)
+        levels = levels[place]
+        order = np.lexsort((hashes, levels, documents))
+        documents, hashes, levels = documents[order], hashes[order], levels[order]
+        sizes = np.bincount(documents, minlength=table.num_rows)
+        at = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        sizes = sizes[documents]
+        kept = (levels > 0) & (at <= sizes - np.ceil(similarity * sizes - 1e-9))
+        nodes = table["node"].to_numpy()
+        return pa.table(
+            {
+                "token": pa.array(hashes[kept].view(np.int64)),
+                "node": pa.array(nodes[documents[kept]]),
+                "n": pa.array(sizes[kept].astype(np.int32)),
+                "at": pa.array(at[kept].astype(np.int32)),
+            }
+        )
+
+    return prefixes
+
+
+def _pairs_between(share: float, chunk: int = 2_000_000):
+    """Pairs of unlike ``root`` within the groups of a bucket that can still share enough."""
+
+    def pairs(table: pa.Table) -> pa.Table:
+        token, one, two, block, node, root, n, at = (table[c].to_numpy() for c in ("token", "one", "two", "block", "node", "root", "n", "at"))
+        order = np.lexsort((node, block, two, one, token))
+        one, two, block, node, root, n, at = (v[order] for v in (one, two, block, node, root, n, at))
+        number = runs(token[order], one, two)
+        starts = np.searchsorted(number, np.arange(number[-1] + 2))
+        found = [np.empty((0, 2), np.int64)]
+        for a, b in zip(starts, starts[1:]):
+            # Of two blocks, rows of the first meet those of the second; within one block, all later ones.
+            cross = one[a] != two[a]
+            middle = a + int(np.searchsorted(block[a:b], two[a])) if cross and one[a] < two[a] else b
+            right = np.arange(middle if cross else a, b)
+            for x in range(a, middle, max(1, chunk // max(1, len(right)))):
+                left = np.arange(x, min(middle, x + max(1, chunk // max(1, len(right)))))
+                rest = np.minimum((n[left] - at[left])[:, None], (n[right] - at[right])[None, :])
+                near = (rest >= share * (n[left][:, None] + n[right][None, :]) - 1e-9) & (root[left][:, None] != root[right][None, :])
+                if not cross:
+                    near &= left[:, None] < right[None, :]
+                i, j = np.nonzero(near)
+                found.append(np.stack([np.maximum(node[left[i]], node[right[j]]), np.minimum(node[left[i]], node[right[j]])], axis=1))
+        found = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"x": pa.array(found[:, 0].copy()), "y": pa.array(found[:, 1].copy())})
+
+    return pairs
+
+
+def _cross_pairs(mixed: DataFrame, share: float) -> DataFrame:
+    """Pairs ``x, y`` of all rows of ``token, node, root, n, at`` with the same token, in blocks of bounded size."""
+    sizes = mixed.groupBy("token").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = mixed.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = written(other.select("token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "root", "n", "at"), "blocks")
+    buckets = both.count() // PAIR_BUCKET + 1
+    bucket = F.pmod(F.xxhash64("token", "one", "two"), F.lit(buckets))
+    return both.groupBy(bucket.alias("bucket")).applyInArrow(_pairs_between(share), "x long, y long").distinct()
+
+
 def drop_near_copies(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = NEAR_RADIUS
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
 ) -> DataFrame:
     """The rows of ``df`` but for near copies: of each group the row with the smallest id stays (ids of null come last).
 
     Rows link when the Jaccard index of their sets of ``shingle``-word shingles is ``similarity`` or more; a group is what links connect.
-    Candidates are fingerprints of the longer words within ``radius`` bits, found by the index over ``TABLES`` samples of the bits; each
-    candidate link is decided on the whole texts.  Where rows have equal fingerprints, the first and the last of them are compared with the others.
+    No link is missed but such as do not change the groups:
+
+    1. Rows with equal sets are linked; the first of them stands for all.
+    2. Parts send their shingles to hash owners and get back how many texts have each.
+    3. With shingles ordered rare ones first, two like rows share one of the first ``n - ceil(similarity * n) + 1`` of each (the prefix filter).
+       Shingles that a single text has are left out, so most rows meet no other.
+    4. Rows that share such a shingle are first compared with one of them.  What this links needs no further comparison.
+    5. All other pairs that share one are compared, in blocks, unless their places rule the similarity out.
+       Each comparison is of whole texts.
     """
-    table = parted(df, text_col, "near", _letters, "fp long")
+    n_owners, share = owners(df.sparkSession), similarity / (1 + similarity)
+    table = parted(df, text_col, "near", _signatures(shingle), "sig binary")
     text = F.coalesce(F.col("data").getField(text_col), F.lit(""))
     node = row_number(F.col("part"), F.col("row"))
-    nodes = table.select(node.alias("node"), "fp", F.col("data").getField(id_col).cast("long").alias("id"))
-    ends = written(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.max("node").alias("last")), "ends")
-    near = links(ends.select("fp"), radius, radius + 3, GROUP, sampled_masks())
-    two = F.explode(F.array_distinct(F.array("first", "last")))
-    both = near.join(ends.select(F.col("fp").alias("a"), two.alias("x")), "a").join(ends.select(F.col("fp").alias("b"), two.alias("y")), "b")
-    same = nodes.join(ends, "fp").select(F.col("node").alias("x"), two.alias("y")).filter("x <> y")
-    pairs = both.select("x", "y").union(same).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
-    pairs = written(pairs.distinct(), "pairs")
-    involved = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    by_part = involved.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")).alias("rows"))
-    # At most as many rows as the part has.  Joined by part, texts stay where they are.
-    sets = written(
-        table.join(by_part, "part").filter(F.array_contains("rows", F.col("row"))).select(node.alias("node"), _shingles(text, shingle).alias("s")), "shingles"
+    nodes = table.select(node.alias("node"), "sig", F.col("data").getField(id_col).cast("long").alias("id"))
+
+    def rows_by_part(some: DataFrame) -> DataFrame:
+        """At most as many rows as the part has.  Joined by part, texts stay where they are."""
+        row = F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+        return some.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(row).alias("rows"))
+
+    def without(some: DataFrame) -> DataFrame:
+        return table.join(rows_by_part(some), "part", "left").filter(F.col("rows").isNull() | ~F.array_contains("rows", F.col("row")))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs ``x, y`` that are similar, as ``a, b``."""
+        pairs = written(pairs, "pairs")
+        involved = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        chosen = table.join(rows_by_part(involved), "part").filter(F.array_contains("rows", F.col("row")))
+        sets = written(chosen.select(node.alias("node"), _shingles(text, shingle).alias("s")), "shingles")
+        sides = pairs.join(sets.withColumnRenamed("node", "x").withColumnRenamed("s", "sx"), "x").join(sets.withColumnRenamed("node", "y").withColumnRenamed("s", "sy"), "y")
+        common = F.size(F.array_intersect("sx", "sy"))
+        near = sides.filter(common >= similarity * (F.size("sx") + F.size("sy") - common))
+        return written(near.select(F.col("x").alias("a"), F.col("y").alias("b")), "alike")
+
+    firsts = nodes.groupBy("sig").agg(F.min("node").alias("b"), F.count("*").alias("rows")).filter("rows > 1")
+    equal = written(nodes.select(F.col("node").alias("a"), "sig").join(firsts.select("sig", "b"), "sig").filter("a <> b").select("a", "b"), "equal")
+    fresh = without(equal.select(F.col("a").alias("node"))).select("part", node.alias("node"), text.alias("text"))
+    sent = fresh.groupBy("part").applyInArrow(_send_shingles(n_owners, shingle), "owner int, part long, hashes binary, counts binary")
+    answers = sent.groupBy("owner").applyInArrow(_levels, "part long, owner int, levels binary")
+    prefixes = written(
+        fresh.groupBy("part")
+        .cogroup(answers.groupBy("part"))
+        .applyInArrow(_prefixes(n_owners, shingle, similarity), "token long, node long, n int, at int"),
+        "prefixes",
     )
-    sides = pairs.join(sets.withColumnRenamed("node", "x").withColumnRenamed("s", "sx"), "x").join(sets.withColumnRenamed("node", "y").withColumnRenamed("s", "sy"), "y")
-    common = F.size(F.array_intersect("sx", "sy"))
-    alike = sides.filter(common >= similarity * (F.size("sx") + F.size("sy") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    groups = connected(alike)
+    possible = lambda n, at: F.least(F.col("n") - F.col("at"), F.col(n) - F.col(at)) >= share * (F.col("n") + F.col(n)) - 1e-9
+    pivots = prefixes.groupBy("token").agg(F.min(F.struct("node", "n", "at")).alias("pivot"), F.count("*").alias("rows")).filter("rows > 1")
+    met = prefixes.join(pivots.select("token", "pivot"), "token").filter(F.col("node") > F.col("pivot.node")).filter(possible("pivot.n", "pivot.at"))
+    found = alike(met.select(F.col("node").alias("x"), F.col("pivot.node").alias("y")).distinct()).union(equal)
+    groups = connected(found)
+    rooted = prefixes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = written(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token"), "apart")
+    if not apart.isEmpty():
+        mixed = written(rooted.join(apart, "token", "left_semi"), "mixed")
+        more = alike(_cross_pairs(mixed, share))
+        groups = connected(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     groups = groups.union(groups.select("root", "root").distinct()).toDF("node", "root")
     members = written(groups.join(nodes, "node").select("node", "root", F.coalesce("id", F.lit(np.iinfo(np.int64).max)).alias("id")), "members")
     keep = members.groupBy("root").agg(F.min(F.struct("id", "node")).alias("keep"))
     gone = members.join(keep, "root").filter(F.col("node") != F.col("keep.node"))
-    lists = gone.groupBy(F.shiftright("node", 20).alias("part")).agg(F.collect_list(F.col("node").bitwiseAND(F.lit((1 << 20) - 1)).cast("int")).alias("rows"))
-    stays = table.join(lists, "part", "left").filter(F.col("rows").isNull() | ~F.array_contains("rows", F.col("row")))
-    return stays.select(*[F.col("data").getField(c).alias(c) for c in df.columns])
+    return without(gone).select(*[F.col("data").getField(c).alias(c) for c in df.columns])
