@@ -231,6 +231,20 @@ def test_near_copies_with_shared_passages(spark, monkeypatch, block):
     assert stay(spark, rows) == kept_by_brute_force(rows)[0]
 
 
+def test_near_copies_among_equal_words(spark):
+    """Rows of the same long words: copies in the middle are found though the first and the last row are unlike them."""
+    rng, rows = random.Random(8), []
+    words = [f"word{rng.randrange(10**9)}" for _ in range(60)]
+    for i in range(30):
+        rng.shuffle(words)
+        rows.append((2 * i, " ".join(words) + f" n{i}"))
+        if 0 < i < 29:
+            rows.append((2 * i + 1, " ".join(words) + f" m{i}"))
+    want, shares = kept_by_brute_force(rows)
+    assert len(shares) == 28
+    assert stay(spark, rows) == want
+
+
 def test_empty_tables(empty):
     assert exact_dedup.exact_dedup(empty).collect() == []
     assert exact_dedup.drop_copies(empty).collect() == []
