@@ -245,6 +245,18 @@ def test_near_copies_among_equal_words(spark):
     assert stay(spark, rows) == want
 
 
+def test_near_copies_of_seven_and_eight_long_words(spark):
+    """One long word more does not hide a copy, however few long words there are."""
+    rng, rows = random.Random(9), []
+    for i in range(30):
+        words = [f"word{rng.randrange(10**9)}" for _ in range(7)] + [f"{rng.randrange(10**4)}" for _ in range(21)]
+        rng.shuffle(words)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words) + f" word{rng.randrange(10**9)}")]
+    want, shares = kept_by_brute_force(rows)
+    assert len(shares) == 30 and min(shares) == 0.96
+    assert stay(spark, rows) == want
+
+
 def test_empty_tables(empty):
     assert exact_dedup.exact_dedup(empty).collect() == []
     assert exact_dedup.drop_copies(empty).collect() == []

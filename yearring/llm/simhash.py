@@ -301,23 +301,6 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 # Near copies by exact similarity
 
 
-def letters_fingerprint(text: bytes, least: int = 5) -> int:
-    """SimHash of the words of ``least`` bytes or more (of all words if there are few such)."""
-    words = text.lower().split()
-    long = [w for w in words if len(w) >= least]
-    if len(long) < 8:
-        long = words
-    if not long:
-        return 0
-    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in long], "<u8")
-    votes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
-
-
-def _letters(texts: pa.Array) -> dict[str, pa.Array]:
-    return {"fp": pa.array(np.array([letters_fingerprint(t) for t in texts_of(texts)], np.uint64).view(np.int64))}
-
-
 def sampled_masks(bits: int = SAMPLE_BITS, tables: int = TABLES, seed: int = SEED) -> list[int]:
     rng = np.random.default_rng(seed)
     return [sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(tables)]
