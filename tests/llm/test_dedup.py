@@ -257,6 +257,23 @@ def test_near_copies_of_seven_and_eight_long_words(spark):
     assert stay(spark, rows) == want
 
 
+def test_near_copies_with_unlike_fingerprints_between(spark):
+    """Pairs of copies among 40 texts of nearly the same words in another order, whose fingerprints lie between theirs."""
+    rng, rows = random.Random(7), []
+    word = lambda: f"word{rng.randrange(10**9)}"
+    for family in range(12):
+        words = [word() for _ in range(200)]
+        extra = [word() for _ in range(40)]
+        rows += [(1000 * family, " ".join(words)), (1000 * family + 1, " ".join(words + extra))]
+        for i in range(40):
+            mixed = words + extra[: i + 1]
+            rng.shuffle(mixed)
+            rows.append((1000 * family + 2 + i, " ".join(mixed)))
+    want, shares = kept_by_brute_force(rows)
+    assert len(shares) == 12
+    assert stay(spark, rows) == want
+
+
 def test_empty_tables(empty):
     assert exact_dedup.exact_dedup(empty).collect() == []
     assert exact_dedup.drop_copies(empty).collect() == []

@@ -53,10 +53,6 @@ RADIUS = 2
 BLOCKS = 5
 #: Fingerprints in one group before it is cut again.
 GROUP = 20_000
-#: Near copies: bits that may differ, and the samples of bits to group by.
-NEAR_RADIUS = 10
-SAMPLE_BITS = 18
-TABLES = 64
 #: Low bits of a shingle's hash that counting leaves out.
 SKETCH = 24
 #: Rows of one shingle in a block, and rows, over all blocks, that one Python call takes on average.
@@ -301,11 +297,6 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 # Near copies by exact similarity
 
 
-def sampled_masks(bits: int = SAMPLE_BITS, tables: int = TABLES, seed: int = SEED) -> list[int]:
-    rng = np.random.default_rng(seed)
-    return [sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(tables)]
-
-
 def _shingles(text: Column, shingle: int) -> Column:
     """Hashes of the distinct shingles of a text; of a shorter text its words as one."""
     trimmed = F.btrim(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(" \t\n\x0b\x0c\r"))
@@ -390,7 +381,8 @@ def _levels(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 def _prefixes(n_owners: int, shingle: int, similarity: float):
     """The rarest shingles of each text, as many as a like text can't lack altogether, but for those that no other text has.
 
-    ``at`` is the place of a shingle among the ``n`` of its text, rare ones first, equally frequent ones by hash.
+    ``at`` is the place of a shingle among the ``n`` of its text, rare ones first, equally frequent ones by hash; ``typical`` is
+    the mean level of the text's shingles.
     """
 
     def prefixes(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -404,6 +396,7 @@ def _prefixes(n_owners: int, shingle: int, similarity: float):
         order = np.lexsort((hashes, levels, documents))
         documents, hashes, levels = documents[order], hashes[order], levels[order]
         sizes = np.bincount(documents, minlength=table.num_rows)
+        typical = np.bincount(documents, weights=levels, minlength=table.num_rows) / sizes
         at = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         sizes = sizes[documents]
         kept = (levels > 0) & (at <= sizes - np.ceil(similarity * sizes - 1e-9))
@@ -414,6 +407,7 @@ def _prefixes(n_owners: int, shingle: int, similarity: float):
                 "node": pa.array(nodes[documents[kept]]),
                 "n": pa.array(sizes[kept].astype(np.int32)),
                 "at": pa.array(at[kept].astype(np.int32)),
+                "typical": pa.array(typical[documents[kept]].astype(np.float32)),
             }
         )
 
@@ -472,7 +466,7 @@ def drop_near_copies(
     2. Parts send their shingles to hash owners and get back how many texts have each.
     3. With shingles ordered rare ones first, two like rows share one of the first ``n - ceil(similarity * n) + 1`` of each (the prefix filter).
        Shingles that a single text has are left out, so most rows meet no other.
-    4. Rows that share such a shingle are first compared with one of them.  What this links needs no further comparison.
+    4. Rows that share such a shingle are first compared with the one whose shingles are the most frequent: edited copies with their original.  What this links needs no further comparison.
     5. All other pairs that share one are compared, in blocks, unless their places rule the similarity out.
        Each comparison is of whole texts.
     """
@@ -509,13 +503,14 @@ def drop_near_copies(
     prefixes = written(
         fresh.groupBy("part")
         .cogroup(answers.groupBy("part"))
-        .applyInArrow(_prefixes(n_owners, shingle, similarity), "token long, node long, n int, at int"),
+        .applyInArrow(_prefixes(n_owners, shingle, similarity), "token long, node long, n int, at int, typical float"),
         "prefixes",
     )
     possible = lambda n, at: F.least(F.col("n") - F.col("at"), F.col(n) - F.col(at)) >= share * (F.col("n") + F.col(n)) - 1e-9
-    pivots = prefixes.groupBy("token").agg(F.min(F.struct("node", "n", "at")).alias("pivot"), F.count("*").alias("rows")).filter("rows > 1")
-    met = prefixes.join(pivots.select("token", "pivot"), "token").filter(F.col("node") > F.col("pivot.node")).filter(possible("pivot.n", "pivot.at"))
-    found = alike(met.select(F.col("node").alias("x"), F.col("pivot.node").alias("y")).distinct()).union(equal)
+    pivots = prefixes.groupBy("token").agg(F.max(F.struct("typical", "node", "n", "at")).alias("pivot"), F.count("*").alias("rows")).filter("rows > 1")
+    met = prefixes.join(pivots.select("token", "pivot"), "token").filter(F.col("node") != F.col("pivot.node")).filter(possible("pivot.n", "pivot.at"))
+    met = met.select(F.greatest("node", "pivot.node").alias("x"), F.least("node", "pivot.node").alias("y")).distinct()
+    found = alike(met).union(equal)
     groups = connected(found)
     rooted = prefixes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = written(rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token"), "apart")
