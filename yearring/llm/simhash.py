@@ -55,6 +55,8 @@ BLOCKS = 5
 GROUP = 20_000
 #: Low bits of a shingle's hash that counting leaves out.
 SKETCH = 24
+#: Bytes of text, about, whose words are held at once.
+SLICE = 1 << 20
 #: Rows of one shingle in a block, and rows, over all blocks, that one Python call takes on average.
 BLOCK = 2_000
 PAIR_BUCKET = 20_000
@@ -309,7 +311,16 @@ def _shingles(text: Column, shingle: int) -> Column:
 
 def _sets(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text (of a shorter text its words as one), sorted, and the number of each one's text."""
-    flat, offsets = hashed([t.lower().split() for t in texts])
+    ends = np.cumsum([len(t) for t in texts]) // SLICE
+    cuts = [*np.flatnonzero(np.diff(ends, prepend=-1)).tolist(), len(texts)]
+    slices = [_sets_of_slice(texts[a:b], shingle) for a, b in zip(cuts, cuts[1:])]
+    if not slices:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    return np.concatenate([d + a for (d, _), a in zip(slices, cuts)]), np.concatenate([h for _, h in slices])
+
+
+def _sets_of_slice(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    flat, offsets = hashed([t.lower().split() for t in texts], remember=False)
     sizes = np.diff(offsets)
     counts = np.maximum(sizes - shingle + 1, 0)
     documents, hashes = [np.repeat(np.arange(len(texts)), counts)], []

@@ -18,14 +18,18 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def hashed(lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and where each document's words begin (with the end as last entry)."""
-    if len(_hashes) > REMEMBERED:
-        _hashes.clear()
+def hashed(lists: list[list[bytes]], remember: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and where each document's words begin (with the end as last entry).
+
+    Without ``remember`` the words are forgotten after the call, which leaves no memory taken in the worker.
+    """
+    known = _hashes if remember else _Hashes()
+    if len(known) > REMEMBERED:
+        known.clear()
     offsets = np.concatenate([[0], np.cumsum([len(words) for words in lists], dtype=np.int64)]).astype(np.int64)
     flat = np.empty(int(offsets[-1]), np.uint64)
     for words, a, b in zip(lists, offsets, offsets[1:]):
-        flat[a:b] = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+        flat[a:b] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     return flat, offsets
 
 
