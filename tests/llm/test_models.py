@@ -147,6 +147,18 @@ def test_without_both_classes(nasty, spark, labels):
     assert {(r.score, r.predicted) for r in out} == {(0.5, 1)}
 
 
+def test_a_text_that_does_not_fit_is_passed_over(spark):
+    """The others of both classes are still learned from; without any of a class there is an error instead of an untrained model."""
+    rows = [(i, "long " * (400 if i < 30 else 4)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    learn = labels["doc_id"].isNotNull()
+    texts, known = quality.sample(df, labels, learn, "doc_id", "text", "quality", 100, 1000)
+    assert sorted(known) == [0] * 5 + [1] * 5 and all(len(t) == 20 for t in texts)
+    with pytest.raises(ValueError, match="class"):
+        quality.fit(df, labels.filter("doc_id < 30 OR quality = 1"), learn, max_bytes=1000)
+
+
 def test_empty_tables(empty, spark):
     assert lm_scoring.lm_scores(empty).collect() == []
     assert quality.quality_scores(empty, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")).collect() == []

@@ -118,7 +118,10 @@ class ByteCNN:
 
 
 def sample(df: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str, per_class: int, max_bytes: int):
-    """Texts and labels of at most ``per_class`` rows of each class and ``max_bytes`` altogether."""
+    """Texts and labels of at most ``per_class`` rows of each class and ``max_bytes`` altogether, half of them for each class.
+
+    A text that does not fit is passed over.  If this leaves a class without texts, there is nothing to learn from, which is an error.
+    """
     known = labels.filter(learn).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL")
     one = known.filter("y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
     order = F.xxhash64("id", F.lit(1))
@@ -127,9 +130,16 @@ def sample(df: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_co
     # At most 2 * per_class ids, so the broadcast has a fixed bound.
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = texts.join(F.broadcast(ids), "id").select("id", "y", "text", F.octet_length("text").alias("size"))
-    sizes = found.groupBy("id").agg(F.max("size").alias("size")).orderBy(F.xxhash64("id", F.lit(1)), "id").collect()
-    ends = np.cumsum([r["size"] for r in sizes]) if sizes else np.empty(0)
-    small = [r["id"] for r, end in zip(sizes, ends) if end <= max_bytes]
+    sizes = found.groupBy("id", "y").agg(F.max("size").alias("size")).orderBy(F.xxhash64("id", F.lit(1)), "id").collect()
+    small, room = {0: [], 1: []}, {0: max_bytes // 2, 1: max_bytes // 2}
+    for r in sizes:
+        if r["size"] <= room[r["y"]]:
+            room[r["y"]] -= r["size"]
+            small[r["y"]].append(r["id"])
+    for y in {r["y"] for r in sizes}:
+        if not small[y]:
+            raise ValueError(f"no text of class {y} fits into {max_bytes // 2} bytes, so the classifier can't be trained")
+    small = small[0] + small[1]
     if not small:
         return [], []
     rows = found.filter(F.col("id").isin(small)).groupBy("id").agg(F.min(F.struct("text", "y")).alias("r")).select("id", "r.text", "r.y")
