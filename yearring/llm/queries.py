@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, chat_format, exact_dedup, lm_scoring, packing, pii, quality, simhash, substring_dedup, token_counts, winnowing
+from yearring.llm import bpe, chat_format, exact_dedup, lm_scoring, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, winnowing
 
 TOKENIZERS = "/opt/tokenizers"
 _SHIPPED: set[str] = set()
@@ -90,6 +90,10 @@ def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(turns.unionByName(planted)))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
@@ -102,6 +106,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii": op10_pii,
     "op11_chat_formatting": op11_chat_formatting,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES = {
@@ -149,4 +154,61 @@ ORACLES = {
                sum(length(role) + length(text) + escapes + length('<|im_start|><|im_sep|><|im_end|>'))::BIGINT AS formatted_chars
         FROM m GROUP BY conv_id
     """,
+    # Levels by recursion; siblings, marked by their side, folded as a list.  The remainder of the CRC goes through 8 shifts for each digit.
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE bits AS (
+            SELECT doc_id, doc_id::VARCHAR AS digits, 0 AS step, 4294967295::BIGINT AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+            UNION ALL
+            SELECT doc_id, digits, step + 1,
+                   CASE WHEN step % 9 = 0 THEN xor(c, ascii(digits[step // 9 + 1])::BIGINT)
+                        WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+            FROM bits WHERE step < 9 * length(digits)
+        ),
+        hit AS (SELECT doc_id FROM bits WHERE step = 9 * length(digits) AND xor(c, 4294967295) % 7 = 0),
+        f AS (
+            SELECT d.doc_id, lang,
+                   coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+                   coalesce(strlen((n_chars + (hit.doc_id IS NOT NULL)::INT)::VARCHAR) || ':' || (n_chars + (hit.doc_id IS NOT NULL)::INT), '-') AS chars_seen,
+                   coalesce(strlen(text) || ':' || text, '-') AS body
+            FROM documents d LEFT JOIN hit ON d.doc_id = hit.doc_id
+        ),
+        d AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS tree, leaf, seen, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                   count(*) OVER (PARTITION BY lang) AS n
+            FROM (SELECT doc_id, lang, sha256(head || chars || body) AS leaf, sha256(head || chars_seen || body) AS seen FROM f)
+        ),
+        node AS (
+            SELECT tree, 0 AS level, idx, n, leaf AS digest FROM d
+            UNION ALL
+            SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM node WHERE n > 1 GROUP BY tree, level, idx // 2, n
+        ),
+        s AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM node WHERE n = 1),
+        high AS (
+            SELECT 0 AS level, idx, n, subroot AS digest FROM s
+            UNION ALL
+            SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY level, idx // 2, n
+        ),
+        high_steps AS (
+            SELECT s.tree, l.level, CASE WHEN o.digest IS NULL THEN 'N' WHEN o.idx % 2 = 0 THEN 'L' || o.digest ELSE 'R' || o.digest END AS step
+            FROM s JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l ON true LEFT JOIN high o ON o.level = l.level AND o.idx = xor(s.idx >> l.level, 1)
+        ),
+        steps AS (
+            SELECT d.doc_id, d.tree, d.idx, l.level, CASE WHEN o.digest IS NULL THEN 'N' WHEN o.idx % 2 = 0 THEN 'L' || o.digest ELSE 'R' || o.digest END AS step
+            FROM d JOIN (SELECT DISTINCT tree, level FROM node WHERE n > 1) l ON d.tree = l.tree
+                   LEFT JOIN node o ON o.tree = d.tree AND o.level = l.level AND o.idx = xor(d.idx >> l.level, 1)
+            UNION ALL
+            SELECT d.doc_id, d.tree, d.idx, 100 + level, step FROM d JOIN high_steps h ON d.tree = h.tree
+        ),
+        proof AS (SELECT tree, idx, list(step ORDER BY level) AS steps FROM steps GROUP BY tree, idx),
+        folds AS (
+            SELECT d.doc_id, d.leaf, d.tree,
+                   sha256(coalesce(array_to_string(list_transform(steps, lambda x: x[2:]), ''), '')) AS proof_sha256,
+                   list_reduce(list_prepend(d.seen, coalesce(steps, [])),
+                               lambda a, e: sha256(CASE e[1] WHEN 'L' THEN e[2:] || a WHEN 'R' THEN a || e[2:] ELSE a END)) AS folded_root
+            FROM d LEFT JOIN proof p ON d.tree = p.tree AND d.idx = p.idx
+        )
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+        FROM folds JOIN s ON folds.tree = s.tree JOIN (SELECT digest AS root FROM high WHERE n = 1) ON true
+    """,
 }
