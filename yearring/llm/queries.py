@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearring.llm import bpe, chat_format, exact_dedup, lm_scoring, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, winnowing
+from yearring.llm import bpe, chat_format, exact_dedup, lm_scoring, merkle, packing, pii, quality, simhash, substring_dedup, token_counts, whitening, winnowing
 
 TOKENIZERS = "/opt/tokenizers"
 _SHIPPED: set[str] = set()
@@ -94,6 +94,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(documents(spark, sf_dir))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_classifier": op2_quality_classifier,
@@ -107,6 +112,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_chat_formatting": op11_chat_formatting,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES = {
