@@ -25,18 +25,18 @@ def loads(spark, sf_dir: str, timed: Callable) -> None:
     metering = derive(spark, sf_dir, "warehouse_metering")
     cut = F.lit("2001-07-01").cast("timestamp_ntz")
     log = store.archive("bench", "metering_log")
-    timed("scd2_initial", lambda: scd.load_initial(log, metering.filter(F.col("start_time") < cut), FIRST, watermark_column="start_time"))
-    timed("scd2_append_only", lambda: scd.load_append_only(log, metering, SECOND, "start_time"))
+    timed("scd2_initial", lambda: scd.load_initial(log, metering.filter(F.col("start_time") < cut), FIRST, watermark_column="start_time", plain=True))
+    timed("scd2_append_only", lambda: scd.load_append_only(log, metering, SECOND, "start_time", plain=True))
     full = store.archive("bench", "metering_full")
-    scd.load_initial(full, metering, FIRST)
-    timed("scd2_full_unchanged", lambda: scd.load_full(full, metering, SECOND))
+    scd.load_initial(full, metering, FIRST, plain=True)
+    timed("scd2_full_unchanged", lambda: scd.load_full(full, metering, SECOND, plain=True))
 
     def changed(share: int):
         part = F.pmod(F.xxhash64("start_time", "warehouse_id", "object_id"), F.lit(100)) < share
         return metering.withColumn("credits_billed", F.when(part, F.col("credits_billed") + 1).otherwise(F.col("credits_billed")))
 
-    timed("scd2_full_1pct", lambda: scd.load_full(full, changed(1), THIRD))
-    timed("scd2_full_10pct", lambda: scd.load_full(full, changed(10), "2024-02-04 06:00:00"))
+    timed("scd2_full_1pct", lambda: scd.load_full(full, changed(1), THIRD, plain=True))
+    timed("scd2_full_10pct", lambda: scd.load_full(full, changed(10), "2024-02-04 06:00:00", plain=True))
     timed("as_of_full", lambda: noop(temporal.as_of(full.read(), THIRD)))
     timed("current_state_full", lambda: noop(temporal.current_state(full.read("open"))))
     timed("verify_hash_full", lambda: noop(temporal.verify_hash(full.read())))
@@ -46,8 +46,8 @@ def warm_up(spark, sf_dir: str) -> None:
     """Two loads of a small source, so that the first timed load does not pay for class loading."""
     archive = fresh_store(spark).archive("bench", "warm_up")
     users = derive(spark, sf_dir, "users")
-    scd.load_initial(archive, users, FIRST)
-    scd.load_full(archive, users.filter("user_id % 10 <> 3"), SECOND)
+    scd.load_initial(archive, users, FIRST, plain=True)
+    scd.load_full(archive, users.filter("user_id % 10 <> 3"), SECOND, plain=True)
     noop(archive.read().groupBy("default_role").count())
 
 

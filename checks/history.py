@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import ASOF_ORDERS, LOADED, SOURCES, derive, table
-from checks.lab import CHANGING, FIRST, REGISTRY, SECOND, THIRD, fresh_store, lab, snapshots
+from checks.lab import CHANGING, FIRST, PLAIN, REGISTRY, SECOND, THIRD, fresh_store, lab, snapshots
 from checks.registry import check
 from yearring.functions.hashing import row_hash, row_hash_concat
 from yearring.operators import compaction, control, monitor, scd, temporal
@@ -63,7 +63,7 @@ check("scan_archive", versions())(lambda s, d: history(s, d).select(*COLUMNS))
 def _fresh_load(spark: SparkSession, sf_dir: str, *frames: DataFrame, name: str = "users", **options):
     archive = fresh_store(spark).archive("usage", name)
     times = (FIRST, SECOND, THIRD)
-    results = [scd.load_view(archive, df, now, **options) for now, df in zip(times, frames)]
+    results = [scd.load_view(archive, df, now, plain=name in PLAIN, **options) for now, df in zip(times, frames)]
     for result in results:
         if result.status == "error":
             raise RuntimeError(result.error)

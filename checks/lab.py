@@ -42,7 +42,7 @@ class Lab:
         archive = self.store.archive(SCHEMA, name)
         for now in (FIRST, SECOND):
             rows = self.source_at(name, now)
-            result = load_view(archive, rows, now, source.strategy, source.watermark)
+            result = load_view(archive, rows, now, source.strategy, source.watermark, plain=name in PLAIN)
             if result.status != "success":
                 raise RuntimeError(result.error)
         return archive
@@ -83,7 +83,7 @@ class Lab:
             if self.history is None:
                 archive = self.store.archive(SCHEMA, "user_snapshots")
                 results = [
-                    load_view(archive, df, now, "SOFT_DELETE_MUTABLE")
+                    load_view(archive, df, now, "SOFT_DELETE_MUTABLE", plain=True)
                     for now, df in zip((FIRST, SECOND, THIRD), snapshots(self.spark, self.sf_dir))
                 ]
                 self.history = (archive, results)
@@ -104,11 +104,13 @@ class Lab:
                             return table(self.spark, self.sf_dir, "no_such_table")
                         return self.source_at(view, now)
 
-                    runs.append(run_load(store, REGISTRY, read, now))
+                    runs.append(run_load(store, REGISTRY, read, now, plain=PLAIN))
                 self.runs = (store, runs)
             return self.runs
 
 
+#: Sources that are a projection and filter of one table; the others aggregate or join.
+PLAIN = frozenset(LOADED) - {"storage_daily", "grants_to_users"}
 CHANGING = ("users", "table_storage", "grants_to_users")
 _KEYS = {"query_history": "query_id", "login_history": "event_id", "users": "user_id", "roles": "role_id"}
 REGISTRY = (

@@ -55,7 +55,7 @@ def _append_only(spark, sf_dir):
         spark,
         derive(spark, sf_dir, "query_history"),
         "start_time",
-        lambda source, base: append.stream_append_only(source, archive, f"{base}/checkpoint", FIRST),
+        lambda source, base: append.stream_append_only(source, archive, f"{base}/checkpoint", FIRST, plain=True),
     )
     return archive.read().select("query_id", "user_name", "start_time")
 
@@ -96,7 +96,7 @@ def _append_restart(spark, sf_dir):
         base = f"{shared_dir(spark)}/yearring-stream-{uuid.uuid4().hex[:12]}"
         rows.write.parquet(f"{base}/in")
         for _ in range(2):
-            _finish(append.stream_append_only(append.file_stream(spark, f"{base}/in", rows.schema), archive, f"{base}/checkpoint", FIRST))
+            _finish(append.stream_append_only(append.file_stream(spark, f"{base}/in", rows.schema), archive, f"{base}/checkpoint", FIRST, plain=True))
     return archive.read().select("event_id", "user_name", "event_timestamp")
 
 

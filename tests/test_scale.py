@@ -9,6 +9,7 @@ from checks.fixtures import derive
 from checks.lab import lab
 from yearring.operators import scd, temporal
 from yearring.plans import performance, security
+from yearring.sources import store
 
 
 def plan(df) -> str:
@@ -36,10 +37,23 @@ def test_reports_read_few_columns(spark, sf):
 def test_hash_difference_moves_only_hashes(spark, sf):
     archive = lab(spark, sf).archive("users")
     source = scd.with_hash(derive(spark, sf, "users"))
-    text = formatted(scd.hash_difference(source, archive.read("open")))
-    assert "ReadSchema: struct<_row_hash:string>" in text
+    manifest = archive.manifest()
+    text = formatted(scd.hash_difference(source, archive.stored("open", manifest), archive.stored("ends", manifest)))
+    assert "ReadSchema: struct<_row_hash:string>" in text and "ReadSchema: struct<h:binary,upto:bigint,copies:bigint>" in text
     assert text.count("Exchange") and "Join" not in text
-    assert "partial_max" in text
+    assert "partial_sum" in text
+
+
+def test_ends_are_broadcast_while_few(spark, sf, monkeypatch):
+    archive = lab(spark, sf).archive("users")
+    assert archive.manifest().ends() > 0
+    assert "BroadcastHashJoin" in formatted(archive.read()) and "LeftAnti" in formatted(archive.read("open"))
+    monkeypatch.setattr(store, "BROADCAST_ENDS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in formatted(archive.read())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_as_of_filters_reach_the_files(spark, sf):

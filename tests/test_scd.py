@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from yearring.operators import scd, temporal
 from yearring.operators.compaction import cluster_archive, vacuum
-from yearring.operators.ids import needs_staging, write_numbered
-from yearring.sources.store import ArchiveStore
+from yearring.operators.ids import write_numbered
+from yearring.sources import store as storage
+from yearring.sources.store import ENDS, ArchiveStore
 
 TIMES = [f"2024-01-{d:02d} 00:00:00" for d in range(1, 20)]
 
@@ -72,17 +73,74 @@ def test_replaying_a_snapshot_changes_nothing(spark, store):
     assert a.manifest().parts == before
 
 
-def test_only_files_with_closed_rows_are_rewritten(spark, store):
+def test_no_stored_row_is_rewritten(spark, store):
     a = store.archive("s", "v")
     load(a, frame(spark, [(1, "a"), (2, "b")]), 0)
     load(a, frame(spark, [(1, "a"), (2, "b"), (3, "c"), (4, "d")]), 1)
-    first = a.manifest().parts[0]
+    before = a.manifest().parts
     load(a, frame(spark, [(1, "a"), (2, "b"), (4, "d")]), 2)
-    assert first in a.manifest().parts
+    after = a.manifest().parts
+    assert after[: len(before)] == before
+    (ends,) = after[len(before) :]
+    assert (ends.state, ends.rows, ends.ends) == (ENDS, 1, 1)
     assert rows(a.read("open")) == Counter([(1, "a"), (2, "b"), (4, "d")])
     check_invariants(a)
 
 
+def test_rows_that_come_back_have_an_end_for_each_stay(spark, store):
+    """The same times and hashes again and again: ids tell the stays apart."""
+    a = store.archive("s", "v")
+    stays = [[(1, "a")] * 3 + [(2, "b")], [(2, "b")], [(1, "a")] * 2, [], [(1, "a"), (2, "b")], []]
+    for i, snapshot in enumerate(stays):
+        load(a, frame(spark, snapshot), i)
+        check_invariants(a)
+    for i, snapshot in enumerate(stays):
+        assert rows(temporal.as_of(a.read(), TIMES[i])) == Counter(snapshot)
+    assert a.manifest().rows("closed") == 8 and a.read("open").count() == 0
+    b = store.archive("s", "same_time")
+    for snapshot in stays:
+        load(b, frame(spark, snapshot), 0)
+        assert rows(b.read("open")) == Counter(snapshot)
+
+
+def test_clustering_folds_ends_in(spark, store, monkeypatch):
+    a = store.archive("s", "v")
+    load(a, frame(spark, [(i, "a") for i in range(40)] + [(0, "a")] * 5), 0)
+    load(a, frame(spark, [(i, "a") for i in range(20, 50)]), 1)
+    load(a, frame(spark, [(i, "a") for i in range(10, 30)]), 2)
+    before = sorted(map(str, a.read().collect()))
+    monkeypatch.setattr(storage, "BROADCAST_ENDS", 0)
+    assert sorted(map(str, a.read().collect())) == before
+    m = cluster_archive(a, TIMES[3])
+    assert {p.state for p in m.parts} == {"open", "closed"} and m.ends() == 0
+    assert sorted(map(str, a.read().collect())) == before
+    load(a, frame(spark, [(i, "a") for i in range(15, 25)]), 4)
+    check_invariants(a)
+    before = sorted(map(str, a.read().collect()))
+    cluster_archive(a, TIMES[5])
+    assert sorted(map(str, a.read().collect())) == before
+    check_invariants(a)
+
+
+def test_a_source_that_changes_under_the_load_is_refused(spark, store, tmp_path, monkeypatch):
+    """The copies of new rows are counted too: one lost copy and one extra copy don't pass for each other."""
+    path = str(tmp_path / "in")
+    spark.range(20).selectExpr("id AS k", "'a' AS v").write.parquet(path)
+    a = store.archive("s", "v")
+    load(a, spark.read.parquet(path), 0, plain=True)
+    spark.range(30).selectExpr("IF(id < 25, id, 25) AS k", "'b' AS v").write.parquet(path + "2")
+    source, keys = spark.read.parquet(path + "2"), scd._keys
+
+    def change(*args):
+        spark.range(30).selectExpr("IF(id < 26, id, 26) AS k", "'b' AS v").write.mode("overwrite").parquet(path + "2")
+        source._jdf.sparkSession().catalog().refreshByPath(path + "2")
+        return keys(*args)
+
+    monkeypatch.setattr(scd, "_keys", change)
+    assert scd.load_view(a, source, TIMES[1], plain=True).status == "error"
+    assert a.read("open").count() == 20
+
+
 def test_duplicates_are_all_kept_and_a_lost_copy_is_not_seen(spark, store):
     a = store.archive("s", "v")
     load(a, frame(spark, [(1, "a")] * 3 + [(2, "b")]), 0)
@@ -108,6 +166,7 @@ def test_every_snapshot_can_be_read_back(spark, tmp_path_factory, history):
 
 def test_large_differences_give_the_same_result_without_broadcast(spark, store, monkeypatch):
     monkeypatch.setattr(scd, "BROADCAST_HASHES", 0)
+    monkeypatch.setattr(storage, "BROADCAST_ENDS", 0)
     a = store.archive("s", "v")
     load(a, frame(spark, [(i, "x") for i in range(200)] + [(0, "x")] * 100), 0)
     r = load(a, frame(spark, [(i, "y" if i % 2 else "x") for i in range(1, 250)]), 1)
@@ -273,7 +332,6 @@ def test_ids_are_dense_over_many_partitions(spark, tmp_path):
     df = spark.range(0, 1000, numPartitions=13).withColumn("v", F.col("id") % 7)
     df.write.parquet(str(tmp_path / "in"))
     source = spark.read.parquet(str(tmp_path / "in")).filter("v <> 3")
-    assert not needs_staging(source) and needs_staging(source.distinct())
     written = write_numbered(source, str(tmp_path / "out"), "n", 500)
     got = sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == list(range(501, 501 + written.rows))
@@ -285,7 +343,7 @@ def test_clustering_keeps_every_version(spark, store):
         load(a, frame(spark, s), i)
     before = sorted(map(str, a.read().collect()))
     m = cluster_archive(a, TIMES[4], files=2)
-    assert sorted(map(str, a.read().collect())) == before and len(m.parts) == 2
+    assert sorted(map(str, a.read().collect())) == before and len(m.parts) == 2 and not m.ends()
     r = load(a, frame(spark, [(4, "e")]), 5)
     assert (r.rows_inserted, r.rows_updated) == (1, 1)
     check_invariants(a)
@@ -304,11 +362,11 @@ def test_an_unchanged_plain_source_is_not_copied(spark, store, tmp_path, monkeyp
     a, staged = store.archive("s", "v"), []
     stage = scd.stage_source
     monkeypatch.setattr(scd, "stage_source", lambda df, where: staged.append((where.rsplit("/", 1)[1], df.columns)) or stage(df, where))
-    load(a, spark.read.parquet(path), 0)
-    load(a, spark.read.parquet(path), 1)
-    assert staged == [("difference", ["h", "fresh"])]
+    load(a, spark.read.parquet(path), 0, plain=True)
+    load(a, spark.read.parquet(path), 1, plain=True)
+    assert staged == [("difference", ["h", "here", "there", "after"])]
     spark.range(500).selectExpr("id AS k", "IF(id < 5, 'new', CAST(id AS STRING)) AS v").write.parquet(path + "2")
-    r = load(a, spark.read.parquet(path + "2"), 2)
+    r = load(a, spark.read.parquet(path + "2"), 2, plain=True)
     assert (r.rows_inserted, r.rows_updated) == (5, 5)
     assert [name for name, _ in staged] == ["difference", "difference", "fresh"]
     check_invariants(a)

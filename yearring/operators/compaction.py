@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from yearring.sources.store import CLOSED, OPEN, Archive, Manifest
+from yearring.sources.store import CLOSED, ENDS, OPEN, Archive, Manifest
 
 FILE_BYTES = 256 << 20
 
@@ -20,32 +20,39 @@ def cluster_archive(archive: Archive, now: str, files: int | None = None, file_b
     let time filters skip data.  The id breaks ties, because one load stamps all
     its rows with the same time and they could not be split over tasks.
 
-    The number of files follows the bytes of the parts.  A clustered part is only taken again when rows have been
-    closed in it (some of its files are skipped), or with ``everything``.
+    The number of files follows the bytes of the parts.  A clustered part is only taken again with ``everything``, or, if it holds open
+    versions, when there are ends: they are folded into the parts, and what they end moves to the closed side.
     """
     old = archive.manifest()
     version = old.version + 1
-    parts = []
+    parts, ends = [], [p for p in old.parts if p.state == ENDS]
     for state in (OPEN, CLOSED):
         mine = [p for p in old.parts if p.state == state]
-        settled = [] if everything else [p for p in mine if p.clustered and not p.skip]
+        settled = [] if everything or (ends and state == OPEN) else [p for p in mine if p.clustered]
         loose = [p for p in mine if p not in settled]
         parts += settled
-        if not loose:
+        if ends:  # the versions that they end lie among the open ones
+            loose += [p for p in old.parts if p not in loose and p.state in (OPEN, ENDS)]
+        taken = replace(old, parts=tuple(loose))
+        rows, size = taken.rows(state), sum(p.bytes for p in mine if p in loose)
+        if not rows:
             continue
+        if ends and state == CLOSED:  # their share of the parts they still lie in
+            lying = [p for p in loose if p.state == OPEN]
+            size += sum(p.bytes for p in lying) * sum(p.rows for p in ends) // max(1, sum(p.rows for p in lying))
         directory = f"{archive.run_dir(version)}/clustered/{state}"
         keys = [F.col("_loaded_at"), F.col("_archive_id")]
-        count = files or max(1, -(-sum(p.bytes for p in loose) // file_bytes))
-        data = archive.read(state, replace(old, parts=tuple(loose)))
+        count = files or max(1, -(-size // file_bytes))
+        data = archive.read(state, taken)
         data.repartitionByRange(count, *keys).sortWithinPartitions(*keys).write.parquet(f"{archive.path}/{directory}")
-        parts.append(replace(archive.part(directory, state, sum(p.rows for p in loose)), clustered=True))
+        parts.append(replace(archive.part(directory, state, rows), clustered=True))
     return archive.commit(replace(old, version=version, parts=tuple(parts), modified=now))
 
 
 def vacuum(archive: Archive, keep_versions: int = 1) -> int:
     """Delete what the newest ``keep_versions`` manifests do not name; returns the number of deleted files and folders.
 
-    Goes: older manifests, parts that only they name, files that all kept manifests skip, and staging of loads that never
+    Goes: older manifests, parts that only they name, and staging of loads that never
     committed.  Folders of versions above the newest belong to loads under way and stay.  Readers that still use an older
     version fail, so ``keep_versions`` has to cover the longest query.
     """
@@ -57,10 +64,7 @@ def vacuum(archive: Archive, keep_versions: int = 1) -> int:
     if not kept:
         return 0
     newest, gone = kept[-1].version, 0
-    skipped: dict[str, set[str]] = {}
-    for manifest in kept:
-        for part in manifest.parts:
-            skipped[part.dir] = skipped.get(part.dir, set(part.skip)) & set(part.skip)
+    named = {part.dir for manifest in kept for part in manifest.parts}
     for name in logs[:-keep_versions]:
         fs.drop_dir(f"{root}/_log/{name}")
         gone += 1
@@ -69,12 +73,7 @@ def vacuum(archive: Archive, keep_versions: int = 1) -> int:
             found = re.match(r"run=(\d+)", run)
             if not found or int(found[1]) > newest:
                 continue
-            named = [d for d in skipped if d.startswith(f"data/{run}/")] if top == "data" else []
-            if not named:
+            if not any(d.startswith(f"{top}/{run}/") for d in named):
                 fs.drop_dir(f"{root}/{top}/{run}")
                 gone += 1
-    for directory, names in skipped.items():
-        for name in names:
-            fs.drop_dir(f"{root}/{directory}/{name}")
-            gone += 1
     return gone

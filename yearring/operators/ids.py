@@ -3,12 +3,12 @@
 One narrow job counts the rows of each partition, the driver turns the counts
 into offsets (one number per partition), and the write job adds the offset to
 the position inside the partition.  Both jobs must see the same partitions, so
-the input has to be a plan without exchanges; :func:`needs_staging` tells.
+the input has to be a plain scan of files, or be staged as one; a check in the write job fails the load otherwise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -26,24 +26,6 @@ class Written:
     mark: str | None = None
 
 
-def needs_staging(df: DataFrame) -> bool:
-    """True unless the plan is a chain of narrow steps over a file scan."""
-    kinds = set(_operators(df._jdf.queryExecution().executedPlan()))
-    narrow = not any(k.endswith(("ExchangeExec", "QueryStageExec")) or k in ("InMemoryTableScanExec", "CoalesceExec") for k in kinds)
-    return not narrow or not kinds & {"FileSourceScanExec", "BatchScanExec"}
-
-
-def _operators(plan) -> Iterator[str]:
-    """Kinds of all operators of a physical plan."""
-    kind = plan.getClass().getSimpleName()
-    yield kind
-    if kind == "AdaptiveSparkPlanExec":
-        yield from _operators(plan.executedPlan())
-    below = plan.children()
-    for i in range(below.size()):
-        yield from _operators(below.apply(i))
-
-
 def write_numbered(
     df: DataFrame,
     path: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
@@ -50,12 +50,13 @@ def run_load(
     now: str | None = None,
     system: str = "SOURCE",
     parallel: int = 4,
+    plain: Collection[str] = (),
 ) -> RunSummary:
     """Load the active sources in (schema, view) order of the log.
 
     The loads are independent Spark jobs, so a few run at a time and fill each
     other's idle tasks.  A source that fails is logged and the run goes on;
-    ``read`` returns None for a source that does not exist.
+    ``read`` returns None for a source that does not exist.  ``plain`` names the views whose source is a plain scan of files.
     """
     spark = store.spark
     active = sorted((e for e in registry if e.is_active), key=lambda e: (e.source_schema, e.source_view))
@@ -68,7 +69,7 @@ def run_load(
         try:
             source = read(entry.source_schema, entry.source_view)
             strategy, column = strategy_for(active, entry.source_schema, entry.source_view)
-            result = load_view(archive, source, now, strategy, column, system)
+            result = load_view(archive, source, now, strategy, column, system, plain=entry.source_view in plain)
         except Exception as error:
             name = f"{entry.source_schema}.{entry.source_view}"
             result = LoadResult(name, f"{name}_archive", "error", strategy=entry.load_strategy, error=str(error), timestamp=now)

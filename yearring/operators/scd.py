@@ -3,11 +3,15 @@
 Three strategies: APPEND_ONLY takes rows past the stored watermark;
 SOFT_DELETE_MUTABLE and FULL_COMPARE close current rows whose hash left the
 source and insert source rows whose hash is not current.
+
+A load whose source is a plain scan of files (``plain=True``) reads it where it lies; any other source is staged first, since
+another run of its plan may give other rows or another order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +19,8 @@ from pyspark.sql import types as T
 
 from yearring.functions.hashing import hash_key, row_hash
 from yearring.functions.types import conform, evolve_schema
-from yearring.operators.ids import needs_staging, write_numbered
-from yearring.sources.store import CLOSED, OPEN, Archive, Manifest
+from yearring.operators.ids import write_numbered
+from yearring.sources.store import ENDS, OPEN, Archive, Manifest
 
 APPEND_ONLY = "APPEND_ONLY"
 SOFT_DELETE_MUTABLE = "SOFT_DELETE_MUTABLE"
@@ -107,13 +111,6 @@ def stage_source(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _stage_measured(df: DataFrame, path: str, *measures: Column) -> tuple[DataFrame, dict]:
-    """:func:`stage_source` with aggregates taken while the rows pass by, without another job."""
-    seen = Observation()
-    staged = stage_source(df.observe(seen, *measures), path)
-    return staged, seen.get
-
-
 def _mark(source: DataFrame, column: str | None) -> tuple:
     """The watermark column and its text form, if the source has one."""
     if column is None or column not in source.columns:
@@ -137,11 +134,16 @@ def _archive_struct(versions: DataFrame) -> T.StructType:
 
 
 def load_initial(
-    archive: Archive, source: DataFrame, now: str, system: str = "SOURCE", watermark_column: str | None = None
+    archive: Archive,
+    source: DataFrame,
+    now: str,
+    system: str = "SOURCE",
+    watermark_column: str | None = None,
+    plain: bool = False,
 ) -> tuple[Manifest, int]:
     """First load: every row becomes a current version with ids 1..n."""
     hashed = with_hash(source)
-    if needs_staging(hashed):
+    if not plain:
         hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
     struct = _archive_struct(versions)
@@ -169,6 +171,7 @@ def load_append_only(
     watermark_column: str,
     system: str = "SOURCE",
     inclusive: bool = False,
+    plain: bool = False,
 ) -> tuple[Manifest, int]:
     """Insert rows past the watermark; no row is ever closed.
 
@@ -182,7 +185,7 @@ def load_append_only(
         mark = watermark_literal(old.watermark, source.schema[watermark_column].dataType)
         stored = archive.read(OPEN, old).filter(F.col(watermark_column) >= mark).select("_row_hash").distinct()
         delta = delta.join(stored, "_row_hash", "left_anti")
-    if needs_staging(delta):
+    if inclusive or not plain:
         delta = stage_source(delta, archive.staging_dir(version))
     versions = as_versions(delta, archive, system, now)
     struct = evolve_schema(old.struct, versions.schema)
@@ -203,28 +206,39 @@ def load_append_only(
     return manifest, written.rows
 
 
-def hash_difference(source: DataFrame, current: DataFrame) -> DataFrame:
-    """Hashes on one side only: ``(h, fresh)``, fresh = only in the source.
+def hash_difference(source: DataFrame, versions: DataFrame, ends: DataFrame | None = None, mark: str | None = None) -> DataFrame:
+    """Per hash: copies in the source, open copies in the archive, the id up to which earlier copies ended, the highest mark.
 
-    One aggregation over 32-byte keys with partial sums on the map side, so a
-    row copied a billion times travels once per task, and neither wide side
-    moves.
+    Open copies are stored versions less what ends closed, so no join is needed: one aggregation over 32-byte keys with partial sums
+    on the map side.  A row copied a billion times travels once per task, and neither wide side moves.
     """
-    here = source.select(hash_key().alias("h"), F.lit(1).alias("s"), F.lit(0).alias("c"))
-    there = current.select(hash_key().alias("h"), F.lit(0).alias("s"), F.lit(1).alias("c"))
-    sides = here.unionByName(there).groupBy("h").agg(F.max("s").alias("s"), F.max("c").alias("c"))
-    return sides.filter("s <> c").select("h", (F.col("s") == 1).alias("fresh"))
-
-
-def _keys(difference: DataFrame, fresh: bool, count: int) -> DataFrame:
-    """One side of the difference, broadcast only while its counted size is small.
+    sides = [(source, F.lit(1), F.lit(0), F.lit(0)), (versions, F.lit(0), F.lit(1), F.lit(0))]
+    if ends is not None:
+        sides.append((ends, F.lit(0), -F.col("copies"), F.col("upto")))
+    keys = []
+    for side, here, there, upto in sides:
+        key = F.col("h") if side is ends else hash_key()
+        columns = [key.alias("h"), here.cast("long").alias("here"), there.cast("long").alias("there"), upto.cast("long").alias("after")]
+        if mark:
+            columns.append((F.col(mark) if side is source else F.lit(None).cast(source.schema[mark].dataType)).alias("mark"))
+        keys.append(side.select(*columns))
+    marks = [F.max("mark").alias("mark")] if mark else []
+    sums = [F.sum("here").alias("here"), F.sum("there").alias("there"), F.max("after").alias("after")]
+    return reduce(DataFrame.unionByName, keys).groupBy("h").agg(*sums, *marks)
+
+
+def _keys(difference: DataFrame, count: int) -> DataFrame:
+    """Hashes that are new, broadcast only while their counted number is small.
 
     Beyond that the join shuffles and AQE splits hot partitions of the left side.
     """
-    keys = difference.filter(F.col("fresh") == fresh).select("h")
+    keys = difference.filter(NEW).select("h")
     return F.broadcast(keys) if count <= BROADCAST_HASHES else keys
 
 
+NEW, GONE = "here > 0 AND there = 0", "here = 0 AND there > 0"
+
+
 def load_full(
     archive: Archive,
     source: DataFrame,
@@ -232,48 +246,53 @@ def load_full(
     system: str = "SOURCE",
     watermark_column: str | None = None,
     close: bool = True,
+    plain: bool = False,
 ) -> tuple[Manifest, int, int]:
     """Close what left the source and insert what is new, in one commit.
 
     With ``close=False`` nothing is closed: rows not stored yet are added.
 
-    A source that is a plain file scan is read once for its hashes, and again only where there are new rows; a source whose
-    scans could differ is staged first.
+    One pass over hashes finds the difference and the watermark; what ends is written as narrow rows, and only if there are new
+    rows is the source read again, for those alone.  No stored row is rewritten, so the cost beyond that pass follows the change.
     """
     old = archive.manifest()
     version = old.version + 1
     staging = archive.staging_dir(version)
-    mark = F.lit(None).cast("string")
-    if watermark_column in source.columns:
-        mark = watermark_text(F.max(watermark_column), source.schema[watermark_column].dataType)
-    staged, plain = with_hash(source), not needs_staging(source)
-    if plain:
-        seen = source.agg(mark.alias("mark")).first().asDict()
-    else:
-        staged, seen = _stage_measured(staged, f"{staging}/source", mark.alias("mark"))
-    current = archive.read(OPEN, old)
-
-    difference, sizes = _stage_measured(
-        hash_difference(staged, current),
-        f"{staging}/difference",
-        F.count(F.when(F.col("fresh"), 1)).alias("fresh"),
-        F.count(F.when(~F.col("fresh"), 1)).alias("gone"),
-    )
+    marked = watermark_column if watermark_column in source.columns else None
+    staged = with_hash(source)
+    if not plain:
+        staged = stage_source(staged, f"{staging}/source")
+    ends = archive.stored(ENDS, old) if old.ends() else None
+    sides = hash_difference(staged, archive.stored(OPEN, old), ends, marked)
+    highest = watermark_text(F.max("mark"), source.schema[marked].dataType) if marked else F.lit(None).cast("string")
+    seen = Observation()
+    measures = {
+        "mark": highest,
+        "new": F.count(F.when(F.expr(NEW), 1)),
+        "new_rows": F.coalesce(F.sum(F.when(F.expr(NEW), F.col("here"))), F.lit(0)),
+        "gone": F.count(F.when(F.expr(GONE), 1)),
+        "gone_rows": F.coalesce(F.sum(F.when(F.expr(GONE), F.col("there"))), F.lit(0)),
+    }
+    changed = sides.observe(seen, *[m.alias(n) for n, m in measures.items()]).filter(f"({NEW}) OR ({GONE})").drop("mark")
+    difference = stage_source(changed, f"{staging}/difference")
+    sizes = seen.get
 
     parts, closed_rows = old.parts, 0
     if sizes["gone"] and close:
-        parts, closed_rows = _close(archive, old, difference, sizes["gone"], version, now)
+        directory, closed_rows = f"{archive.run_dir(version)}/{ENDS}", sizes["gone_rows"]
+        upto, ended = F.lit(old.max_id).cast("long").alias("upto"), F.lit(now).cast("timestamp_ntz").alias("ended")
+        gone = difference.filter(GONE).select("h", "after", upto, F.col("there").alias("copies"), ended)
+        gone.write.mode("overwrite").parquet(f"{archive.path}/{directory}")
+        parts = (*parts, archive.part(directory, ENDS, closed_rows, sizes["gone"]))
 
     struct = evolve_schema(old.struct, as_versions(staged, archive, system, now).schema)
     inserted = 0
-    if sizes["fresh"]:
-        keys = _keys(difference, True, sizes["fresh"])
+    if sizes["new"]:
+        keys = _keys(difference, sizes["new"])
         fresh = staged.join(keys, hash_key() == keys["h"], "left_semi")
-        if plain or sizes["fresh"] > BROADCAST_HASHES:
-            fresh = stage_source(fresh, f"{staging}/fresh")
-        versions = as_versions(fresh, archive, system, now)
+        versions = as_versions(stage_source(fresh, f"{staging}/fresh"), archive, system, now)
         written, added = _insert(versions, archive, struct, version, old.max_id)
-        if written.rows < sizes["fresh"]:
+        if written.rows != sizes["new_rows"]:
             raise RuntimeError("the source changed while it was loaded")
         parts, inserted = (*parts, *added), written.rows
 
@@ -284,7 +303,7 @@ def load_full(
             schema=struct.jsonValue(),
             parts=parts,
             max_id=old.max_id + inserted,
-            watermark=seen["mark"] or old.watermark,
+            watermark=sizes["mark"] or old.watermark,
             watermark_type=mark_type(source, watermark_column) or old.watermark_type,
             modified=now,
             rows_loaded=inserted,
@@ -293,45 +312,6 @@ def load_full(
     return manifest, inserted, closed_rows
 
 
-def _close(archive: Archive, old: Manifest, difference: DataFrame, count: int, version: int, now: str):
-    """Rewrite only the files that hold rows to close.
-
-    The first scan reads two narrow columns to find those files; the second
-    splits each of them into survivors and closed versions in a single pass.
-    """
-    keys = _keys(difference, False, count)
-    current = archive.read(OPEN, old)
-    files = (
-        current.select("_row_hash", F.col("_metadata.file_path").alias("file"))
-        .join(keys.withColumn("gone", F.lit(1)), hash_key() == keys["h"], "left")
-        .groupBy("file")
-        .agg(F.count("*").alias("rows"), F.count("gone").alias("gone"))
-        .filter("gone > 0")
-        .collect()
-    )
-    kept, touched = archive.skip_files(old, [(r["file"], r["rows"]) for r in files])
-    gone = sum(r["gone"] for r in files)
-    survivors = sum(r["rows"] for r in files) - gone
-
-    leaving = F.col("gone").isNotNull()
-    split = archive.read_paths(old.struct, touched).join(
-        keys.withColumn("gone", F.lit(1)), hash_key() == keys["h"], "left"
-    )
-    columns = {
-        "_is_current": ~leaving,
-        "_valid_to": F.when(leaving, F.lit(now).cast("timestamp_ntz")).otherwise(F.col("_valid_to")),
-        "state": F.when(leaving, CLOSED).otherwise(OPEN),
-    }
-    directory = f"{archive.run_dir(version)}/split"
-    split.withColumns(columns).select(*old.struct.fieldNames(), "state").write.mode("overwrite").partitionBy(
-        "state"
-    ).parquet(f"{archive.path}/{directory}")
-    new = [archive.part(f"{directory}/state={CLOSED}", CLOSED, gone)]
-    if survivors:
-        new.append(archive.part(f"{directory}/state={OPEN}", OPEN, survivors))
-    return (*kept, *new), gone
-
-
 def load_view(
     archive: Archive,
     source: DataFrame | None,
@@ -340,11 +320,12 @@ def load_view(
     watermark_column: str | None = None,
     system: str = "SOURCE",
     close_unmarked: bool = False,
+    plain: bool = False,
 ) -> LoadResult:
     """Load one source with its strategy; errors come back in the result.
 
     An APPEND_ONLY archive without a watermark takes the rows that it does not hold; it closes others only if
-    ``close_unmarked`` says so.
+    ``close_unmarked`` says so.  ``plain`` says that the source is a plain scan of files.
     """
     names = {"source": f"{archive.schema}.{archive.view}", "target": f"{archive.schema}.{archive.view}_archive"}
     strategy = strategy or FULL_COMPARE
@@ -356,12 +337,12 @@ def load_view(
         action, updated = "INCREMENTAL_LOAD", 0
         if old is None:
             action = "INITIAL_LOAD"
-            _, inserted = load_initial(archive, source, now, system, watermark_column)
+            _, inserted = load_initial(archive, source, now, system, watermark_column, plain)
         elif strategy == APPEND_ONLY and watermark_column and old.watermark is not None:
-            _, inserted = load_append_only(archive, source, now, watermark_column, system)
+            _, inserted = load_append_only(archive, source, now, watermark_column, system, plain=plain)
         else:
             close = strategy != APPEND_ONLY or close_unmarked
-            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close)
+            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close, plain)
     except Exception as error:  # a failed source must not stop the run
         archive.drop_staging()
         return LoadResult(**names, status="error", strategy=strategy, error=str(error), timestamp=now)

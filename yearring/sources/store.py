@@ -8,26 +8,31 @@ manifest naming the live ones.  Readers see either the old or the new state.
 
 The token differs for every writer, so one that loses the race for a commit has not touched the winner's files.
 
-A part is a directory.  When a load closes rows, only the files that hold them
-are rewritten; the manifest lists those files as skipped in their old part.
+A part is a directory.  Versions are written once and never rewritten by a load: when rows end, the load appends *ends*,
+narrow rows ``(hash, after, upto, copies, ended)``, which say that the versions of a hash with ids above ``after`` up to ``upto``
+ended at that time.  Id ranges of a hash don't overlap, so a version has one end at most.  Readers resolve ends by one join: a broadcast
+while their counted number is small, beyond that a shuffle join; clustering folds them into the parts.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
-from collections import defaultdict
-from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OPEN, CLOSED = "open", "closed"
+from yearring.functions.hashing import hash_key
+
+OPEN, CLOSED, ENDS = "open", "closed", "ends"
+ENDS_SCHEMA = "h binary, after bigint, upto bigint, copies bigint, ended timestamp_ntz"
+# About 70 bytes each: a million ends stay well inside a broadcast.
+BROADCAST_ENDS = 1_000_000
+# File systems whose rename is atomic and refuses an existing target.
+RENAMING = ("hdfs", "viewfs")
 
 
 class SharedFs:
@@ -81,6 +86,8 @@ class SharedFs:
                     won = False
                 else:
                     won = True
+            elif self._fs.getUri().getScheme() not in RENAMING:
+                raise ValueError(f"commits need a file system whose rename is atomic, so not {self._fs.getUri().getScheme()}")
             else:
                 won = not self.exists(path) and self._fs.rename(self._path(draft), self._path(path))
         finally:
@@ -96,10 +103,12 @@ class SharedFs:
 class Part:
     dir: str
     state: str
+    #: Versions in it; for ends, the versions that they end.
     rows: int
     bytes: int = 0
-    skip: tuple[str, ...] = ()
     clustered: bool = False
+    #: Number of ends.
+    ends: int = 0
 
 
 @dataclass(frozen=True)
@@ -122,7 +131,13 @@ class Manifest:
         return T.StructType.fromJson(self.schema)
 
     def rows(self, state: str | None = None) -> int:
-        return sum(p.rows for p in self.parts if state in (None, p.state))
+        """Versions as readers see them: what ends names is closed, wherever it is stored."""
+        stored = {kind: sum(p.rows for p in self.parts if p.state == kind) for kind in (OPEN, CLOSED, ENDS)}
+        seen = {OPEN: stored[OPEN] - stored[ENDS], CLOSED: stored[CLOSED] + stored[ENDS]}
+        return seen[state] if state else sum(seen.values())
+
+    def ends(self) -> int:
+        return sum(p.ends for p in self.parts)
 
     def bytes(self) -> int:
         return sum(p.bytes for p in self.parts)
@@ -133,7 +148,7 @@ class Manifest:
     @classmethod
     def from_text(cls, text: str) -> Manifest:
         raw = json.loads(text)
-        raw["parts"] = tuple(Part(**{**p, "skip": tuple(p["skip"])}) for p in raw["parts"])
+        raw["parts"] = tuple(Part(**p) for p in raw["parts"])
         return cls(**raw)
 
 
@@ -170,72 +185,49 @@ class Archive:
         while self.staged:
             self.fs.drop_dir(self.staged.pop())
 
-    def part(self, directory: str, state: str, rows: int) -> Part:
+    def part(self, directory: str, state: str, rows: int, ends: int = 0) -> Part:
         """Describe a directory that a load has just written."""
-        return Part(directory, state, rows, sum(self.fs.sizes(f"{self.path}/{directory}").values()))
+        return Part(directory, state, rows, sum(self.fs.sizes(f"{self.path}/{directory}").values()), ends=ends)
 
-    def _part_paths(self, part: Part) -> list[str]:
-        where = f"{self.path}/{part.dir}"
-        if not part.skip:
-            return [where]
-        gone = set(part.skip)
-        return [f"{where}/{name}" for name in self.fs.sizes(where) if name not in gone]
-
-    def read(self, state: str | None = None, manifest: Manifest | None = None) -> DataFrame:
-        """All versions, or only the open or only the closed ones.
+    def stored(self, state: str, manifest: Manifest) -> DataFrame:
+        """Rows as they are in the parts of one state, ends not applied.
 
         The stored schema is given to the reader, so columns added later read as
         NULL from old parts and no file is opened to infer types.
         """
-        manifest = manifest or self.manifest()
-        if manifest is None:
-            raise FileNotFoundError(f"no archive at {self.path}")
-        paths = [p for part in manifest.parts if state in (None, part.state) for p in self._part_paths(part)]
-        return self.read_paths(manifest.struct, paths)
-
-    def read_paths(self, struct: T.StructType, paths: list[str]) -> DataFrame:
+        struct = T.StructType.fromDDL(ENDS_SCHEMA) if state == ENDS else manifest.struct
+        paths = [f"{self.path}/{p.dir}" for p in manifest.parts if p.state == state]
         if not paths:
             return self.spark.createDataFrame([], struct)
         return self.spark.read.schema(struct).option("recursiveFileLookup", "true").parquet(*paths)
 
-    def _relative(self, uri: str) -> str:
-        """A file's place below the archive's folder."""
-        plain = lambda path: re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path)  # noqa: E731  without scheme and host
-        root = plain(self.path)
-        if not plain(uri).startswith(f"{root}/"):
-            raise ValueError(f"{uri} is not in {self.path}")
-        return plain(uri)[len(root) + 1 :]
-
-    def skip_files(self, manifest: Manifest, touched: Iterable[tuple[str, int]]) -> tuple[tuple[Part, ...], list[str]]:
-        """Take rewritten files out of the open parts.
-
-        ``touched`` pairs a file URI with the number of rows it holds.  Returns
-        the parts left and the paths of the touched files.
-        """
-        per_dir: dict[str, dict[str, int]] = defaultdict(dict)
-        for uri, rows in touched:
-            place = self._relative(unquote(uri))
-            per_dir[place.rpartition("/")[0]][place.rpartition("/")[2]] = rows
-        kept, paths = [], []
-        for part in manifest.parts:
-            files = per_dir.get(part.dir) if part.state == OPEN else None
-            if not files:
-                kept.append(part)
-                continue
-            paths += [f"{self.path}/{part.dir}/{name}" for name in files]
-            sizes = self.fs.sizes(f"{self.path}/{part.dir}")
-            skip = set(part.skip) | set(files)
-            if skip >= set(sizes):
-                continue
-            kept.append(
-                replace(
-                    part,
-                    skip=tuple(sorted(skip)),
-                    rows=part.rows - sum(files.values()),
-                    bytes=part.bytes - sum(sizes[name] for name in files),
-                )
-            )
-        return tuple(kept), paths
+    def read(self, state: str | None = None, manifest: Manifest | None = None) -> DataFrame:
+        """All versions, or only the open or only the closed ones."""
+        manifest = manifest or self.manifest()
+        if manifest is None:
+            raise FileNotFoundError(f"no archive at {self.path}")
+        sides = []
+        if state != CLOSED or manifest.ends():
+            sides.append(self._resolved(state, manifest))
+        if state != OPEN and (not sides or any(p.state == CLOSED for p in manifest.parts)):
+            sides.append(self.stored(CLOSED, manifest))
+        return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+
+    def _resolved(self, state: str | None, manifest: Manifest) -> DataFrame:
+        """Versions that were open when written, with the ends that came later."""
+        versions = self.stored(OPEN, manifest)
+        if not manifest.ends():
+            return versions
+        ends = self.stored(ENDS, manifest).select("h", "after", "upto", "ended")
+        if manifest.ends() <= BROADCAST_ENDS:
+            ends = F.broadcast(ends)
+        hit = (hash_key() == ends["h"]) & (F.col("_archive_id") > ends["after"]) & (F.col("_archive_id") <= ends["upto"])
+        if state == OPEN:
+            return versions.join(ends, hit, "left_anti")
+        current, until = F.col("_is_current") & F.col("ended").isNull(), F.coalesce("ended", "_valid_to")
+        changed = {"_is_current": current, "_valid_to": until}
+        joined = versions.join(ends, hit, "inner" if state == CLOSED else "left")
+        return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in versions.columns])
 
     def append_plain(self, rows: DataFrame, now: str) -> Manifest:
         """Append rows to a table that has no history columns (logs)."""

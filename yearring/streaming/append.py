@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from yearring.functions.timefn import to_utc
-from yearring.operators.ids import needs_staging, write_numbered
+from yearring.operators.ids import write_numbered
 from yearring.functions.types import conform, evolve_schema
 from yearring.operators.scd import HISTORY_COLUMNS, as_versions, later_mark, stage_source, watermark_text, with_hash
 from yearring.sources.store import OPEN, Archive, Manifest, SharedFs
@@ -56,14 +56,15 @@ def append_batch(
     system: str = "SOURCE",
     stream: str = "",
     watermark_column: str | None = None,
+    plain: bool = False,
 ) -> int:
-    """Store one micro-batch of a stream as open versions, once."""
+    """Store one micro-batch of a stream as open versions, once; ``plain`` if it is a plain scan of files, without state."""
     old = archive.manifest() or Manifest(created=now)
     if batch_id <= old.stream_batches.get(stream, -1):
         return 0
     version = old.version + 1
     hashed = batch if "_row_hash" in batch.columns else with_hash(batch)
-    if needs_staging(hashed):
+    if not plain:
         hashed = stage_source(hashed, archive.staging_dir(version))
     versions = as_versions(hashed, archive, system, now)
     known = old.struct if old.schema else T.StructType([T.StructField("_archive_id", T.LongType())])
@@ -92,13 +93,13 @@ def append_batch(
 
 
 def stream_append_only(
-    source: DataFrame, archive: Archive, checkpoint: str, now: str, watermark_column: str | None = None
+    source: DataFrame, archive: Archive, checkpoint: str, now: str, watermark_column: str | None = None, plain: bool = False
 ) -> StreamingQuery:
     """Load everything that has arrived, then stop."""
     stream = stream_name(source.sparkSession, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_batch(archive, batch, batch_id, now, stream=stream, watermark_column=watermark_column)
+        append_batch(archive, batch, batch_id, now, stream=stream, watermark_column=watermark_column, plain=plain)
 
     writer = (
         source.writeStream.foreachBatch(store)
