@@ -122,6 +122,21 @@ def test_clustering_folds_ends_in(spark, store, monkeypatch):
     check_invariants(a)
 
 
+def test_new_rows_with_the_same_json_but_other_raw_forms(spark, store, tmp_path):
+    """Maps in another order and both zeros: one hash, several probes."""
+    path = str(tmp_path / "in")
+    rows_of = "SELECT id AS k, IF(id % 2 = 0, 0D, -0D) AS z, IF(id % 2 = 0, map('a', 1, 'b', 2), map('b', 2, 'a', 1)) AS m, array(IF(id % 2 = 0, 0D, -0D)) AS l FROM range({n})"
+    spark.sql(rows_of.format(n=4)).drop("k").write.parquet(path)
+    a = store.archive("s", "v")
+    load(a, spark.read.parquet(path).filter("false"), 0, plain=True)
+    assert load(a, spark.read.parquet(path), 1, plain=True).rows_inserted == 4
+    spark.sql(rows_of.format(n=6)).write.parquet(path + "2")
+    b = store.archive("s", "maps")
+    load(b, spark.read.parquet(path + "2").filter("k < 2"), 0, plain=True)
+    assert load(b, spark.read.parquet(path + "2"), 1, plain=True).rows_inserted == 4
+    check_invariants(b)
+
+
 def test_a_source_that_changes_under_the_load_is_refused(spark, store, tmp_path, monkeypatch):
     """The copies of new rows are counted too: one lost copy and one extra copy don't pass for each other."""
     path = str(tmp_path / "in")
@@ -129,14 +144,14 @@ def test_a_source_that_changes_under_the_load_is_refused(spark, store, tmp_path,
     a = store.archive("s", "v")
     load(a, spark.read.parquet(path), 0, plain=True)
     spark.range(30).selectExpr("IF(id < 25, id, 25) AS k", "'b' AS v").write.parquet(path + "2")
-    source, keys = spark.read.parquet(path + "2"), scd._keys
+    source, new_rows = spark.read.parquet(path + "2"), scd._new_rows
 
     def change(*args):
         spark.range(30).selectExpr("IF(id < 26, id, 26) AS k", "'b' AS v").write.mode("overwrite").parquet(path + "2")
         source._jdf.sparkSession().catalog().refreshByPath(path + "2")
-        return keys(*args)
+        return new_rows(*args)
 
-    monkeypatch.setattr(scd, "_keys", change)
+    monkeypatch.setattr(scd, "_new_rows", change)
     assert scd.load_view(a, source, TIMES[1], plain=True).status == "error"
     assert a.read("open").count() == 20
 
@@ -364,7 +379,7 @@ def test_an_unchanged_plain_source_is_not_copied(spark, store, tmp_path, monkeyp
     monkeypatch.setattr(scd, "stage_source", lambda df, where: staged.append((where.rsplit("/", 1)[1], df.columns)) or stage(df, where))
     load(a, spark.read.parquet(path), 0, plain=True)
     load(a, spark.read.parquet(path), 1, plain=True)
-    assert staged == [("difference", ["h", "here", "there", "after"])]
+    assert staged == [("difference", ["h", "here", "there", "after", "probe"])]
     spark.range(500).selectExpr("id AS k", "IF(id < 5, 'new', CAST(id AS STRING)) AS v").write.parquet(path + "2")
     r = load(a, spark.read.parquet(path + "2"), 2, plain=True)
     assert (r.rows_inserted, r.rows_updated) == (5, 5)

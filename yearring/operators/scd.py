@@ -206,8 +206,25 @@ def load_append_only(
     return manifest, written.rows
 
 
-def hash_difference(source: DataFrame, versions: DataFrame, ends: DataFrame | None = None, mark: str | None = None) -> DataFrame:
-    """Per hash: copies in the source, open copies in the archive, the id up to which earlier copies ended, the highest mark.
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def _probe(source: DataFrame) -> Column | None:
+    """A cheap 64-bit hash of a row as it lies in the source: many times faster than the row hash, which reads the row as JSON."""
+    columns = [F.col(f"`{f.name}`") for f in source.schema.fields if not _has_map(f.dataType)]
+    return F.xxhash64(*columns) if columns else None
+
+
+def hash_difference(
+    source: DataFrame, versions: DataFrame, ends: DataFrame | None = None, mark: str | None = None, probe: Column | None = None
+) -> DataFrame:
+    """Per hash: copies in the source, open copies in the archive, the id up to which earlier copies ended, the highest mark,
+    the lowest and highest probe.
 
     Open copies are stored versions less what ends closed, so no join is needed: one aggregation over 32-byte keys with partial sums
     on the map side.  A row copied a billion times travels once per task, and neither wide side moves.
@@ -221,19 +238,34 @@ def hash_difference(source: DataFrame, versions: DataFrame, ends: DataFrame | No
         columns = [key.alias("h"), here.cast("long").alias("here"), there.cast("long").alias("there"), upto.cast("long").alias("after")]
         if mark:
             columns.append((F.col(mark) if side is source else F.lit(None).cast(source.schema[mark].dataType)).alias("mark"))
+        if probe is not None:
+            columns.append((probe if side is source else F.lit(None).cast("long")).alias("probe"))
         keys.append(side.select(*columns))
-    marks = [F.max("mark").alias("mark")] if mark else []
     sums = [F.sum("here").alias("here"), F.sum("there").alias("there"), F.max("after").alias("after")]
-    return reduce(DataFrame.unionByName, keys).groupBy("h").agg(*sums, *marks)
+    if mark:
+        sums.append(F.max("mark").alias("mark"))
+    if probe is not None:
+        sums += [F.min("probe").alias("probe"), F.max("probe").alias("other_probe")]
+    return reduce(DataFrame.unionByName, keys).groupBy("h").agg(*sums)
 
 
-def _keys(difference: DataFrame, count: int) -> DataFrame:
-    """Hashes that are new, broadcast only while their counted number is small.
+def _new_rows(source: DataFrame, difference: DataFrame, count: int, probe: Column | None) -> DataFrame:
+    """Source rows whose hash is new.
 
-    Beyond that the join shuffles and AQE splits hot partitions of the left side.
+    Keys are broadcast only while their counted number is small; then the probe comes first, so that few rows are hashed again.
+    Beyond that the join shuffles and AQE splits hot partitions of the left side.  Keys are never null; the null-safe
+    comparison keeps the optimizer from hashing every row once more to see that.
     """
-    keys = difference.filter(NEW).select("h")
-    return F.broadcast(keys) if count <= BROADCAST_HASHES else keys
+    keys = difference.filter(NEW)
+    if count > BROADCAST_HASHES:
+        hashed = source if "_row_hash" in source.columns else with_hash(source)
+        return hashed.join(keys.select("h"), hash_key().eqNullSafe(keys["h"]), "left_semi")
+    if probe is not None:
+        probes = F.broadcast(keys.select(F.col("probe").alias("_probe")))
+        source = source.join(probes, probe.eqNullSafe(probes["_probe"]), "left_semi")
+    hashed = source if "_row_hash" in source.columns else with_hash(source)
+    keys = F.broadcast(keys.select("h"))
+    return hashed.join(keys, hash_key().eqNullSafe(keys["h"]), "left_semi")
 
 
 NEW, GONE = "here > 0 AND there = 0", "here = 0 AND there > 0"
@@ -259,11 +291,11 @@ def load_full(
     version = old.version + 1
     staging = archive.staging_dir(version)
     marked = watermark_column if watermark_column in source.columns else None
-    staged = with_hash(source)
+    staged, probe = with_hash(source), _probe(source) if plain else None
     if not plain:
         staged = stage_source(staged, f"{staging}/source")
     ends = archive.stored(ENDS, old) if old.ends() else None
-    sides = hash_difference(staged, archive.stored(OPEN, old), ends, marked)
+    sides = hash_difference(staged, archive.stored(OPEN, old), ends, marked, probe)
     highest = watermark_text(F.max("mark"), source.schema[marked].dataType) if marked else F.lit(None).cast("string")
     seen = Observation()
     measures = {
@@ -273,7 +305,9 @@ def load_full(
         "gone": F.count(F.when(F.expr(GONE), 1)),
         "gone_rows": F.coalesce(F.sum(F.when(F.expr(GONE), F.col("there"))), F.lit(0)),
     }
-    changed = sides.observe(seen, *[m.alias(n) for n, m in measures.items()]).filter(f"({NEW}) OR ({GONE})").drop("mark")
+    if probe is not None:  # rows with the same JSON may differ in their raw form
+        measures["mixed"] = F.count(F.when(F.expr(NEW) & (F.col("probe") != F.col("other_probe")), 1))
+    changed = sides.observe(seen, *[m.alias(n) for n, m in measures.items()]).filter(f"({NEW}) OR ({GONE})").drop("mark", "other_probe")
     difference = stage_source(changed, f"{staging}/difference")
     sizes = seen.get
 
@@ -288,8 +322,8 @@ def load_full(
     struct = evolve_schema(old.struct, as_versions(staged, archive, system, now).schema)
     inserted = 0
     if sizes["new"]:
-        keys = _keys(difference, sizes["new"])
-        fresh = staged.join(keys, hash_key() == keys["h"], "left_semi")
+        single = probe is not None and not sizes["mixed"]
+        fresh = _new_rows(source if plain else staged, difference, sizes["new"], probe if single else None)
         versions = as_versions(stage_source(fresh, f"{staging}/fresh"), archive, system, now)
         written, added = _insert(versions, archive, struct, version, old.max_id)
         if written.rows != sizes["new_rows"]:
