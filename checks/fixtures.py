@@ -417,6 +417,23 @@ _ACCESS_DUCK = """
 """
 
 
+# Access rows as a source delivers them: JSON text, some of it cut off, missing, or no array.
+_TEXT = """CASE WHEN query_id % 97 = 0 THEN SUBSTR(to_json({c}), 1, LENGTH(to_json({c})) - 3)
+                WHEN query_id % 89 = 0 THEN NULL
+                WHEN query_id % 83 = 0 THEN '{{{{"objectName": "lost", "objectDomain": "Table"}}}}'
+                ELSE to_json({c}) END AS {c}"""
+_ACCESS_TEXT = f"""
+    SELECT query_id, query_start_time, user_name, {", ".join(_TEXT.format(c=c) for c in ("direct_objects_accessed", "objects_modified"))}
+    FROM {{access_history}}
+"""
+#: Rows whose text is an array, for the checking SQL.
+WHOLE_TEXT = "query_id % 97 <> 0 AND query_id % 89 <> 0 AND query_id % 83 <> 0"
+
+
+def access_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_ACCESS_TEXT, access_history=derive(spark, sf_dir, "access_history"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import LOADED, SOURCES, derive, spark_sql, table
+from checks.fixtures import LOADED, SOURCES, access_texts, derive, spark_sql, table
 from yearring.operators.control import RegistryEntry
 from yearring.operators.pipeline import RunSummary, run_load
 from yearring.operators.scd import HISTORY_COLUMNS, LoadResult, load_view
@@ -89,6 +89,17 @@ class Lab:
                 self.history = (archive, results)
             return self.history
 
+    def texts(self) -> Archive:
+        """Access rows kept as JSON text."""
+        with self.lock:
+            if "access_texts" not in self.loaded:
+                archive = self.store.archive(SCHEMA, "access_texts")
+                result = load_view(archive, access_texts(self.spark, self.sf_dir), FIRST, "APPEND_ONLY", "query_start_time", plain=True)
+                if result.status != "success":
+                    raise RuntimeError(result.error)
+                self.loaded["access_texts"] = archive
+            return self.loaded["access_texts"]
+
     def pipeline(self) -> tuple[ArchiveStore, list[RunSummary]]:
         """Two runs over the whole registry, in a store of their own."""
         with self.lock:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from checks.fixtures import ASOF_EVENTS, ASOF_LINES, ASOF_ORDERS
+from pyspark.sql import functions as F
+
+from checks.fixtures import ASOF_EVENTS, ASOF_LINES, ASOF_ORDERS, WHOLE_TEXT
 from checks.lab import FIRST, SECOND, lab
 from checks.registry import check, r
+from yearring.functions.documents import document, document_quality, field, typed
 from yearring.plans import audit, cost, performance, security, storage, tasks
 
 GB, TB = "1073741824.0::DOUBLE", "1099511627776.0::DOUBLE"
@@ -472,6 +475,57 @@ check(
     )
 )
 
+# The same reports over access rows kept as JSON text; rows whose text is no array take no part.
+_TEXTS = _JOINED.replace("FROM access_history)", f"FROM access_history WHERE {WHOLE_TEXT})")
+check(
+    "user_table_access_json",
+    f"""
+    WITH {_TEXTS.format(since=days(O, 365), array='direct_objects_accessed')}
+    SELECT user_name, role_name, item.objectName AS table_accessed, item.objectDomain AS object_type, COUNT(*) AS access_count,
+        MIN(start_time) AS first_access, MAX(start_time) AS last_access, {r(f'SUM(bytes_scanned) / {GB}')} AS total_gb_scanned
+    FROM qh JOIN f USING (query_id) WHERE item.objectDomain = 'Table' GROUP BY 1, 2, 3, 4
+    ORDER BY access_count DESC, user_name, role_name, table_accessed, object_type LIMIT 100""",
+)(lambda s, d: performance.user_table_access(lab(s, d).read("access_log"), lab(s, d).texts().read("open"), ASOF_ORDERS, days=365))
+
+check(
+    "lineage_modified_json",
+    f"""
+    WITH {_TEXTS.format(since=days(O, 90), array='objects_modified')}
+    SELECT user_name, role_name, query_type, item.objectName AS table_modified,
+        '["' || array_to_string(item.columns, '","') || '"]' AS columns_modified, COUNT(*) AS modification_count,
+        CAST(SUM(rows_inserted) AS BIGINT) AS total_rows_inserted, CAST(SUM(rows_updated) AS BIGINT) AS total_rows_updated,
+        CAST(SUM(rows_deleted) AS BIGINT) AS total_rows_deleted, MIN(start_time) AS first_modification, MAX(start_time) AS last_modification
+    FROM qh JOIN f USING (query_id) GROUP BY 1, 2, 3, 4, 5""",
+)(lambda s, d: performance.lineage_modified(lab(s, d).read("access_log"), lab(s, d).texts().read("open"), ASOF_ORDERS, days=90))
+
+_QUALITY = """SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(CASE WHEN m = 1 THEN 1 END) AS null_texts, COUNT(CASE WHEN m = 0 THEN 1 END) AS malformed, COUNT(CASE WHEN m = 3 THEN 1 END) AS arrays,
+        COUNT(CASE WHEN m = 2 THEN 1 END) AS others, CAST(COALESCE(SUM(CASE WHEN m = 3 THEN len({c}) END), 0) AS BIGINT) AS elements
+    FROM (SELECT *, CASE WHEN query_id % 97 = 0 THEN 0 WHEN query_id % 89 = 0 THEN 1 WHEN query_id % 83 = 0 THEN 2 ELSE 3 END AS m FROM access_history)"""
+check("document_quality", " UNION ALL ".join(_QUALITY.format(c=c) for c in ("direct_objects_accessed", "objects_modified")))(
+    lambda s, d: document_quality(lab(s, d).texts().read("open"), ["direct_objects_accessed", "objects_modified"])
+)
+
+check(
+    "document_fields",
+    f"""
+    SELECT query_id, direct_objects_accessed[1].objectName AS first_object, direct_objects_accessed[2].columns[1] AS second_column,
+        len(direct_objects_accessed) AS objects, CAST(NULL AS BIGINT) AS wrong_type
+    FROM access_history WHERE {WHOLE_TEXT}
+    UNION ALL SELECT query_id, NULL, NULL, NULL, NULL FROM access_history WHERE NOT ({WHOLE_TEXT})""",
+)(
+    lambda s, d: lab(s, d)
+    .texts()
+    .read("open")
+    .select("query_id", document("direct_objects_accessed").alias("doc"), typed("direct_objects_accessed", "array<struct<objectName: string>>").alias("objects"))
+    .select(
+        "query_id",
+        field("doc", "$[0].objectName").alias("first_object"),
+        field("doc", "$[1].columns[0]").alias("second_column"),
+        F.size("objects").cast("long").alias("objects"),
+        field("doc", "$[0].objectName", "bigint").alias("wrong_type"),
+    )
+)
+
 check(
     "policy_access",
     f"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from yearring.functions.documents import flattened
 from yearring.functions.measures import GB, count_if, gb, minutes, percent, ratio, seconds, tb
 from yearring.functions.timefn import days_before, months_before, trunc_ts
 from yearring.operators.temporal import current_state
@@ -238,18 +239,17 @@ def _accessed(queries: DataFrame, access: DataFrame, array: str, *fields: str) -
     """One row per (query, object) with its number of mentions, for the access rows of ``queries``.
 
     Access rows of other queries go before anything is exploded.  Counting before the join keeps the shuffle small and collapses
-    a query that holds a large share of the access rows.
+    a query that holds a large share of the access rows.  The objects are an array of structs or, as the source delivers
+    them, JSON text; text that is no array of objects names none.
     """
-    columns = [F.col(f"item.{f}").alias(f) for f in fields]
-    return (
-        current_state(access)
-        .select("query_id", array)
-        .join(queries.select("query_id"), "query_id", "left_semi")
-        .select("query_id", F.explode(array).alias("item"))
-        .select("query_id", *columns)
-        .groupBy("query_id", *fields)
-        .agg(F.count("*").alias("mentions"))
-    )
+    mine = current_state(access).select("query_id", array).join(queries.select("query_id"), "query_id", "left_semi")
+    if dict(access.dtypes)[array] == "string":
+        paths = {f: (f"$.{f}", "string") for f in fields}
+        items = flattened(mine, array, paths, ["query_id"], as_text=tuple(f for f in fields if f == "columns"))
+    else:
+        columns = [F.col(f"item.{f}").alias(f) for f in fields]
+        items = mine.select("query_id", F.explode(array).alias("item")).select("query_id", *columns)
+    return items.groupBy("query_id", *fields).agg(F.count("*").alias("mentions"))
 
 
 def user_table_access(queries: DataFrame, access: DataFrame, asof: str, days: int = 30, limit: int = 100) -> DataFrame:
@@ -299,6 +299,7 @@ def lineage_modified(queries: DataFrame, access: DataFrame, asof: str, days: int
     """Who changed which objects; the column list is part of the key."""
     recent = _recent(queries, asof, days)
     objects = _accessed(recent, access, "objects_modified", "objectName", "columns")
+    columns = F.col("columns") if dict(objects.dtypes)["columns"] == "string" else F.to_json("columns")
     weight = F.col("mentions")
     return (
         recent.join(objects, "query_id")
@@ -307,7 +308,7 @@ def lineage_modified(queries: DataFrame, access: DataFrame, asof: str, days: int
             "role_name",
             "query_type",
             F.col("objectName").alias("table_modified"),
-            F.to_json("columns").alias("columns_modified"),
+            columns.alias("columns_modified"),
         )
         .agg(
             F.sum(weight).alias("modification_count"),
