@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.fixtures import ASOF_EVENTS, ASOF_LINES, ASOF_ORDERS, WHOLE_TEXT
-from checks.lab import FIRST, SECOND, lab
+from checks.lab import FIRST, METERING_LAST, SECOND, lab
 from checks.registry import check, r
 from yearring.functions.documents import document, document_quality, field, typed
+from yearring.operators.rollup import RANK_ERROR
 from yearring.plans import audit, cost, performance, security, storage, tasks
+from yearring.plans.rollups import DAILY_CREDITS, HOURLY_QUERIES, MONTHLY_CHARGES
 
 GB, TB = "1073741824.0::DOUBLE", "1099511627776.0::DOUBLE"
 E, O, L = (f"TIMESTAMP '{t}'" for t in (ASOF_EVENTS, ASOF_ORDERS, ASOF_LINES))
@@ -697,3 +699,60 @@ check(
         {r('credits_used', 4)} AS credits, {r(f'bytes_transferred / {GB}', 2)} AS gb_transferred
     FROM replication_usage WHERE start_time >= {days(O, 7)}""",
 )(lambda s, d: tasks.replication_rpo(lab(s, d).read("replication_usage"), ASOF_ORDERS))
+
+
+# ---- rollups that follow the loads ------------------------------------------
+
+FROM, TO = "1996-03-10", "1999-11-05"
+check(
+    "rollup_daily_credits",
+    f"""
+    SELECT date_trunc('day', start_time)::TIMESTAMP AS period, warehouse_name, COUNT(*) AS row_count, {r('SUM(credits_used)')} AS daily_credits
+    FROM {METERING_LAST} GROUP BY 1, 2""",
+)(lambda s, d: lab(s, d).rollup(DAILY_CREDITS).sums().withColumn("daily_credits", F.col("daily_credits").cast("double")))
+
+check(
+    "rollup_credits_in_range",
+    f"""
+    SELECT warehouse_name, COUNT(*) AS row_count, {r('SUM(credits_used)')} AS daily_credits FROM {METERING_LAST}
+    WHERE start_time >= TIMESTAMP '{FROM}' AND start_time < TIMESTAMP '{TO}' GROUP BY 1""",
+)(
+    lambda s, d: lab(s, d)
+    .rollup(DAILY_CREDITS)
+    .sums(FROM, TO, by=["warehouse_name"])
+    .withColumn("daily_credits", F.col("daily_credits").cast("double"))
+)
+
+check(
+    "rollup_distinct_objects",
+    f"""
+    SELECT warehouse_name, COUNT(DISTINCT object_id) AS objects FROM {METERING_LAST}
+    WHERE start_time >= TIMESTAMP '1996-03-01' AND start_time < TIMESTAMP '1999-11-01' GROUP BY 1""",
+)(lambda s, d: lab(s, d).rollup(MONTHLY_CHARGES).distinct("objects", "1996-03-01", "1999-11-01", by=["warehouse_name"]))
+
+check(
+    "rollup_distinct_users",
+    """SELECT COUNT(DISTINCT user_name) AS users FROM query_history
+       WHERE start_time >= TIMESTAMP '2024-01-04 07:00' AND start_time < TIMESTAMP '2024-01-27 13:00'""",
+)(lambda s, d: lab(s, d).rollup(HOURLY_QUERIES).distinct("users", "2024-01-04 07:00", "2024-01-27 13:00"))
+
+
+def _rank_check(name: str, rollup, measure: str, column: str, table: str, share: float) -> None:
+    """Sketches promise a rank, not a value: the rank of the answer among the rows has to lie within the promised error."""
+    rows = f"SELECT warehouse_name, COUNT({column}) AS row_count, TRUE AS within FROM {table} GROUP BY 1"
+
+    def query(spark, sf_dir):
+        store = lab(spark, sf_dir).rollup(rollup)
+        answers = store.quantile(measure, share, by=["warehouse_name"])
+        open_rows = store.archive.read("open").select("warehouse_name", F.col(column).cast("double").alias("v"))
+        ranks = open_rows.join(answers, "warehouse_name").groupBy("warehouse_name", "row_count").agg(
+            F.avg((F.col("v") < F.col(measure)).cast("double")).alias("below"), F.avg((F.col("v") <= F.col(measure)).cast("double")).alias("upto")
+        )
+        within = (F.col("below") <= share + RANK_ERROR) & (F.col("upto") >= share - RANK_ERROR)
+        return ranks.select("warehouse_name", "row_count", within.alias("within"))
+
+    check(name, rows)(query)
+
+
+_rank_check("rollup_p95_elapsed", HOURLY_QUERIES, "elapsed", "total_elapsed_time", "query_history", 0.95)
+_rank_check("rollup_median_credits", MONTHLY_CHARGES, "credits", "credits_used", METERING_LAST, 0.5)

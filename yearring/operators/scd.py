@@ -10,6 +10,7 @@ another run of its plan may give other rows or another order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -221,10 +222,15 @@ def _probe(source: DataFrame) -> Column | None:
 
 
 def hash_difference(
-    source: DataFrame, versions: DataFrame, ends: DataFrame | None = None, mark: str | None = None, probe: Column | None = None
+    source: DataFrame,
+    versions: DataFrame,
+    ends: DataFrame | None = None,
+    mark: str | None = None,
+    probe: Column | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per hash: copies in the source, open copies in the archive, the id up to which earlier copies ended, the highest mark,
-    the lowest and highest probe.
+    the lowest and highest probe, and the columns ``carry`` of stored versions.
 
     Open copies are stored versions less what ends closed, so no join is needed: one aggregation over 32-byte keys with partial sums
     on the map side.  A row copied a billion times travels once per task, and neither wide side moves.
@@ -240,12 +246,17 @@ def hash_difference(
             columns.append((F.col(mark) if side is source else F.lit(None).cast(source.schema[mark].dataType)).alias("mark"))
         if probe is not None:
             columns.append((probe if side is source else F.lit(None).cast("long")).alias("probe"))
+        if carry:
+            carried = T.StructType([f for f in versions.schema.fields if f.name in carry])
+            columns.append((F.struct(*carried.names) if side is versions else F.lit(None).cast(carried)).alias("carried"))
         keys.append(side.select(*columns))
     sums = [F.sum("here").alias("here"), F.sum("there").alias("there"), F.max("after").alias("after")]
     if mark:
         sums.append(F.max("mark").alias("mark"))
     if probe is not None:
         sums += [F.min("probe").alias("probe"), F.max("probe").alias("other_probe")]
+    if carry:
+        sums.append(F.first("carried", ignorenulls=True).alias("carried"))
     return reduce(DataFrame.unionByName, keys).groupBy("h").agg(*sums)
 
 
@@ -279,6 +290,7 @@ def load_full(
     watermark_column: str | None = None,
     close: bool = True,
     plain: bool = False,
+    carry: Sequence[str] = (),
 ) -> tuple[Manifest, int, int]:
     """Close what left the source and insert what is new, in one commit.
 
@@ -286,6 +298,7 @@ def load_full(
 
     One pass over hashes finds the difference and the watermark; what ends is written as narrow rows, and only if there are new
     rows is the source read again, for those alone.  No stored row is rewritten, so the cost beyond that pass follows the change.
+    ``carry`` names columns of the ended versions that their ends keep, for rollups.
     """
     old = archive.manifest()
     version = old.version + 1
@@ -295,7 +308,8 @@ def load_full(
     if not plain:
         staged = stage_source(staged, f"{staging}/source")
     ends = archive.stored(ENDS, old) if old.ends() else None
-    sides = hash_difference(staged, archive.stored(OPEN, old), ends, marked, probe)
+    carried = tuple(c for c in carry if c in old.struct.fieldNames())
+    sides = hash_difference(staged, archive.stored(OPEN, old), ends, marked, probe, carried)
     highest = watermark_text(F.max("mark"), source.schema[marked].dataType) if marked else F.lit(None).cast("string")
     seen = Observation()
     measures = {
@@ -315,9 +329,9 @@ def load_full(
     if sizes["gone"] and close:
         directory, closed_rows = f"{archive.run_dir(version)}/{ENDS}", sizes["gone_rows"]
         upto, ended = F.lit(old.max_id).cast("long").alias("upto"), F.lit(now).cast("timestamp_ntz").alias("ended")
-        gone = difference.filter(GONE).select("h", "after", upto, F.col("there").alias("copies"), ended)
+        gone = difference.filter(GONE).select("h", "after", upto, F.col("there").alias("copies"), ended, *["carried"][: len(carried)])
         gone.write.mode("overwrite").parquet(f"{archive.path}/{directory}")
-        parts = (*parts, archive.part(directory, ENDS, closed_rows, sizes["gone"]))
+        parts = (*parts, archive.part(directory, ENDS, closed_rows, sizes["gone"], carried))
 
     struct = evolve_schema(old.struct, as_versions(staged, archive, system, now).schema)
     inserted = 0
@@ -355,11 +369,13 @@ def load_view(
     system: str = "SOURCE",
     close_unmarked: bool = False,
     plain: bool = False,
+    carry: Sequence[str] = (),
 ) -> LoadResult:
     """Load one source with its strategy; errors come back in the result.
 
     An APPEND_ONLY archive without a watermark takes the rows that it does not hold; it closes others only if
-    ``close_unmarked`` says so.  ``plain`` says that the source is a plain scan of files.
+    ``close_unmarked`` says so.  ``plain`` says that the source is a plain scan of files;
+    ``carry`` is as in :func:`load_full`.
     """
     names = {"source": f"{archive.schema}.{archive.view}", "target": f"{archive.schema}.{archive.view}_archive"}
     strategy = strategy or FULL_COMPARE
@@ -376,7 +392,7 @@ def load_view(
             _, inserted = load_append_only(archive, source, now, watermark_column, system, plain=plain)
         else:
             close = strategy != APPEND_ONLY or close_unmarked
-            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close, plain)
+            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close, plain, carry)
     except Exception as error:  # a failed source must not stop the run
         archive.drop_staging()
         return LoadResult(**names, status="error", strategy=strategy, error=str(error), timestamp=now)

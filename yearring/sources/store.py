@@ -107,8 +107,9 @@ class Part:
     rows: int
     bytes: int = 0
     clustered: bool = False
-    #: Number of ends.
+    #: Number of ends, and the columns of the ended versions that they carry.
     ends: int = 0
+    carries: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,7 @@ class Manifest:
     @classmethod
     def from_text(cls, text: str) -> Manifest:
         raw = json.loads(text)
-        raw["parts"] = tuple(Part(**p) for p in raw["parts"])
+        raw["parts"] = tuple(Part(**{**p, "carries": tuple(p["carries"])}) for p in raw["parts"])
         return cls(**raw)
 
 
@@ -185,9 +186,9 @@ class Archive:
         while self.staged:
             self.fs.drop_dir(self.staged.pop())
 
-    def part(self, directory: str, state: str, rows: int, ends: int = 0) -> Part:
+    def part(self, directory: str, state: str, rows: int, ends: int = 0, carries: tuple[str, ...] = ()) -> Part:
         """Describe a directory that a load has just written."""
-        return Part(directory, state, rows, sum(self.fs.sizes(f"{self.path}/{directory}").values()), ends=ends)
+        return Part(directory, state, rows, sum(self.fs.sizes(f"{self.path}/{directory}").values()), ends=ends, carries=carries)
 
     def stored(self, state: str, manifest: Manifest) -> DataFrame:
         """Rows as they are in the parts of one state, ends not applied.
