@@ -135,6 +135,58 @@ def test_local_search_empties_a_sequence():
     assert len(out) == 3
 
 
+def thirds():
+    """6000 full sequences cut in three, each piece 1250 to 1500 long or so: they fit into 6000."""
+    rng, lengths = random.Random(9), []
+    for _ in range(6000):
+        a, b = rng.randrange(1100, 1500), rng.randrange(1100, 1500)
+        lengths += [a, b, 4096 - a - b]
+    return lengths
+
+
+MIXES = {
+    "thirds": (thirds, 6000, 0.5),
+    # One of each fills a sequence exactly.
+    "exact": (lambda: random.Random(3).choices([1000, 1366, 1730], k=20_000), None, 0.5),
+}
+
+
+@pytest.mark.parametrize("name", MIXES)
+def test_local_search_on_hard_lengths(name):
+    """Best fit leaves hundreds of sequences too many; the search removes at least half of them."""
+    make, possible, share = MIXES[name]
+    lengths = make()
+    bins = packing.best_fit(lengths, 4096)
+    possible = possible or -(-sum(lengths) // 4096)
+    out = packing.local_search(bins, lengths, 4096)
+    assert sorted(i for b in out for i in b) == list(range(len(lengths)))
+    assert max(sum(lengths[i] for i in b) for b in out) <= 4096
+    assert len(bins) - len(out) >= share * (len(bins) - possible) > 50
+
+
+def test_rounds_end_when_the_number_stays(spark):
+    """Three lengths over several groups: what is opened again is packed in fewer sequences, or stays as it was."""
+    lengths = random.Random(5).choices([1000, 1366, 1730], k=6000)
+    rows = [(n, n, 0, 0, size, 0) for n, size in enumerate(lengths)]
+    out = packing.pack(spark.createDataFrame(rows, packing.PIECES), group=1000).collect()
+    assert Counter(r.doc_id for r in out) == Counter(range(6000))
+    fill, places = Counter(), {}
+    for r in out:
+        fill[r.sequence_id] += r.length
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert max(fill.values()) <= 4096 and all(sum(n for _, n in sorted(p)[:k]) == sorted(p)[k][0] for p in places.values() for k in range(len(p)))
+    best = len(packing.best_fit(lengths, 4096))
+    assert len(fill) <= best - 0.5 * (best - -(-sum(lengths) // 4096))
+
+
+def test_word_memory_is_bounded_by_bytes(monkeypatch):
+    words = packing.WordTokens(WORDS)
+    monkeypatch.setattr(packing, "MEMORY_BYTES", 50_000)
+    for i in range(2000):
+        words.encode(f"word{i} {'x' * 5000}{i}".encode())
+        assert words.held <= 50_000 and len(words) < 300 and all(len(w) <= packing.WORD_BYTES for w in words)
+
+
 def test_empty_tables(empty):
     assert bpe.round_trip(empty, BYTES).collect() == []
     assert bpe.encode(empty, BYTES).collect() == []
