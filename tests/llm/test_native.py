@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
 from collections import Counter
 
@@ -173,6 +174,31 @@ def test_redaction(spark):
     assert got == {1: "mail me: <EMAIL> or <PHONE>!", 2: None, 3: "no data", 4: "é😀 <IP>"}
 
 
+def test_many_spans_take_linear_work(spark):
+    """One text of twice the spans takes about the time of two texts; quadratic work would take twice that."""
+    def seconds(n, texts):
+        text = " ".join(f"user{i}@example.com" for i in range(n))
+        df = spark.createDataFrame([(k, text) for k in range(texts)], "doc_id long, text string").repartition(1)
+        start = time.perf_counter()
+        got = pii.pii_spans(df).collect()
+        assert [r.n_email for r in got] == [n] * texts
+        return time.perf_counter() - start
+
+    seconds(2000, 1)
+    two, one = seconds(20_000, 2), seconds(40_000, 1)
+    assert one <= 1.5 * two + 2, (one, two)
+
+
+def test_redaction_of_a_long_text(spark):
+    rng = random.Random(5)
+    words = [rng.choice(["é😀", "plain", "\n", f"user{i}@example.com", "x" * 90]) for i in range(30_000)]
+    text = " ".join(words)
+    df = spark.createDataFrame([(1, text), (2, text[:4096]), (3, "a@b.com")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert got[1] == " ".join("<EMAIL>" if "@" in w else w for w in words)
+    assert got[3] == "<EMAIL>" and "<EMAIL>" in got[2]
+
+
 def test_reliabilities_favour_agreeing_labelers(spark):
     """Three labelers that agree outweigh one that votes at random."""
     rng, votes = random.Random(3), []

@@ -13,7 +13,7 @@ no base span: obfuscated addresses, local phone numbers, identity numbers, card
 The patterns are written so that the regex engine does no more than linear work: possessive quantifiers, and starts only at
 the start of a run (or right after the last match).  They match exactly what the plain forms in ``tests/llm`` match.
 
-Null and empty texts have no spans.  Repeated rows and rows with null ids are each reported.  An empty table gives an empty result.
+Null and empty texts have no spans.  Very long texts, and texts of very many spans, take time in proportion.  Repeated rows and rows with null ids are each reported.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from yearring.llm.parts import written
 ADD = 0.9
 EM_ROUNDS = 40
 BEFORE, AFTER = 40, 8
+#: Characters of a piece that a text is cut into for redaction.
+CHUNK = 4096
 
 # Kinds in their order, and the patterns of the four base kinds.
 KINDS = ("email", "ip", "card", "phone", "id")
@@ -203,8 +205,10 @@ def classified(spans: DataFrame) -> DataFrame:
 def chosen(spans: DataFrame, add: float = ADD) -> DataFrame:
     """Base spans, and those that the classifier adds where no base span is and no earlier addition."""
     scored = classified(spans).filter(F.col("base") | (F.col("probability") >= add))
-    order = Window.partitionBy("row").orderBy("start", "end", "source")
-    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # Both frames end before the row, in one order and in its reverse, so that each is a running value.
+    keys = ("start", "end", "source", "kind")
+    before = lambda *order: Window.partitionBy("row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier, later = before(*keys), before(*[F.desc(k) for k in keys])
     base = F.col("base")
     clear = (
         (F.coalesce(F.max(F.when(base, F.col("end"))).over(earlier), F.lit(0)) <= F.col("start"))
@@ -245,12 +249,20 @@ def redact(df: DataFrame, text_col: str = "text", add: float = ADD) -> DataFrame
     marks = merged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("marks"))
     text = F.col("data").getField(text_col)
 
-    def piece(mark: Column, i: Column) -> Column:
-        begin = F.when(i == 0, F.lit(0)).otherwise(F.get("marks", i - 1)["end"]).cast("int")
-        return F.concat(F.substring(text, begin + 1, mark["start"].cast("int") - begin), F.lit("<"), F.upper(mark["kind"]), F.lit(">"))
+    def between(chunks: Column, begin: Column, end: Column) -> Column:
+        """Characters from begin up to end, from the chunks that they lie in: a substring of the text would count from its start."""
+        one, two = F.floor(begin / CHUNK), F.floor(end / CHUNK)
+        near = F.array_join(F.slice(chunks, (one + 1).cast("int"), (two - one + 1).cast("int")), "")
+        return F.substring(near, (begin - one * CHUNK + 1).cast("int"), (end - begin).cast("int"))
+
+    def cover(chunks: Column) -> Column:
+        begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("marks", i - 1)["end"])
+        pieces = F.transform("marks", lambda m, i: F.concat(between(chunks, begin(i), m["start"]), F.lit("<"), F.upper(m["kind"]), F.lit(">")))
+        return F.concat(F.array_join(pieces, ""), between(chunks, F.element_at("marks", -1)["end"], F.length(text)))
 
-    last = F.element_at("marks", -1)["end"].cast("int")
-    masked = F.concat(F.array_join(F.transform("marks", piece), ""), F.substring(text, last + 1, F.length(text)))
+    # The array of one element binds the chunks, so that they are cut once for a text and not for each mark.
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    masked = F.transform(F.array(chunks), cover)[0]
     new = F.when(F.col("marks").isNull(), text).otherwise(masked)
     out = rows.join(marks, "row", "left").withColumn("masked", new)
     return out.select(*[F.col("masked").alias(c) if c == text_col else F.col("data").getField(c).alias(c) for c in df.columns])
