@@ -147,6 +147,18 @@ def test_without_both_classes(nasty, spark, labels):
     assert {(r.score, r.predicted) for r in out} == {(0.5, 1)}
 
 
+def test_labels_of_absent_rows_take_no_place(spark):
+    """A slice of a labelled corpus: the sample comes from the rows that are here."""
+    rows = [(100_000 + i, ("good words here " if i % 2 else "@@## $$ !! ") * 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.range(200_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    learn = labels["doc_id"].isNotNull()
+    texts, known = quality.sample(df, labels, learn, "doc_id", "text", "quality", 30, 1 << 20)
+    assert sorted(known) == [0] * 20 + [1] * 20
+    with pytest.warns(UserWarning, match="untrained"):
+        quality.sample(df, labels.filter("doc_id < 1000"), learn, "doc_id", "text", "quality", 30, 1 << 20)
+
+
 def test_a_text_that_does_not_fit_is_passed_over(spark):
     """The others of both classes are still learned from; without any of a class there is an error instead of an untrained model."""
     rows = [(i, "long " * (400 if i < 30 else 4)) for i in range(40)]

@@ -15,6 +15,8 @@ answers 0.5.  Rows repeated in the documents are scored alike; labels repeated f
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -120,10 +122,12 @@ class ByteCNN:
 def sample(df: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str, per_class: int, max_bytes: int):
     """Texts and labels of at most ``per_class`` rows of each class and ``max_bytes`` altogether, half of them for each class.
 
-    A text that does not fit is passed over.  If this leaves a class without texts, there is nothing to learn from, which is an error.
+    Labels of ids without a row are left out first.  A text that does not fit is passed over.  If this leaves a class without texts, there is nothing to learn from, which is an error.
     """
     known = labels.filter(learn).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL")
-    one = known.filter("y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
+    # Only labels of rows that are here: others would take the places of the sample and leave nothing to learn from.
+    here = df.select(F.col(id_col).cast("long").alias("id"))
+    one = known.filter("y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")).join(here, "id", "left_semi")
     order = F.xxhash64("id", F.lit(1))
     chosen = [one.filter(F.col("y") == y).orderBy(order, "id").limit(per_class) for y in (0, 1)]
     ids = chosen[0].union(chosen[1])
@@ -139,6 +143,8 @@ def sample(df: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_co
     for y in {r["y"] for r in sizes}:
         if not small[y]:
             raise ValueError(f"no text of class {y} fits into {max_bytes // 2} bytes, so the classifier can't be trained")
+    if not small[0] or not small[1]:
+        warnings.warn("no labelled rows of both classes: the classifier stays untrained and scores every text 0.5", stacklevel=2)
     small = small[0] + small[1]
     if not small:
         return [], []
