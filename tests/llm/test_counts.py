@@ -84,11 +84,18 @@ def test_given_sections(spark, theirs):
     assert set(got[90]) == {None} and got[91] == {0: (0, 0), None: (0, 0)}
 
 
-def test_overlapping_sections_are_refused(spark):
-    rows = [(1, "some text", [{"start": 0, "end": 5}, {"start": 4, "end": 9}])]
+def test_overlapping_and_null_sections(spark, theirs):
+    """Characters of several sections belong to the first; null sections and borders hold none."""
+    text = "The first thoroughly measured section, and another one here."
+    sections = [(20, 40), None, (0, 25), (None, 9), (5, 10), (3, None), (0, 25), (30, 60)]
+    rows = [(1, text, [s and {"start": s[0], "end": s[1]} for s in sections])]
     out = token_counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string, fields array<struct<start: long, end: long>>"), BYTES, sections_col="fields")
-    with pytest.raises(Exception, match="overlap"):
-        out.collect()
+    got = {r.section: tuple(r)[2:] for r in out.collect()}
+    counts, crossing = brute(theirs, text, [(25, 40), (0, 25), (40, 60)])
+    for section, k in ((0, 0), (2, 1), (7, 2), (None, None)):
+        assert got[section][2:] == (counts[k], crossing[k])
+    assert all(got[k] == (None, None, 0, 0) for k in (1, 3, 5)) and all(got[k][2:] == (0, 0) for k in (4, 6))
+    assert got[0][:2] == (20, 40)
 
 
 def test_empty_tables(empty):

@@ -8,8 +8,9 @@ equal shares to the first.  So the counts of all sections and the rest add up to
 on its own does not give.
 
 Sections are the lines of a text (each with its line feed) or, if ``sections_col`` is given, an array of ``start, end`` in characters, end
-exclusive, that do not overlap; empty ones hold no token.  Tokens outside all sections are counted in a row with a null ``section``.
-Null texts are empty texts; an empty text has one empty line, or the sections given, without tokens.  Null sections count as none.  Sections
+exclusive; empty ones hold no token.  Characters in several sections belong to the one that starts first, of equal starts to
+the first given.  A null section, or one with a null border, holds no token and is reported with null borders.  Tokens outside all sections are counted in a row with a null ``section``.
+Null texts are empty texts; an empty text has one empty line, or the sections given, without tokens.  A null array counts as none.  Very long texts are encoded in time and memory linear in their length.  Sections
 beyond the text end with it.  Repeated rows are counted alike; an empty table gives an empty result.
 """
 
@@ -65,16 +66,19 @@ def _count(encoder: Encoder, text: bytes, given: list | None) -> tuple[np.ndarra
         place = names
     else:
         total = int(last[-1]) + 1 if len(last) else 0
-        starts, ends = (np.array([min(max(s[k], 0), total) for s in given], np.int64) for k in ("start", "end"))
+        whole = [s if s is not None and s["start"] is not None and s["end"] is not None else None for s in given]
+        starts, ends = (np.array([-1 if s is None else min(max(s[k], 0), total) for s in whole], np.int64) for k in ("start", "end"))
         ends = np.maximum(starts, ends)
-        some = np.flatnonzero(ends > starts)
-        order = some[np.argsort(starts[some], kind="stable")]
-        if (starts[order][1:] < ends[order][:-1]).any():
-            raise ValueError("sections overlap")
+        order = np.argsort(starts, kind="stable")
+        # What an earlier section holds is taken from the later ones.
+        held = np.concatenate([[0], np.maximum.accumulate(ends[order])[:-1]]) if len(order) else np.empty(0, np.int64)
+        own = np.maximum(starts[order], held)
+        some = own < ends[order]
+        order, own = order[some], own[some]
         # Gaps are intervals too, of no section.
-        inner = np.unique(np.concatenate([[0], starts[order], ends[order]]))
+        inner = np.unique(np.concatenate([[0], own, ends[order]]))
         place = np.full(len(inner), len(given))
-        place[np.searchsorted(inner, starts[order])] = order
+        place[np.searchsorted(inner, own)] = order
         names = np.append(np.arange(len(given)), -1)
         starts, ends = np.append(starts, 0), np.append(ends, total)
     interval, crossing = allotted(first, last, np.append(inner, np.iinfo(np.int64).max))
@@ -100,7 +104,7 @@ def token_counts(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
             columns = [np.concatenate(c) for c in zip(*found)]
             section = pa.array(columns[0], pa.int32(), mask=columns[0] < 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.concatenate(ids))), section, *[pa.array(c, pa.int64()) for c in columns[1:]]],
+                [batch.column(0).take(pa.array(np.concatenate(ids))), section, *[pa.array(c, pa.int64(), mask=c < 0) for c in columns[1:]]],
                 names=["doc_id", "section", "start", "end", "n_tokens", "n_crossing"],
             )
 
