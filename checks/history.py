@@ -11,7 +11,7 @@ from checks.fixtures import ASOF_ORDERS, LOADED, SOURCES, derive, table
 from checks.lab import CHANGING, FIRST, PLAIN, REGISTRY, SECOND, THIRD, fresh_store, lab, snapshots
 from checks.registry import check
 from yearring.functions.hashing import row_hash, row_hash_concat
-from yearring.operators import compaction, control, monitor, scd, temporal
+from yearring.operators import compaction, control, digests, monitor, scd, temporal
 from yearring.session import shared_dir
 
 END = "TIMESTAMP '9999-12-31 23:59:59'"
@@ -419,6 +419,43 @@ check(
         history(s, d).withColumn("_valid_to", F.when(~F.col("_is_current"), F.col("_valid_to"))), SECOND
     ).select("c_custkey", "c_acctbal")
 )
+check("digest_root", versions("CAST(COUNT(*) AS BIGINT) AS versions, CAST(0 AS BIGINT) AS mismatches, CAST(0 AS BIGINT) AS differing"))(
+    lambda s, d: _digest_root(s, d)
+)
+
+
+def _digest_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = digests.DigestTree(lab(spark, sf_dir).snapshots()[0], 256)
+    tree.refresh()
+    zero = F.lit(0).cast("bigint")
+    differing = tree.verify().select(zero.alias("versions"), zero.alias("mismatches"), F.lit(1).alias("differing"))
+    whole = tree.root().select("versions", "mismatches", F.lit(0).alias("differing")).unionByName(differing)
+    return whole.agg(*[F.sum(c).alias(c) for c in whole.columns])
+
+
+@check(
+    "digest_located",
+    """SELECT c_custkey, CAST(ROUND(c_acctbal, 6) AS DOUBLE) AS c_acctbal, CAST(ROUND(c_acctbal + 1, 6) AS DOUBLE) AS in_copy
+       FROM customer WHERE c_name = 'Customer#000000077'""",
+)
+def _digest_located(spark, sf_dir):
+    """A copy of an archive in which one row was altered: the trees name its block, the sums its id."""
+    store = fresh_store(spark)
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    altered = F.when(F.col("c_name") == "Customer#000000077", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    archives, trees = [], []
+    for name, df in {"original": rows, "copy": rows.withColumn("c_acctbal", altered)}.items():
+        archive = store.archive("usage", name)
+        scd.load_initial(archive, df, FIRST, plain=True)
+        archives.append(archive.read())
+        trees.append(digests.DigestTree(archive, 256))
+        trees[-1].refresh()
+    suspects = digests.differing_blocks(*trees).select(F.col("suspect").alias("_archive_id"))
+    original, copy = archives
+    both = original.join(F.broadcast(suspects), "_archive_id").join(copy.select("_archive_id", F.col("c_acctbal").alias("in_copy")), "_archive_id")
+    return both.select("c_custkey", "c_acctbal", "in_copy")
+
+
 check("record_history", versions(rest="WHERE c_name = 'Customer#000000077'"))(
     lambda s, d: temporal.record_history(history(s, d), F.col("c_name") == "Customer#000000077").select(*COLUMNS)
 )

@@ -14,6 +14,7 @@ from yearring.operators.control import RegistryEntry
 from yearring.operators.pipeline import RunSummary, run_load
 from yearring.operators.rollup import Rollup, RollupStore
 from yearring.operators.scd import HISTORY_COLUMNS, LoadResult, load_view
+from yearring.operators.text_index import TextIndex
 from yearring.plans.rollups import DAILY_CREDITS, MONTHLY_CHARGES
 from yearring.session import shared_dir
 from yearring.sources.store import Archive, ArchiveStore
@@ -103,6 +104,13 @@ class Lab:
                 self.loaded["access_texts"] = archive
             return self.loaded["access_texts"]
 
+    def text_index(self) -> TextIndex:
+        """Trigrams of the query texts; small blocks, since the test tables are small."""
+        index = TextIndex(self.archive("query_history"), "query_text", 256)
+        with self.lock:
+            index.refresh()
+        return index
+
     def rollup(self, rollup: Rollup) -> RollupStore:
         """A rollup that has followed its archive load by load: metering with changes and deletions, queries as they arrive."""
         with self.lock:

@@ -298,6 +298,14 @@ check(
     )
 )
 
+check(
+    "data_access_indexed",
+    f"""
+    SELECT user_name, role_name, query_text, database_name, schema_name, start_time, rows_produced,
+        {r(f'bytes_scanned / {GB}')} AS gb_scanned
+    FROM query_history WHERE query_text ILIKE '%er_PII' AND start_time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25'""",
+)(lambda s, d: audit.data_access(lab(s, d).text_index().search("%er_PII", "open"), "%er_PII", "2024-01-03 00:00:00", "2024-01-25 00:00:00"))
+
 check(
     "change_audit",
     f"""
