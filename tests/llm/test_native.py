@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 
 from tests.llm.conftest import filled, SCHEMA
 from yearring.llm import pii, winnowing
@@ -26,6 +27,59 @@ def rows_in_order(rows):
     return sorted(((i, t or "") for i, t in rows if i is not None), reverse=True)
 
 
+def units_of(text):
+    """Words, and the overlapping pieces of long ones."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    piece = winnowing.PIECE
+    return [u for w in words for u in ([w] if len(w) <= winnowing.LONG else [w[i : i + piece] for i in range(len(w) - piece + 1)])]
+
+
+def brute_prints(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+    """Chosen (position, hash) of a text, window by window."""
+    units = units_of(text)
+
+    def top(*parts):
+        seed = 42  # of Spark's xxhash64, which hashes on from one column to the next
+        for part in parts:
+            seed = xxhash.xxh64_intdigest(part.encode(), seed)
+        return seed >> 32
+
+    if not units:
+        return []
+    if len(units) < gram:
+        return [(0, top(" ".join(units)))]
+    hashes = [top(*units[i : i + gram]) for i in range(len(units) - gram + 1)]
+    if len(hashes) < window:
+        return list(enumerate(hashes))
+    chosen = {max(range(s, s + window), key=lambda k: (-hashes[k], k)) for s in range(len(hashes) - window + 1)}
+    return [(k, hashes[k]) for k in sorted(chosen)]
+
+
+def brute_likeness(a, b):
+    x, y = {h for _, h in a}, {h for _, h in b}
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_all_columns_against_brute_force(spark, nasty):
+    rng = random.Random(3)
+    kana = "".join(chr(0x3042 + rng.randrange(80)) for _ in range(2700))
+    texts = [(900 + i, t) for i, t in enumerate([kana, kana[300:2300] + kana[:200], "a " + "b" * 41, "🙂" * 60 + " x y z", "b" * 40, "one two three one two three"])]
+    rows = [(i, t) for i, t in nasty[0] if i is not None and i < 900 or i is None] + texts
+    rows = list({i: (i, t) for i, t in rows if i is not None}.values())  # one row of an id, so that rows can be told apart
+    order = rows_in_order(rows)
+    prints = {t: brute_prints(t) for _, t in order}
+    show = lambda entries: " ".join(f"{h:X}@{k:X}" for k, h in entries)
+    want = {}
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        edited = brute_prints(t[: len(t) - half] + after[:half])
+        want[i] = (show(prints[t]), show(edited), brute_likeness(prints[t], edited), brute_likeness(prints[t], prints[after]))
+    got = winnowing.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got} == want
+    near = {r.doc_id: r for r in got}
+    assert near[901].near_next > 0.5 and near[901].near_edited > 0.2  # texts without spaces
+
+
 def test_edited_texts(nasty):
     rows, df = nasty
     out = winnowing.compared(df)
@@ -54,11 +108,11 @@ def test_window_minima(spark, nasty):
     rows, df = nasty
     gram, window = 2, 5
     prints = {r.doc_id: [(e.hash, e.position) for e in r.entries] for r in winnowing.fingerprints(df, gram=gram, window=window).collect() if r.doc_id is not None}
-    grams = {" ".join(w[i : i + gram]) for _, t in rows for w in [(t or "").split()] for i in range(len(w) - gram + 1)}
+    grams = {" ".join(w[i : i + gram]) for _, t in rows for w in [units_of(t)] for i in range(len(w) - gram + 1)}
     pairs = spark.createDataFrame([tuple(g.split(" ")) for g in grams if g.count(" ") == 1], "a string, b string").selectExpr("a", "b", "shiftrightunsigned(xxhash64(a, b), 32) h")
     hash_of = {(r.a, r.b): r.h for r in pairs.collect()}
     for i, t in rows:
-        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        words = units_of(t)
         if i is None or len(words) < gram:
             continue
         hashes = [hash_of[a, b] for a, b in zip(words, words[1:])]

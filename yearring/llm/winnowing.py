@@ -1,13 +1,15 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-Every ``GRAM`` consecutive words have a hash; of every ``WINDOW`` consecutive hashes the smallest is chosen, the rightmost of equal
-ones, and kept with its position (word number).  Two texts that share ``GRAM + WINDOW - 1`` words in a row share a chosen hash.
-Texts with fewer words keep all of their hashes, or have one gram.
+A unit is a word, or, of a word of more than ``LONG`` characters, each piece of ``PIECE`` consecutive characters, so that scripts and
+encodings without spaces are told apart too.  Every ``GRAM`` consecutive units have a hash; of every ``WINDOW`` consecutive hashes the
+smallest is chosen, the rightmost of equal ones, and kept with its position (unit number).  Two texts that share ``GRAM + WINDOW - 1`` words in
+a row share a chosen hash, and so do two that share ``PIECE + GRAM + WINDOW - 2`` characters in a row inside long words.  Texts with fewer
+units keep all of their hashes, or have one gram.
 
 A chosen entry is one long: 32 bits of hash above 31 bits of (2^31 - 1 - position).  So the minimum of longs is the smallest
 hash with the rightmost position, and the minimum over a window is built from shifted copies in as many steps as the width has doublings.
 
-Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  The likeness of two texts is the Jaccard index of their chosen hashes; texts without words are alike
+Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Work and memory are linear in a text, also in a very long one, which one task has to hold.  The likeness of two texts is the Jaccard index of their chosen hashes; texts without words are alike
 (1) to each other and unlike (0) to others.  Null texts are empty texts.  An empty table gives an empty result.
 """
 
@@ -21,6 +23,9 @@ from yearring.llm.parts import written
 
 GRAM = 3
 WINDOW = 4
+#: Words beyond this many characters are taken in overlapping pieces.
+LONG = 40
+PIECE = 10
 _TOP = 2**31 - 1
 #: Ids of a block of neighbours are equal but for this many low bits.
 BLOCK_BITS = 12
@@ -32,6 +37,14 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
 
 
+def units(text: Column) -> Column:
+    """The words of a text, and the pieces of its long words."""
+    pieces = lambda w: F.regexp_extract_all(w, F.lit(f"(?s)(?=(.{{{PIECE}}}))."), F.lit(1))
+    is_long = lambda w: F.length(w) > LONG
+    taken = lambda ws: F.flatten(F.transform(ws, lambda w: F.when(is_long(w), pieces(w)).otherwise(F.array(w))))
+    return _let(words(text), lambda ws: F.when(F.exists(ws, is_long), taken(ws)).otherwise(ws))
+
+
 def _let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once."""
     return F.transform(F.array(value), use)[0]
@@ -47,7 +60,7 @@ def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(last < 0, whole).otherwise(each)
 
     packed = _let(
-        words(text),
+        units(text),
         lambda w: F.transform(hashes(w), lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 32), 31) + (F.lit(_TOP) - i).cast("long")),
     )
 
