@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import LOADED, SOURCES, access_texts, derive, spark_sql, table
 from yearring.operators.control import RegistryEntry
+from yearring.operators.heavy import HeavyHitters
 from yearring.operators.pipeline import RunSummary, run_load
 from yearring.operators.rollup import Rollup, RollupStore
 from yearring.operators.scd import HISTORY_COLUMNS, LoadResult, load_view
@@ -111,6 +112,13 @@ class Lab:
             index.refresh()
         return index
 
+    def frequent(self, column: str) -> HeavyHitters:
+        """Daily summaries of a column of the query log."""
+        heavy = HeavyHitters(self.archive("query_history"), column, "start_time")
+        with self.lock:
+            heavy.refresh()
+        return heavy
+
     def rollup(self, rollup: Rollup) -> RollupStore:
         """A rollup that has followed its archive load by load: metering with changes and deletions, queries as they arrive."""
         with self.lock:

@@ -764,3 +764,15 @@ def _rank_check(name: str, rollup, measure: str, column: str, table: str, share:
 
 _rank_check("rollup_p95_elapsed", HOURLY_QUERIES, "elapsed", "total_elapsed_time", "query_history", 0.95)
 _rank_check("rollup_median_credits", MONTHLY_CHARGES, "credits", "credits_used", METERING_LAST, 0.5)
+
+
+# ---- most frequent values from daily summaries -------------------------------
+
+for _name, _column in {"top_users_by_day_summaries": "user_name", "top_patterns_by_day_summaries": "query_parameterized_hash"}.items():
+    check(
+        _name,
+        f"""
+        SELECT {_column} AS value, COUNT(*) AS row_count FROM query_history
+        WHERE start_time >= TIMESTAMP '2024-01-04' AND start_time < TIMESTAMP '2024-01-27' AND {_column} IS NOT NULL
+        GROUP BY 1 ORDER BY row_count DESC, value LIMIT 20""",
+    )(lambda s, d, column=_column: lab(s, d).frequent(column).top(20, "2024-01-04", "2024-01-27"))
