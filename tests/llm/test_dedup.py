@@ -139,7 +139,7 @@ def test_index_finds_all_links():
 def test_near_dedup(nasty, monkeypatch, group):
     """Also with groups so small that they are cut again."""
     rows, df = nasty
-    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.RADIUS, simhash.BLOCKS, group, None))
+    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.RADIUS, group))
     got = simhash.near_dedup(df).collect()
     prints = [print_of(t) for _, t in rows]
     linked = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
@@ -152,6 +152,26 @@ def test_near_dedup(nasty, monkeypatch, group):
     assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == want
 
 
+@pytest.mark.parametrize("group", [simhash.GROUP, 40])
+def test_ranges_lose_no_link(spark, monkeypatch, group):
+    """Dense and sparse fingerprints with differences in leading and trailing bits, in many ranges and in cut ones."""
+    monkeypatch.setattr(simhash, "RANGE", 20)
+    rng = random.Random(9)
+    centres = [rng.getrandbits(64) for _ in range(60)] + [0, (1 << 64) - 1]
+    prints = {rng.getrandbits(64) for _ in range(300)} | set(centres)
+    for centre in centres:
+        for _ in range(8):
+            prints.add(centre ^ (1 << rng.randrange(64)) ^ (1 << rng.choice([63, 62, 61, 60, 0, 1, rng.randrange(64)])))
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), simhash.RADIUS, group).collect()
+    place = {p: i for i, p in enumerate(signed)}
+    got = [(place[r.a], place[r.b]) for r in rows]
+    want = [(a, b) for a in range(len(prints)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= simhash.RADIUS]
+    assert {(max(p), min(p)) for p in got} <= set(want)
+    assert components(len(prints), got) == components(len(prints), want)
+
+
 def test_connected_chains_and_hubs(spark):
     """A long path, a star and a ring each become one component."""
     edges = [(i, i + 1) for i in range(100, 160)] + [(0, i) for i in range(1, 40)] + [(200 + i, 200 + (i + 1) % 30) for i in range(30)] + [(7, 7)]

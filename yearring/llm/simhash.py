@@ -4,26 +4,26 @@ Fingerprints are 64 majority votes over the XXH64 hashes (seed 42) of 3-word shi
 Two fingerprints link when they differ in at most ``RADIUS`` bits; documents of linked fingerprints form a component.
 
 1. Equal fingerprints are grouped first, with map-side combining, so copies cost one row.
-2. The 64 bits are cut into ``BLOCKS`` blocks.  Two linked fingerprints agree on at least ``BLOCKS - RADIUS`` of them, so
-   each fingerprint joins the groups of all choices of that many blocks.  A group with more than ``GROUP``
-   fingerprints is cut again: the bits that the group does not fix are dealt into blocks the same way, until it fits,
-   or until too few bits are free to make more.  No group has a cap and no pair is lost.
-3. In each group the fingerprints are sorted by Gray rank.  Neighbours in that order share long bit patterns, so runs of
+2. The upper nodes of the index are ranges of Gray ranks: the fingerprints of a range agree on their first bits.  A fingerprint
+   descends into its own range and into all later ones whose pattern it differs from by at most ``RADIUS`` bits, with the
+   number of differing bits so far.  A range with more than ``GROUP`` rows is cut by ``STEP`` more bits, and its rows go
+   on with what is left of the radius, until it fits.  No range has a cap and no pair is lost.
+3. Each range sorts its fingerprints by Gray rank.  Neighbours in that order share long bit patterns, so runs of
    them form leaves, and runs of nodes form upper nodes, each with the mask of bits on which all below agree and
    those bits.  A search walks the levels from the top, adds up the differing bits of each level, and prunes a node with all
    below it once the sum exceeds the radius.
-4. A group returns fewer links than it has fingerprints, the nearest that connect what is connected, never all pairs.
-   Only groups that one leaf holds (``FAN`` fingerprints) are compared place by place.
-5. Components over all groups: alternating large-star and small-star steps on the links, written to the shared folder
+4. A range returns fewer links than it has rows, the nearest that connect what is connected, never all pairs.
+5. Components over all ranges: alternating large-star and small-star steps on the links, written to the shared folder
    after each round.  A hub's links are combined before the shuffle.
 
-Null texts and texts without words have fingerprint zero.  Rows with a null id have a component like any others but do not
+Texts are read whole, however long.  Null texts and texts without words have fingerprint zero.  Rows with a null id have a component like any others but do not
 name it; a component of null ids alone has a null ``component_id``.  Equal rows are linked.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import string
 
 import numpy as np
@@ -50,9 +50,13 @@ from yearring.llm.words import grams, hashed
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-BLOCKS = 5
-#: Fingerprints in one group before it is cut again.
-GROUP = 20_000
+#: Rows of one range (its fingerprints, and others that search in it) before it is cut again, by so many bits.
+GROUP = 500_000
+STEP = 4
+#: Ranges are no smaller than this on average, but for more than ``2**SPREAD`` of them; at ``DEEPEST`` bits a range can't be large.
+RANGE = 4_096
+SPREAD = 8
+DEEPEST = 60
 #: Low bits of a shingle's hash that counting leaves out.
 SKETCH = 24
 #: Bytes of text, about, whose words are held at once.
@@ -60,7 +64,7 @@ SLICE = 1 << 20
 #: Rows of one shingle in a block, and rows, over all blocks, that one Python call takes on average.
 BLOCK = 2_000
 PAIR_BUCKET = 20_000
-#: Fingerprints, over all groups, that one Python call takes on average.
+#: Rows, over all ranges, that one Python call takes on average.
 BUCKET = 50_000
 #: Fingerprints in a leaf, and children of an upper node.
 FAN = 16
@@ -130,17 +134,17 @@ class GrayIndex:
             if i + 1 < len(self.levels):
                 above = np.repeat(masks, fan)[: len(self.levels[i + 1][0])]
 
-    def links(self, radius: int, pairs: int = 2_000_000):
-        """Pairs of positions in ``values``, the smaller one first, with at most ``radius`` differing bits.
+    def near(self, queries: np.ndarray, radius: int, pairs: int = 4_000_000):
+        """Positions in ``queries`` and in ``values`` with at most ``radius`` differing bits, and their number.
 
         Queries go in batches, so that one holds ``pairs`` candidates even if everything is near everything.
         """
-        batch = max(16, pairs // len(self.values))
-        for at in range(0, len(self.values), batch):
-            queries = self.values[at : at + batch]
+        size = max(16, pairs // len(self.values))
+        for at in range(0, len(queries), size):
+            batch = queries[at : at + size]
             top = len(self.levels[0][0])
-            query = np.repeat(np.arange(len(queries), dtype=np.int32), top)
-            node = np.tile(np.arange(top, dtype=np.int32), len(queries))
+            query = np.repeat(np.arange(len(batch), dtype=np.int32), top)
+            node = np.tile(np.arange(top, dtype=np.int32), len(batch))
             spent = np.zeros(len(query), np.uint8)
             for depth, (masks, bits) in enumerate(self.levels):
                 if depth:
@@ -149,11 +153,16 @@ class GrayIndex:
                     node = (node[:, None] * self.fan + np.arange(self.fan, dtype=np.int32)).ravel()
                     inside = node < width
                     query, node, spent = query[inside], node[inside], spent[inside]
-                spent = spent + np.bitwise_count((queries[query] & masks[node]) ^ bits[node])
-                near = spent <= radius
-                query, node, spent = query[near], node[near], spent[near]
-            later = node > query + at
-            yield query[later] + at, node[later], spent[later]
+                spent = spent + np.bitwise_count((batch[query] & masks[node]) ^ bits[node])
+                close = spent <= radius
+                query, node, spent = query[close], node[close], spent[close]
+            yield query + at, node, spent
+
+    def links(self, radius: int):
+        """Pairs of positions in ``values``, the smaller one first, with at most ``radius`` differing bits."""
+        for query, node, spent in self.near(self.values, radius):
+            later = node > query
+            yield query[later], node[later], spent[later]
 
 
 def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -172,89 +181,90 @@ def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         kept.append(waiting[first])
 
 
-def spanning_links(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among distinct values, nearest first, that connect all that any links connect: fewer than there are values."""
+def spanning_links(values: np.ndarray, radius: int, visitors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links among distinct values, and of visitors to values, nearest first, that connect all that any of these links connect.
+
+    There are fewer of them than values and visitors.
+    """
     index = GrayIndex(values)
+    visitors = np.empty(0, np.uint64) if visitors is None else visitors
+    nodes = np.concatenate([index.values, visitors])
     left, right, distance = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    for more in index.links(radius):
+    from_visitors = ((query + len(values), node, spent) for query, node, spent in index.near(visitors, radius))
+    for more in itertools.chain(index.links(radius), from_visitors):
+        if not len(more[0]):
+            continue
         left, right, distance = (np.concatenate([x, y]) for x, y in zip((left, right, distance), more))
         order = np.argsort(distance, kind="stable")
-        order = order[_forest(len(values), left[order], right[order])]
+        order = order[_forest(len(nodes), left[order], right[order])]
         left, right, distance = left[order], right[order], distance[order]
-    return index.values[left], index.values[right]
-
-
-# Groups
+    return nodes[left], nodes[right]
 
 
-def _choices(free: int, blocks: int, agree: int) -> list[int]:
-    """Masks of the free bits that two linked fingerprints share in at least one of the choices."""
-    bits = [i for i in range(64) if free >> i & 1]
-    cuts = [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(bits, np.int64), blocks)]
-    return [sum(c) for c in itertools.combinations(cuts, agree)]
+# Ranges of Gray ranks: the upper nodes of the index
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _depth(fingerprints: int, radius: int, group: int) -> int:
+    """Leading bits that the ranges fix at first."""
+    for depth in range(DEEPEST):
+        small = fingerprints >> depth <= RANGE or depth >= SPREAD
+        visits = sum(math.comb(depth, k) for k in range(radius + 1))  # half of them go to later ranges
+        if small and fingerprints * visits >> depth <= group:
+            return depth
+    return DEEPEST
 
 
-def _groups(prints: DataFrame, masks: list[int]) -> DataFrame:
-    """Each fingerprint once for every mask: ``fp, mask, fixed``."""
-    choices = F.array(*[F.lit(_signed(m)) for m in masks])
-    return prints.select("fp", F.explode(choices).alias("mask")).withColumn("fixed", F.col("fp").bitwiseAND(F.col("mask")))
+def _descend(rows: DataFrame, depth: int, more: int, radius: int) -> DataFrame:
+    """Rows ``fp, range, spent`` in the ranges of ``more`` further bits that are near enough, a fingerprint's own and later ones only.
 
+    Equal leading bits are equal leading Gray ranks, so ``range`` names the range by those bits.
+    """
+    if not more:
+        return rows
+    flips = [f for f in range(1 << more) if f.bit_count() <= radius]
+    own = F.shiftrightunsigned("fp", 64 - depth - more)
+    into = F.shiftleft("range", more).bitwiseOR(own.bitwiseAND(F.lit((1 << more) - 1)).bitwiseXOR(F.col("flip")))
+    return (
+        rows.withColumn("flip", F.explode(F.array(*[F.lit(f).cast("long") for f in flips])))
+        .select("fp", into.alias("range"), (F.col("spent") + F.bit_count("flip")).alias("spent"))
+        .filter((F.col("spent") <= radius) & (F.col("range") >= own))
+    )
 
-def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, group: int = GROUP, masks: list[int] | None = None) -> DataFrame:
-    """Links ``a, b`` among distinct fingerprints ``fp`` that connect all within ``radius`` bits.
 
-    ``masks`` names other choices of bits to group by than those that miss nothing.
-    """
+def links(prints: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame:
+    """Links ``a, b`` among distinct fingerprints ``fp`` that connect all within ``radius`` bits."""
 
     def within(table: pa.Table) -> pa.Table:
-        """The groups of one bucket: those that a leaf holds are compared place by place, the others by their index."""
-        values, masks, fixed = (table[c].to_numpy() for c in ("fp", "mask", "fixed"))
-        order = np.lexsort((values, fixed, masks))
-        values, number = values[order].view(np.uint64), runs(masks[order], fixed[order])
-        sizes = np.bincount(number)
+        """The ranges of one bucket.  Fingerprints that spent nothing on the way are the range's own, the others visit."""
+        values, ranges, spent = (table[c].to_numpy() for c in ("fp", "range", "spent"))
+        order = np.lexsort((spent > 0, ranges))
+        values, visits, number = values[order].view(np.uint64), spent[order] > 0, runs(ranges[order])
+        sizes, owned = np.bincount(number), np.bincount(number, weights=~visits).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
         a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
-        small = sizes[number] <= FAN
-        for step in range(1, min(FAN, int(sizes.max()))):
-            x, y = values[:-step], values[step:]
-            near = (number[:-step] == number[step:]) & small[step:] & (np.bitwise_count(x ^ y) <= radius)
-            a.append(x[near])
-            b.append(y[near])
-        ends = np.cumsum(sizes)
-        for k in np.flatnonzero(sizes > FAN):
-            x, y = spanning_links(values[ends[k] - sizes[k] : ends[k]], radius)
+        for k in np.flatnonzero((owned > 0) & (sizes > 1)):
+            start, middle, end = starts[k], starts[k] + owned[k], starts[k] + sizes[k]
+            x, y = spanning_links(values[start:middle], radius, values[middle:end])
             a.append(x)
             b.append(y)
         return pa.table({"a": pa.array(np.concatenate(a).view(np.int64)), "b": pa.array(np.concatenate(b).view(np.int64))})
 
-    waiting = _groups(prints, masks or _choices((1 << 64) - 1, blocks, blocks - radius))
-    found = None
+    depth = _depth(prints.count(), radius, group)
+    whole = prints.select("fp", F.lit(0).cast("long").alias("range"), F.lit(0).alias("spent"))
+    waiting, found = _descend(whole, 0, depth, radius), None
     while True:
-        sizes = waiting.groupBy("mask", "fixed").count()
-        large = written(sizes.filter(F.col("count") > group), "large")
-        masks = [r["mask"] for r in large.select("mask").distinct().collect()]  # at most as many as choices of masks
-        fits = waiting.join(large.select("mask", "fixed"), ["mask", "fixed"], "left_anti") if masks else waiting
-        buckets = waiting.count() // BUCKET + 1
-        bucket = F.pmod(F.xxhash64("mask", "fixed"), F.lit(buckets))
-        more = fits.groupBy(bucket.alias("bucket")).applyInArrow(within, "a long, b long")
-        found = more if found is None else found.union(more)
-        if not masks:
+        sizes = written(waiting.groupBy("range").agg(F.count("*").alias("rows")), "ranges")
+        large = sizes.filter(F.col("rows") > group).select("range")
+        more = min(STEP, DEEPEST - depth) if large.limit(1).count() else 0
+        fits = waiting.join(large, "range", "left_anti") if more else waiting
+        buckets = (sizes.agg(F.sum("rows")).first()[0] or 0) // BUCKET + 1
+        bucket = F.pmod(F.xxhash64("range"), F.lit(buckets))
+        linked = fits.groupBy(bucket.alias("bucket")).applyInArrow(within, "a long, b long")
+        found = linked if found is None else found.union(linked)
+        if not more:
             return found.distinct()
-        finer = {}
-        for mask in masks:
-            free = ~mask & ((1 << 64) - 1)
-            split = blocks if bin(free).count("1") >= 2 * blocks else bin(free).count("1")
-            finer[mask] = [_signed((mask | more) & ((1 << 64) - 1)) for more in _choices(free, split, split - radius)]
-        cases: Column = F.array().cast("array<long>")
-        for mask, new in finer.items():
-            cases = F.when(F.col("mask") == mask, F.array(*[F.lit(m) for m in new])).otherwise(cases)
-        again = waiting.join(large.select("mask", "fixed"), ["mask", "fixed"], "left_semi")
-        waiting = written(
-            again.select("fp", F.explode(cases).alias("mask")).withColumn("fixed", F.col("fp").bitwiseAND(F.col("mask"))).distinct(), "finer"
-        )
+        waiting = written(_descend(waiting.join(large, "range", "left_semi"), depth, more, radius), "deeper")
+        depth += more
 
 
 # Components
