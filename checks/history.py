@@ -11,7 +11,7 @@ from checks.fixtures import ASOF_ORDERS, LOADED, SOURCES, derive, table
 from checks.lab import CHANGING, FIRST, PLAIN, REGISTRY, SECOND, THIRD, fresh_store, lab, snapshots
 from checks.registry import check
 from yearring.functions.hashing import row_hash, row_hash_concat
-from yearring.operators import compaction, control, digests, monitor, scd, temporal
+from yearring.operators import compaction, control, digests, lookup, monitor, scd, temporal
 from yearring.session import shared_dir
 
 END = "TIMESTAMP '9999-12-31 23:59:59'"
@@ -456,9 +456,27 @@ def _digest_located(spark, sf_dir):
     return both.select("c_custkey", "c_acctbal", "in_copy")
 
 
+def _dearest_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_totalprice").alias("o_totalprice"))
+    return orders.join(F.broadcast(top), "o_totalprice").select("o_custkey")
+
+
 check("record_history", versions(rest="WHERE c_name = 'Customer#000000077'"))(
     lambda s, d: temporal.record_history(history(s, d), F.col("c_name") == "Customer#000000077").select(*COLUMNS)
 )
+check(
+    "key_lookup",
+    versions(rest="WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 150000)"),
+)(
+    lambda s, d: lookup.key_lookup(
+        lab(s, d).snapshots()[0], table(s, d, "orders").filter("o_orderstatus = 'P' AND o_totalprice > 150000").select("o_custkey")
+    ).select(*COLUMNS)
+)
+check(
+    "key_lookup_few",
+    versions(rest="WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice = (SELECT MAX(o_totalprice) FROM orders))"),
+)(lambda s, d: lookup.key_lookup(lab(s, d).snapshots()[0], _dearest_customer(s, d)).select(*COLUMNS))
 check("changes_between", versions(rest=f"WHERE _valid_from BETWEEN {T2} AND {T3}"))(
     lambda s, d: temporal.changes_between(history(s, d), SECOND, THIRD).select(*COLUMNS)
 )

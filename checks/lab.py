@@ -88,7 +88,7 @@ class Lab:
             if self.history is None:
                 archive = self.store.archive(SCHEMA, "user_snapshots")
                 results = [
-                    load_view(archive, df, now, "SOFT_DELETE_MUTABLE", plain=True)
+                    load_view(archive, df, now, "SOFT_DELETE_MUTABLE", plain=True, key="c_custkey")
                     for now, df in zip((FIRST, SECOND, THIRD), snapshots(self.spark, self.sf_dir))
                 ]
                 self.history = (archive, results)

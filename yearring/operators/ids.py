@@ -33,11 +33,12 @@ def write_numbered(
     base: int,
     mark: Column | None = None,
     mark_text: Callable[[Column], Column] | None = None,
+    options: dict[str, str] | None = None,
 ) -> Written:
     """Write ``df`` with ids base+1 .. base+n in front; nothing is written for no rows.
 
     The overall maximum of ``mark`` is taken in the counting job, to save a
-    pass, and comes back in the text form that ``mark_text`` gives it.
+    pass, and comes back in the text form that ``mark_text`` gives it.  ``options`` go to the Parquet writer.
     """
     spark = df.sparkSession
     marks = [] if mark is None else [F.max("_mark").alias("_mark"), mark_text(F.max("_mark")).alias("_text")]
@@ -73,7 +74,7 @@ def write_numbered(
         )
         .select((F.col("_offset") + F.col("_pos") + 1).alias(id_column), *df.columns)
     )
-    numbered.write.mode("overwrite").parquet(path)
+    numbered.write.mode("overwrite").options(**(options or {})).parquet(path)
     if seen.get["rows"] != total or seen.get["overrun"] >= 0:
         raise RuntimeError("the input changed between counting and writing; stage it first")
     return Written(total, highest)

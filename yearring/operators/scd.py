@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from yearring.functions.hashing import hash_key, row_hash
 from yearring.functions.types import conform, evolve_schema
 from yearring.operators.ids import write_numbered
-from yearring.sources.store import ENDS, OPEN, Archive, Manifest
+from yearring.sources.store import ENDS, OPEN, Archive, Manifest, key_options
 
 APPEND_ONLY = "APPEND_ONLY"
 SOFT_DELETE_MUTABLE = "SOFT_DELETE_MUTABLE"
@@ -121,11 +121,11 @@ def _mark(source: DataFrame, column: str | None) -> tuple:
 
 
 def _insert(
-    fresh: DataFrame, archive: Archive, struct: T.StructType, version: int, base: int, mark: tuple = ()
+    fresh: DataFrame, archive: Archive, struct: T.StructType, version: int, base: int, mark: tuple = (), key: str | None = None
 ):
     """Write new open versions as one part; returns the write and the parts to add."""
     directory = f"{archive.run_dir(version)}/{OPEN}"
-    written = write_numbered(conform(fresh, struct), f"{archive.path}/{directory}", "_archive_id", base, *mark)
+    written = write_numbered(conform(fresh, struct), f"{archive.path}/{directory}", "_archive_id", base, *mark, options=key_options(key))
     parts = (archive.part(directory, OPEN, written.rows),) if written.rows else ()
     return written, parts
 
@@ -141,6 +141,7 @@ def load_initial(
     system: str = "SOURCE",
     watermark_column: str | None = None,
     plain: bool = False,
+    key: str | None = None,
 ) -> tuple[Manifest, int]:
     """First load: every row becomes a current version with ids 1..n."""
     hashed = with_hash(source)
@@ -148,7 +149,7 @@ def load_initial(
         hashed = stage_source(hashed, archive.staging_dir(1))
     versions = as_versions(hashed, archive, system, now)
     struct = _archive_struct(versions)
-    written, parts = _insert(versions, archive, struct, 1, 0, _mark(source, watermark_column))
+    written, parts = _insert(versions, archive, struct, 1, 0, _mark(source, watermark_column), key)
     manifest = archive.commit(
         Manifest(
             version=1,
@@ -157,6 +158,7 @@ def load_initial(
             max_id=written.rows,
             watermark=written.mark,
             watermark_type=mark_type(source, watermark_column),
+            key=key,
             created=now,
             modified=now,
             rows_loaded=written.rows,
@@ -173,6 +175,7 @@ def load_append_only(
     system: str = "SOURCE",
     inclusive: bool = False,
     plain: bool = False,
+    key: str | None = None,
 ) -> tuple[Manifest, int]:
     """Insert rows past the watermark; no row is ever closed.
 
@@ -190,7 +193,7 @@ def load_append_only(
         delta = stage_source(delta, archive.staging_dir(version))
     versions = as_versions(delta, archive, system, now)
     struct = evolve_schema(old.struct, versions.schema)
-    written, parts = _insert(versions, archive, struct, version, old.max_id, _mark(source, watermark_column))
+    written, parts = _insert(versions, archive, struct, version, old.max_id, _mark(source, watermark_column), key or old.key)
     manifest = archive.commit(
         replace(
             old,
@@ -200,6 +203,7 @@ def load_append_only(
             max_id=old.max_id + written.rows,
             watermark=written.mark or old.watermark,
             watermark_type=mark_type(source, watermark_column),
+            key=key or old.key,
             modified=now,
             rows_loaded=written.rows if written.mark else old.rows_loaded,
         )
@@ -291,6 +295,7 @@ def load_full(
     close: bool = True,
     plain: bool = False,
     carry: Sequence[str] = (),
+    key: str | None = None,
 ) -> tuple[Manifest, int, int]:
     """Close what left the source and insert what is new, in one commit.
 
@@ -339,7 +344,7 @@ def load_full(
         single = probe is not None and not sizes["mixed"]
         fresh = _new_rows(source if plain else staged, difference, sizes["new"], probe if single else None)
         versions = as_versions(stage_source(fresh, f"{staging}/fresh"), archive, system, now)
-        written, added = _insert(versions, archive, struct, version, old.max_id)
+        written, added = _insert(versions, archive, struct, version, old.max_id, key=key or old.key)
         if written.rows != sizes["new_rows"]:
             raise RuntimeError("the source changed while it was loaded")
         parts, inserted = (*parts, *added), written.rows
@@ -353,6 +358,7 @@ def load_full(
             max_id=old.max_id + inserted,
             watermark=sizes["mark"] or old.watermark,
             watermark_type=mark_type(source, watermark_column) or old.watermark_type,
+            key=key or old.key,
             modified=now,
             rows_loaded=inserted,
         )
@@ -370,12 +376,13 @@ def load_view(
     close_unmarked: bool = False,
     plain: bool = False,
     carry: Sequence[str] = (),
+    key: str | None = None,
 ) -> LoadResult:
     """Load one source with its strategy; errors come back in the result.
 
     An APPEND_ONLY archive without a watermark takes the rows that it does not hold; it closes others only if
     ``close_unmarked`` says so.  ``plain`` says that the source is a plain scan of files;
-    ``carry`` is as in :func:`load_full`.
+    ``carry`` is as in :func:`load_full`.  ``key`` names the column by which records are looked up; later loads keep it.
     """
     names = {"source": f"{archive.schema}.{archive.view}", "target": f"{archive.schema}.{archive.view}_archive"}
     strategy = strategy or FULL_COMPARE
@@ -383,16 +390,18 @@ def load_view(
         reason = "source does not exist or is not accessible"
         return LoadResult(**names, status="skipped", reason=reason, timestamp=now)
     try:
+        if key is not None and key not in source.columns:
+            raise ValueError(f"the source has no key column {key}")
         old = archive.manifest()
         action, updated = "INCREMENTAL_LOAD", 0
         if old is None:
             action = "INITIAL_LOAD"
-            _, inserted = load_initial(archive, source, now, system, watermark_column, plain)
+            _, inserted = load_initial(archive, source, now, system, watermark_column, plain, key)
         elif strategy == APPEND_ONLY and watermark_column and old.watermark is not None:
-            _, inserted = load_append_only(archive, source, now, watermark_column, system, plain=plain)
+            _, inserted = load_append_only(archive, source, now, watermark_column, system, plain=plain, key=key)
         else:
             close = strategy != APPEND_ONLY or close_unmarked
-            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close, plain, carry)
+            _, inserted, updated = load_full(archive, source, now, system, watermark_column, close, plain, carry, key)
     except Exception as error:  # a failed source must not stop the run
         archive.drop_staging()
         return LoadResult(**names, status="error", strategy=strategy, error=str(error), timestamp=now)

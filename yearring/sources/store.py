@@ -31,6 +31,8 @@ OPEN, CLOSED, ENDS = "open", "closed", "ends"
 ENDS_SCHEMA = "h binary, after bigint, upto bigint, copies bigint, ended timestamp_ntz"
 # About 70 bytes each: a million ends stay well inside a broadcast.
 BROADCAST_ENDS = 1_000_000
+# Upper bound of one row group's Bloom filter: three million keys at 1 % false positives.
+KEY_FILTER_BYTES = 4 << 20
 # File systems whose rename is atomic and refuses an existing target.
 RENAMING = ("hdfs", "viewfs")
 
@@ -126,6 +128,8 @@ class Manifest:
     stream_batches: dict[str, int] = field(default_factory=dict)
     #: Type of the watermark column, in DDL form.
     watermark_type: str | None = None
+    #: Column that names a record; parts carry Bloom filters on it.
+    key: str | None = None
 
     @property
     def struct(self) -> T.StructType:
@@ -153,6 +157,20 @@ class Manifest:
         return cls(**raw)
 
 
+def key_options(key: str | None) -> dict[str, str]:
+    """Write options that give each row group a Bloom filter on the key, as large as its distinct keys need.
+
+    Row groups whose keys repeat enough for a dictionary are skipped by that instead.
+    """
+    if key is None:
+        return {}
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(KEY_FILTER_BYTES),
+    }
+
+
 class Archive:
     """One archive table: its manifest, its reader and its commit."""
 

@@ -20,7 +20,7 @@ from yearring.functions.timefn import to_utc
 from yearring.operators.ids import write_numbered
 from yearring.functions.types import conform, evolve_schema
 from yearring.operators.scd import HISTORY_COLUMNS, as_versions, later_mark, stage_source, watermark_text, with_hash
-from yearring.sources.store import OPEN, Archive, Manifest, SharedFs
+from yearring.sources.store import OPEN, Archive, Manifest, SharedFs, key_options
 
 
 def file_stream(
@@ -72,7 +72,7 @@ def append_batch(
     directory = f"{archive.run_dir(version)}/{OPEN}"
     kind = struct[watermark_column].dataType if watermark_column else None
     mark = (F.col(watermark_column), lambda highest: watermark_text(highest, kind)) if watermark_column else ()
-    written = write_numbered(conform(versions, struct), f"{archive.path}/{directory}", "_archive_id", old.max_id, *mark)
+    written = write_numbered(conform(versions, struct), f"{archive.path}/{directory}", "_archive_id", old.max_id, *mark, options=key_options(old.key))
     latest = later_mark(archive.spark, old.watermark, written.mark, kind) if watermark_column else old.watermark
     parts = (archive.part(directory, OPEN, written.rows),) if written.rows else ()
     archive.commit(
