@@ -7,7 +7,7 @@ import json
 import time
 from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from yearring.operators.control import LOG_SCHEMA, RegistryEntry, load_log, log_archive, reserve_run, strategy_for
 from yearring.operators.scd import LoadResult, load_view
+from yearring.operators.schedule import RunControl
 from yearring.sources.store import ArchiveStore
 
 Reader = Callable[[str, str], DataFrame | None]
@@ -51,32 +52,40 @@ def run_load(
     system: str = "SOURCE",
     parallel: int = 4,
     plain: Collection[str] = (),
+    control: RunControl | None = None,
 ) -> RunSummary:
     """Load the active sources in (schema, view) order of the log.
 
     The loads are independent Spark jobs, so a few run at a time and fill each
-    other's idle tasks.  A source that fails is logged and the run goes on;
+    other's idle tasks, each in a scheduler pool of its own.  A source that fails, or that ``control`` cancels, is logged and the run goes on;
     ``read`` returns None for a source that does not exist.  ``plain`` names the views whose source is a plain scan of files.
+    Archives get Bloom filters on the registered key column.
     """
     spark = store.spark
     active = sorted((e for e in registry if e.is_active), key=lambda e: (e.source_schema, e.source_view))
     now = now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    control = control or RunControl(spark)
     run_id = reserve_run(store, load_log(store).agg(F.max("run_id").alias("m")).first()["m"] or 0)
 
     def one(entry: RegistryEntry) -> tuple[LoadResult, float]:
         began = time.monotonic()
         archive = store.archive(entry.source_schema, entry.source_view)
         try:
-            source = read(entry.source_schema, entry.source_view)
-            strategy, column = strategy_for(active, entry.source_schema, entry.source_view)
-            result = load_view(archive, source, now, strategy, column, system, plain=entry.source_view in plain)
+            with control.source(entry.source_schema, entry.source_view):
+                source = read(entry.source_schema, entry.source_view)
+                strategy, column = strategy_for(active, entry.source_schema, entry.source_view)
+                result = load_view(
+                    archive, source, now, strategy, column, system, plain=entry.source_view in plain, key=entry.unique_key_column
+                )
         except Exception as error:
             name = f"{entry.source_schema}.{entry.source_view}"
             result = LoadResult(name, f"{name}_archive", "error", strategy=entry.load_strategy, error=str(error), timestamp=now)
+        if result.status == "error" and (stopped := control.reason(entry.source_schema, entry.source_view)):
+            result = replace(result, error=stopped)
         return result, time.monotonic() - began
 
     began = time.monotonic()
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    with control.watching(), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         loaded = list(pool.map(one, active))
     took = time.monotonic() - began
 
