@@ -106,6 +106,21 @@ def test_packing(nasty, cap):
     assert len(sequences) <= 1.02 * total / cap + 1
 
 
+def test_the_memory_of_pieces_is_bounded(monkeypatch):
+    """Within one text as well; long pieces are not kept, and the ids stay the same."""
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(10**9)}q" for _ in range(3_000)) + " " + "ab" * 400 + " " + "ab" * 400
+    plain = bpe.Encoder(BYTES)
+    want = plain.ids(text).tolist()
+    assert 0 < plain.held < bpe.MEMORY_BYTES and all(len(piece.encode()) <= bpe.PIECE_BYTES for piece in plain)
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 100 * bpe.ENTRY_BYTES)
+    monkeypatch.setattr(bpe, "PAIRS", 50)
+    small = bpe.Encoder(BYTES)
+    assert small.ids(text).tolist() == want
+    assert len(small) <= 102 and len(small.fits) <= 50
+    assert small.decode(small.ids(text)) == text.encode()
+
+
 def test_many_groups_meet_again(spark, monkeypatch):
     """Small groups leave loose sequences; the rounds join them."""
     rng = random.Random(4)

@@ -6,7 +6,7 @@ have joined bytes across their border.  Where it may not, the next shorter token
 left the last token is taken back.  A border found dead is never tried again, so the work is linear.
 
 Texts are cut by the vocabulary's pre-tokenizer pattern first, special tokens before that, and the ids of pieces
-are remembered by the worker.  Null texts are empty texts with no tokens; an empty table gives an empty result; repeated rows
+are remembered by the worker, in bounded memory that is checked at each new piece.  Null texts are empty texts with no tokens; an empty table gives an empty result; repeated rows
 are coded alike.  Very long texts and pieces need memory in proportion to their length only.
 """
 
@@ -28,8 +28,10 @@ from yearring.llm.parts import texts_of
 #: The pattern that splits text before byte-level merges (white space spelled out as in Unicode's property).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-#: Distinct pieces remembered by a Python worker; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Pieces up to so many bytes are remembered by a Python worker, in about so much memory; beyond it the memory starts anew.
+PIECE_BYTES, MEMORY_BYTES = 64, 256 << 20
+#: What a remembered piece takes besides its own bytes and ids, and pairs of tokens whose compatibility is remembered.
+ENTRY_BYTES, PAIRS = 350, 500_000
 #: Tokens decoded at a time.
 CHUNK = 1 << 16
 
@@ -81,6 +83,7 @@ class Encoder(dict):
         self.pieces = regex.compile(SPLIT).findall
         self.specials = regex.compile("|".join(regex.escape(s.decode()) for s in self.vocabulary.special) or r"(?!)")
         self.fits: dict[tuple[int, int], bool] = {}
+        self.held = 0
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a and b can stand side by side: looked up, or found by undoing merges from the last one on."""
@@ -99,6 +102,8 @@ class Encoder(dict):
                     limit, b = v.rank[b] + 1, v.left[b]
                 else:
                     break
+            if len(self.fits) >= PAIRS:
+                self.fits.clear()
             self.fits[pair] = known
         return known
 
@@ -126,14 +131,18 @@ class Encoder(dict):
         return out
 
     def __missing__(self, piece: str) -> tuple[bytes, bytes]:
-        ids = self.encode_piece(piece.encode())
-        found = self[piece] = (b",".join([b"%d" % i for i in ids]), np.array(ids, "<u4").tobytes())
+        raw = piece.encode()
+        ids = self.encode_piece(raw)
+        found = b",".join([b"%d" % i for i in ids]), np.array(ids, "<u4").tobytes()
+        if len(raw) <= PIECE_BYTES:
+            if self.held > MEMORY_BYTES:
+                self.clear()
+                self.held = 0
+            self[piece] = found
+            self.held += ENTRY_BYTES + len(raw) + len(found[0]) + len(found[1])
         return found
 
     def _found(self, text: str) -> list[tuple[bytes, bytes]]:
-        if len(self) > REMEMBERED:
-            self.clear()
-            self.fits.clear()
         get = self.__getitem__
         if "<" not in text or not self.specials.search(text):
             return list(map(get, self.pieces(text)))
