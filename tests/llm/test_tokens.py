@@ -166,6 +166,15 @@ MIXES = {
 }
 
 
+def test_partners_are_sought_among_all_holders():
+    """Forty sequences that are too full hold the length before the one that fits; pairs are found in sequences of many pieces, too."""
+    lengths = [60] + [30, 65] * 40 + [30, 55]
+    search = packing._Search([[0], *[[i, i + 1] for i in range(1, 83, 2)]], lengths, 100)
+    assert search._partner(search.pools[0], 0, 0, 0) == (30, 41, 30)
+    many = packing._Search([[0], list(range(1, 31))], [88] + [3] * 29 + [4], 100)
+    assert many._partner(many.pools[1], 0, 0, 0) == (7, 1, 7)
+
+
 @pytest.mark.parametrize("name", MIXES)
 def test_local_search_on_hard_lengths(name):
     """Best fit leaves hundreds of sequences too many; the search removes at least half of them."""

@@ -14,8 +14,10 @@ are packed as often as they occur.  An empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import heapq
 import unicodedata
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,8 @@ END = 1
 GROUP = 20_000
 #: Sequences filled below this share are opened again in the next round.
 LOOSE = 0.97
-#: Pairs are exchanged from and into sequences of so many pieces; those of more have single pieces of almost any length.
-PAIRED = 12
-#: Partners of one length that are looked at before the next shorter length.
-LOOKS = 16
+#: The emptiest of so many oldest holders of a length is preferred; if none of them serves, all holders count.
+LOOKS = 17
 #: Memory of words in a Python worker: longest word kept, and bytes after which it starts anew, checked at each word.
 WORD_BYTES, MEMORY_BYTES = 64, 320 << 20
 
@@ -148,17 +148,25 @@ def best_fit(lengths: list[int], cap: int) -> list[list[int]]:
 
 
 class _Pool:
-    """Which sequences hold a piece, or a pair of pieces, of which length; the longest up to a limit is found in a bit set."""
+    """Which sequences hold a piece, or a pair of pieces, of which length; the longest up to a limit is found in a bit set.
 
-    def __init__(self):
+    The holders of a length lie in a heap by fill, so that the emptiest of all is found; entries that are out of date go when they come up.
+    """
+
+    def __init__(self, fill: list[int]):
+        self.fill = fill
         self.at: dict[int, dict[int, int]] = {}
+        self.heaps: dict[int, list[tuple[int, int]]] = {}
         self.lengths = 0
 
     def add(self, length: int, n: int) -> None:
         at = self.at.get(length)
         if not at:
             at = self.at[length] = {}
+            self.heaps[length] = []
             self.lengths |= 1 << length
+        if n not in at:
+            heapq.heappush(self.heaps[length], (self.fill[n], n))
         at[n] = at.get(n, 0) + 1
 
     def remove(self, length: int, n: int) -> None:
@@ -167,12 +175,28 @@ class _Pool:
         if not at[n]:
             del at[n]
             if not at:
+                del self.at[length], self.heaps[length]
                 self.lengths &= ~(1 << length)
 
     def longest(self, limit: int) -> int:
         """The greatest length up to ``limit``, or -1."""
         return (self.lengths & ((1 << (limit + 1)) - 1)).bit_length() - 1
 
+    def emptiest(self, length: int, but: int) -> int | None:
+        """Of all holders of a length other than ``but`` the one with the lowest fill."""
+        at, heap, own = self.at[length], self.heaps[length], None
+        while heap:
+            fill, m = heap[0]
+            if m in at and self.fill[m] == fill and m != but:
+                break
+            if m == but and m in at and self.fill[m] == fill:
+                own = heap[0]
+            heapq.heappop(heap)
+        found = heap[0][1] if heap else None
+        if own:
+            heapq.heappush(heap, own)
+        return found
+
 
 class _Search:
     """Underfull sequences with their pieces and pairs of pieces by length."""
@@ -180,36 +204,45 @@ class _Search:
     def __init__(self, bins: list[list[int]], lengths: list[int], cap: int):
         self.bins, self.lengths, self.cap = [list(b) for b in bins], lengths, cap
         self.fill = [sum(lengths[i] for i in b) for b in bins]
-        self.pools = (_Pool(), _Pool())
+        self.pools = (_Pool(self.fill), _Pool(self.fill))
         for n in range(len(bins)):
             self._list(n, _Pool.add)
 
-    def _pairs(self, n: int) -> list[tuple[int, int]]:
-        pieces = self.bins[n]
-        return [(i, j) for k, i in enumerate(pieces) for j in pieces[:k]] if len(pieces) <= PAIRED else []
+    def _pairs(self, n: int) -> dict[int, tuple[int, int]]:
+        """One pair of pieces for each sum of lengths; at most 90 distinct lengths fit into a sequence of 4096."""
+        of: dict[int, list[int]] = {}
+        for i in self.bins[n]:
+            of.setdefault(self.lengths[i], []).append(i)
+        own, pairs = list(of), {}
+        for k, a in enumerate(own):
+            for b in own[:k]:
+                pairs[a + b] = (of[a][0], of[b][0])
+            if len(of[a]) > 1:
+                pairs[2 * a] = (of[a][0], of[a][1])
+        return pairs
 
     def _list(self, n: int, change) -> None:
         if 0 < self.fill[n] < self.cap:
             singles, pairs = self.pools
             for i in self.bins[n]:
                 change(singles, self.lengths[i], n)
-            for i, j in self._pairs(n):
-                change(pairs, self.lengths[i] + self.lengths[j], n)
+            for length in self._pairs(n):
+                change(pairs, length, n)
 
     def _partner(self, pool: _Pool, n: int, give: int, least: int) -> tuple[int, int, int] | None:
-        """Gain, sequence and length of what to take for ``give`` tokens: the longest that fits, from the emptiest sequence seen.
+        """Gain, sequence and length of what to take for ``give`` tokens: the longest that any other sequence can give.
 
-        The sum of squares rises if the filled sequence ends up fuller than the other one was.
+        The sum of squares rises if the filled sequence ends up fuller than the other one was.  The oldest holders of a length come
+        first, as taking always from the emptiest ends in worse packings; if none of them is empty enough, the emptiest of all
+        decides: if it is not either, no holder is.
         """
         fill = self.fill
         length = pool.longest(give + self.cap - fill[n])
         while length - give > least:
-            best = None
-            for looks, m in enumerate(pool.at[length]):
-                if m != n and fill[m] < fill[n] + length - give and (best is None or fill[m] < fill[best]):
-                    best = m
-                if looks == LOOKS:
-                    break
+            below = fill[n] + length - give
+            best = min((m for m in islice(pool.at[length], LOOKS) if m != n and fill[m] < below), key=fill.__getitem__, default=None)
+            if best is None and (m := pool.emptiest(length, n)) is not None and fill[m] < below:
+                best = m
             if best is not None:
                 return length - give, best, length
             length = pool.longest(length - 1)
@@ -218,7 +251,7 @@ class _Search:
     def _change(self, n: int) -> tuple | None:
         """The change that fills ``n`` most: gain, other sequence, length taken, number of pieces taken, pieces given."""
         best, gain, seen = None, 0, set()
-        gives = [(), *[(i,) for i in self.bins[n]], *self._pairs(n)]
+        gives = [(), *[(i,) for i in self.bins[n]], *self._pairs(n).values()]
         for give in gives:
             size = sum(self.lengths[i] for i in give)
             if (len(give), size) in seen:
@@ -240,7 +273,7 @@ class _Search:
         if taken == 1:
             take = (next(i for i in self.bins[m] if self.lengths[i] == length),)
         else:
-            take = next((i, j) for i, j in self._pairs(m) if self.lengths[i] + self.lengths[j] == length)
+            take = self._pairs(m)[length]
         self.bins[n] = [i for i in self.bins[n] if i not in give] + list(take)
         self.bins[m] = [i for i in self.bins[m] if i not in take] + list(give)
         self.fill[n] += gain
