@@ -79,3 +79,21 @@ def test_access_reports_drop_other_queries_before_they_explode(spark, sf):
         assert text.index("Join") < text.index("Generate explode") < text.index("LeftSemi")
         # mentions are counted before the join with the queries
         assert "HashAggregate(keys=[query_id" in text[text.index("Join") : text.index("Generate explode")]
+
+
+def test_access_texts_are_never_sorted(spark, sf, monkeypatch):
+    here = lab(spark, sf)
+    args = (here.read("access_log"), here.texts().read("open"), "2001-08-02 00:00:00")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for report in (performance.lineage_modified, performance.user_table_access):
+            monkeypatch.setattr(performance, "BROADCAST_QUERIES", 1_000_000)
+            text = plan(report(*args))
+            few = report(*args).collect()
+            assert re.search(r"BroadcastHashJoin \[query_id#\d+L\], \[query_id#\d+L\], LeftSemi", text)
+            monkeypatch.setattr(performance, "BROADCAST_QUERIES", 0)
+            text = plan(report(*args))
+            assert re.search(r"ShuffledHashJoin \[query_id#\d+L\], \[query_id#\d+L\], LeftSemi, BuildRight", text)
+            assert report(*args).collect() == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
