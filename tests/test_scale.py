@@ -97,3 +97,10 @@ def test_access_texts_are_never_sorted(spark, sf, monkeypatch):
             assert report(*args).collect() == few
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_archives_are_written_small(spark, sf):
+    """Row hashes are hex text: half of it goes if the parts are entropy coded."""
+    archive = lab(spark, sf).archive("warehouse_metering")
+    names = [n for p in archive.manifest().parts for n in archive.fs.sizes(f"{archive.path}/{p.dir}")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)

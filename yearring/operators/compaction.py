@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from yearring.sources.store import CLOSED, ENDS, OPEN, Archive, Manifest, key_options
+from yearring.sources.store import CLOSED, COMPRESSION, ENDS, OPEN, Archive, Manifest, key_options
 
 FILE_BYTES = 256 << 20
 
@@ -44,7 +44,7 @@ def cluster_archive(archive: Archive, now: str, files: int | None = None, file_b
         keys = [F.col("_loaded_at"), F.col("_archive_id")]
         count = files or max(1, -(-size // file_bytes))
         data = archive.read(state, taken)
-        data.repartitionByRange(count, *keys).sortWithinPartitions(*keys).write.options(**key_options(old.key)).parquet(f"{archive.path}/{directory}")
+        data.repartitionByRange(count, *keys).sortWithinPartitions(*keys).write.options(**COMPRESSION, **key_options(old.key)).parquet(f"{archive.path}/{directory}")
         parts.append(replace(archive.part(directory, state, rows), clustered=True))
     return archive.commit(replace(old, version=version, parts=tuple(parts), modified=now))
 
