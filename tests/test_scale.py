@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
 
 from checks.fixtures import derive
 from checks.lab import lab
-from yearring.operators import scd, temporal
+from yearring.operators import scd, sieve, temporal
+from yearring.operators.rollup import Rollup, RollupStore
 from yearring.plans import performance, security
 from yearring.sources import store
 
@@ -104,3 +106,44 @@ def test_archives_are_written_small(spark, sf):
     archive = lab(spark, sf).archive("warehouse_metering")
     names = [n for p in archive.manifest().parts for n in archive.fs.sizes(f"{archive.path}/{p.dir}")]
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_many_keys_sift_the_wide_side_before_it_moves(spark, sf, monkeypatch):
+    archive = lab(spark, sf).archive("users")
+    monkeypatch.setattr(store, "BROADCAST_ENDS", 0)
+    monkeypatch.setattr(scd, "BROADCAST_HASHES", 0)
+    source = derive(spark, sf, "users")
+    hashes = scd.hash_difference(scd.with_hash(source), archive.stored("open", archive.manifest()), probe=scd._probe(source))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [plan(archive.read("open")), *[plan(scd._new_rows(source, hashes, 5_000_000, p)) for p in (scd._probe(source), None)]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in texts:
+        # the bitmap comes between the exchange of the exact join and the scan
+        assert text.index("Exchange hashpartitioning") < text.index("BroadcastHashJoin") < text.rindex("FileScan")
+
+
+def test_the_difference_is_hashed_and_not_sorted(spark, sf):
+    archive = lab(spark, sf).archive("users")
+    source = derive(spark, sf, "users")
+    text = plan(scd.hash_difference(scd.with_hash(source), archive.stored("open", archive.manifest()), None, "last_success_login", scd._probe(source)))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_sieve_misses_no_key_and_lets_few_others_through(spark):
+    rows, keys = spark.range(200_000).withColumn("w", F.lit("wide")), spark.range(0, 200_000, 20)
+    passed = {r.id for r in sieve.sifted(rows, F.xxhash64("id"), keys, F.xxhash64("id"), 10_000).collect()}
+    assert passed >= set(range(0, 200_000, 20)) and len(passed) < 30_000
+
+
+def test_bits_travel_as_lists(spark, sf):
+    rollup = Rollup("bits", ("c_custkey", "c_nationkey"), "c_nationkey", distincts={"people": "c_custkey"})
+    archive = lab(spark, sf).store.archive("usage", "bits")
+    scd.load_initial(archive, spark.read.parquet(f"{sf}/customer.parquet").select(*rollup.reads), "2024-02-01 06:00:00", plain=True)
+    built = RollupStore(archive, rollup)
+    built.refresh()
+    rows = rollup.keyed(archive.read("open"), value="CAST(c_custkey AS STRING)")
+    text = plan(built._bits(rows, "people", 1, 1))
+    # bitmaps are made after the last exchange, not for each task before it
+    assert text.index("partial_bitmap_construct_agg") < text.index("Exchange")
