@@ -215,3 +215,20 @@ def test_empty_tables(empty):
     assert bpe.round_trip(empty, BYTES).collect() == []
     assert bpe.encode(empty, BYTES).collect() == []
     assert packing.best_fit_packing(empty, WORDS).collect() == []
+
+
+def test_letters_and_the_signs_after_them_are_encoded_apart():
+    words = packing.WordTokens(WORDS)
+    whole, library = [], words.tokenizer
+
+    class Counting:
+        def encode(self, text, **options):
+            whole.append(text)
+            return library.encode(text, **options)
+
+    words.tokenizer = Counting()
+    # capitals and accents, signs in runs, a quote, letters whose lower case or normal form has a mark
+    for text in ("lenden###", "lenden!!", "straße&&&", "Éa%%", "it's", "lls'", "İ###", "aİ!", "שׁ##", "a1##", "##", "<|endoftext|>", "x<|"):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert words.encode(text.encode()) == np.array(ids, "<u4").tobytes(), text
+    assert not {"lenden###", "lenden!!", "straße&&&"} & set(whole)

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import string
+import struct
 import unicodedata
 import zlib
 from itertools import islice
@@ -37,6 +39,9 @@ LOOKS = 17
 #: Memory of words in a Python worker: longest word kept, and bytes after which it starts anew, checked at each word.
 WORD_BYTES, MEMORY_BYTES = 64, 320 << 20
 
+#: ASCII signs that are neither letters nor digits.
+_MARKS = string.punctuation.encode()
+
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -50,6 +55,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _stays_letters(text: str) -> bool:
+    """Whether the tokenizer's normaliser leaves nothing but letters: some letters turn into a letter and a mark."""
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
 class WordTokens(dict):
     """Token ids of white-space separated words, as little-endian uint32 bytes.
 
@@ -68,15 +78,20 @@ class WordTokens(dict):
         self.held = 0
 
     def __missing__(self, word: bytes) -> bytes:
-        if word[-1:] in b".," and word[:-1].isalpha():
-            found = self[word[:-1]] + self[word[-1:]]
+        head = word.rstrip(_MARKS)
+        if head and len(head) < len(word) and (head.isalpha() or _stays_letters(head.decode())):
+            # The tokenizer splits between letters and the signs that follow them.
+            found = self[head] + self[word[len(head) :]]
         else:
-            text = word.decode()
-            if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
-                ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+            if word.isalpha() and word.islower():  # ASCII letters stand for themselves
+                ids = [token.id for token in self.model.tokenize(word.decode())]
             else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
+                text = word.decode()
+                if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+                    ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+                else:
+                    ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= WORD_BYTES:
             # Two bytes objects and a place in the table take about 230 bytes besides their content.
             self.held += len(word) + len(found) + 230
